@@ -44,13 +44,16 @@ def json_scalar(doc, path: str = "$") -> Column:
 
 
 def json_subtree(text, path: str, doc=None) -> Column:
-    """Compact JSON text of the value at ``path`` (any type); NULL when absent or JSON null.
+    """Compact JSON text of the value at ``path``; NULL when absent, JSON null or malformed.
 
-    Reads the source text, so object keys keep their original order. Pass the
-    parsed ``doc`` to make malformed text give NULL (the text reader is lenient).
+    Objects and arrays are cut from the source text, so their keys keep the
+    original order (a VARIANT renders keys sorted). Scalars are rendered from
+    the VARIANT, so a string stays a quoted JSON string.
     """
-    sub = F.get_json_object(_c(text), path)
-    return sub if doc is None else F.when(_c(doc).isNotNull(), sub)
+    doc = parse_doc(text) if doc is None else _c(doc)
+    sub = _sub(doc, path)
+    return (F.when(is_container(sub), F.get_json_object(_c(text), path))
+            .when(~F.is_variant_null(sub), F.to_json(sub)))
 
 
 def json_array(doc, path: str = "$") -> Column:
@@ -86,6 +89,6 @@ def first_match(doc, paths: Sequence[str], convert: Callable[[Column], Column] |
 
 
 def first_present_subtree(text, paths: Sequence[str], doc=None) -> Column:
-    """First path whose value is present and not JSON null, as compact JSON text."""
-    picked = F.coalesce(*[F.get_json_object(_c(text), p) for p in paths])
-    return picked if doc is None else F.when(_c(doc).isNotNull(), picked)
+    """The first path whose value is present and not JSON null, as compact JSON text."""
+    doc = parse_doc(text) if doc is None else _c(doc)
+    return F.coalesce(*[json_subtree(text, p, doc) for p in paths])
