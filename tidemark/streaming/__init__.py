@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The pipeline this package re-expresses has no stream operators (no
+watermarks, event-time windows or stateful operators). Its only notion of
+"new data" is the batch high-water mark of
+:func:`tidemark.operators.incremental.incremental_filter` with a 24-hour
+safety window, run on a schedule. Running that batch from a Structured
+Streaming trigger would only add a scheduler, so none is provided.
+"""
