@@ -61,3 +61,16 @@ def test_key_uuid_matches_duckdb(spark):
     want = [duckdb.sql(f"select md5(concat('{e}', chr(31), '{p}'))").fetchall()[0][0] for e, p in [("a", "b"), ("", "+1")]]
     assert [g.replace("-", "") for g in got] == want
     assert all(len(g) == 36 and g.count("-") == 4 for g in got)
+
+
+def test_safe_timestamp_ignores_session_time_zone(spark):
+    import datetime as dt
+    df = spark.createDataFrame([("2024-01-02T03:04:05Z",), ("2024-01-02 03:04:05+02:00",), ("2024-01-02 03:04:05",)],
+                               "t string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = [r[0] for r in df.select(safe_timestamp(F.col("t"))).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 1, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5)]

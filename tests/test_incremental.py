@@ -31,7 +31,7 @@ def _with_extra_rows(spark, inputs):
 
 def _runs(spark):
     base = fixture_inputs(spark, SF_SMALL)
-    run1 = {k: v.filter(F.col("updated_at") < ts_literal("2001-01-01 00:00:00")) for k, v in base.items()}
+    run1 = fixture_inputs(spark, SF_SMALL, F.col("updated_at") < ts_literal("2001-01-01 00:00:00"))
     r1 = build_all(run1, lambda s: None, _opts("2001-01-01 00:00:00"))
     run2 = _with_extra_rows(spark, base)
     r2 = build_all(run2, lambda s: r1[s.name], _opts("2002-01-01 00:00:00"))

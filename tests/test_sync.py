@@ -18,7 +18,7 @@ def _sync(spark, inputs, wh, now, **kw):
 
 def test_two_run_sync_writes_and_commits(spark, scratch):
     base = fixture_inputs(spark, SF_SMALL)
-    run1 = {k: v.filter(F.col("updated_at") < ts_literal("2001-01-01 00:00:00")) for k, v in base.items()}
+    run1 = fixture_inputs(spark, SF_SMALL, F.col("updated_at") < ts_literal("2001-01-01 00:00:00"))
     v1 = _sync(spark, run1, scratch, "2001-01-01 00:00:00")
     assert v1 == {s.name: 1 for s in MARTS}
     v2 = _sync(spark, base, scratch, "2002-01-01 00:00:00")

@@ -34,11 +34,11 @@ def safe_decimal(text: Column, dtype: T.DecimalType = NUMERIC) -> Column:
 def safe_timestamp(text: Column) -> Column:
     """Date-time text -> ``timestamp_ntz`` in UTC wall-clock time.
 
-    A trailing zone (``Z`` or an offset) is honoured by converting to UTC; text
-    without a zone is taken as UTC. Time-only text such as ``'12:30'`` is rejected.
+    Text with a zone (``Z`` or an offset) is read as an instant and rendered
+    in UTC; text without one is taken as UTC already. Time-only text such as
+    ``'12:30'`` is rejected. Independent of the session time zone.
     """
-    zone = F.regexp_extract(text, ZONE_SUFFIX, 1)
-    local = F.regexp_replace(text, ZONE_SUFFIX, "").try_cast(T.TimestampNTZType())
-    in_utc = F.when(zone.isin("", "Z"), local).otherwise(
-        F.convert_timezone(zone, F.lit("UTC"), local))
-    return F.when(text.rlike(TIMESTAMP_PREFIX), in_utc)
+    instant_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"),
+                                     text.try_cast(T.TimestampType()).cast(T.TimestampNTZType()))
+    parsed = F.when(text.rlike(ZONE_SUFFIX), instant_utc).otherwise(text.try_cast(T.TimestampNTZType()))
+    return F.when(text.rlike(TIMESTAMP_PREFIX), parsed)

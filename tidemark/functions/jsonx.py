@@ -32,15 +32,20 @@ def _sub(doc: Column, path: str) -> Column:
 
 
 def is_container(v: Column) -> Column:
-    """True when the variant holds an object or an array."""
-    return (F.try_variant_get(v, F.lit("$"), "map<string,variant>").isNotNull()
-            | F.try_variant_get(v, F.lit("$"), "array<variant>").isNotNull())
+    """True when the variant holds an object or an array.
+
+    Decided by the first character of its JSON rendering: ``{`` or ``[`` only
+    for containers, since a string renders quoted. This keeps the generated
+    code small (type-cast probes per path overflow the 64 KB method limit of
+    whole-stage code generation on wide extractions).
+    """
+    return F.substring(F.to_json(v), 1, 1).isin("{", "[")
 
 
 def json_scalar(doc, path: str = "$") -> Column:
     """Text of the scalar at ``path`` of a VARIANT document, else NULL."""
     sub = _sub(_c(doc), path)
-    return F.when(~is_container(sub), F.try_variant_get(sub, F.lit("$"), "string"))
+    return F.when(~is_container(sub), sub.cast("string"))
 
 
 def json_subtree(text, path: str, doc=None) -> Column:
@@ -92,3 +97,81 @@ def first_present_subtree(text, paths: Sequence[str], doc=None) -> Column:
     """The first path whose value is present and not JSON null, as compact JSON text."""
     doc = parse_doc(text) if doc is None else _c(doc)
     return F.coalesce(*[json_subtree(text, p, doc) for p in paths])
+
+
+def _split(path: str) -> tuple[str, str]:
+    """'$.a.b.c' -> ('a', '$.b.c'); '$.a' -> ('a', '$')."""
+    head, _, rest = path[2:].partition(".")
+    return head, (f"$.{rest}" if rest else "$")
+
+
+class JsonRecord:
+    """A JSON document whose top-level fields are read many times.
+
+    The text is parsed once and cast once into a struct holding every
+    top-level field the caller names, each as a VARIANT. A path read is then
+    a struct-field access, plus a short navigation below it for nested paths.
+    Compared with one path navigation from the root per read, this keeps the
+    generated code of wide extractions small enough for whole-stage codegen.
+
+    Use ``struct()`` in one ``select`` (alias it), then build the field
+    expressions with ``bind(col)`` on the result.
+    """
+
+    def __init__(self, text, paths: Sequence[str]):
+        self.text = _c(text)
+        tops = []
+        for p in paths:
+            head, _ = _split(p)
+            if head not in tops:
+                tops.append(head)
+        self.fields = tops
+        self._struct_type = "struct<" + ", ".join(f"`{f}`: variant" for f in tops) + ">"
+        self._bound: Column | None = None
+        self._doc: Column | None = None
+
+    def struct(self) -> Column:
+        return F.try_variant_get(parse_doc(self.text), F.lit("$"), self._struct_type)
+
+    def bind(self, struct_col, text=None) -> JsonRecord:
+        self._bound = _c(struct_col)
+        if text is not None:
+            self.text = _c(text)
+        return self
+
+    def value(self, path: str) -> Column:
+        """VARIANT at ``path`` (NULL when absent or the document is malformed)."""
+        head, rest = _split(path)
+        if head not in self.fields:
+            raise KeyError(f"{head} was not declared for this record")
+        v = self._bound.getField(head)
+        return v if rest == "$" else F.try_variant_get(v, F.lit(rest), "variant")
+
+    def scalar(self, path: str) -> Column:
+        v = self.value(path)
+        return F.when(~is_container(v), v.cast("string"))
+
+    def subtree(self, path: str) -> Column:
+        v = self.value(path)
+        return (F.when(is_container(v), F.get_json_object(self.text, path))
+                .when(~F.is_variant_null(v), F.to_json(v)))
+
+    def first_scalar(self, paths: Sequence[str], convert=None, default=None,
+                     convert_each: bool = True) -> Column:
+        texts = [self.scalar(p) for p in paths]
+        if convert is None:
+            picked = F.coalesce(*texts)
+        elif convert_each:
+            picked = F.coalesce(*[convert(t) for t in texts])
+        else:
+            picked = convert(F.coalesce(*texts))
+        if default is not None:
+            picked = F.coalesce(picked, default if isinstance(default, Column) else F.lit(default))
+        return picked
+
+    def first_subtree(self, paths: Sequence[str]) -> Column:
+        return F.coalesce(*[self.subtree(p) for p in paths])
+
+    def array_length(self, path: str) -> Column:
+        return F.coalesce(F.array_size(F.try_variant_get(self.value(path), F.lit("$"), "array<variant>")),
+                          F.lit(0))

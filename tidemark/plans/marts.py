@@ -9,7 +9,7 @@ to the downstream marts.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -58,12 +58,36 @@ def _lazy(_spec: MartSpec, df: DataFrame) -> DataFrame:
     return df
 
 
-def build_all(inputs: dict[str, DataFrame], current: Current, opts: SyncOptions,
-              materialize: Materialize = _lazy) -> dict[str, DataFrame]:
-    """Build the six marts in dependency order; returns {mart name: table}.
+class LazyTables(Mapping):
+    """Name -> DataFrame, each built on first access (and only then).
+
+    Building a DataFrame costs driver-side analysis even before any job runs,
+    so a caller that needs one mart should not pay for the others.
+    """
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders = builders
+        self._built: dict[str, DataFrame] = {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self):
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
+def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptions,
+              materialize: Materialize = _lazy) -> LazyTables:
+    """The six marts in dependency order, as a lazy {mart name: table} mapping.
 
     ``inputs``: raw ``customers``, ``orders``, ``journey``. ``current(spec)``
-    gives the mart's current snapshot or None.
+    gives the mart's current snapshot or None. Iterating the result in order
+    (as :func:`tidemark.plans.sync.run_sync` does) builds every mart.
     """
     def run(spec: MartSpec, make: Callable[[RunContext], DataFrame]) -> DataFrame:
         snapshot = None if opts.full_refresh else current(spec)
@@ -71,20 +95,27 @@ def build_all(inputs: dict[str, DataFrame], current: Current, opts: SyncOptions,
         ctx = RunContext(opts.now, target, opts.window_hours, opts.ts_type)
         return materialize(spec, merge_into(spec, target, make(ctx)))
 
-    customers, orders, journey = inputs["customers"], inputs["orders"], inputs["journey"]
-    out: dict[str, DataFrame] = {}
-    out[IDENTITY_MAP.name] = idmap = run(
-        IDENTITY_MAP, lambda ctx: models.identity_map_updates(customers, ctx))
-    out[ID_REGISTRY.name] = run(ID_REGISTRY, lambda ctx: models.id_registry_updates(idmap, ctx))
-    out[SHOP_MAP.name] = shop = run(
-        SHOP_MAP, lambda ctx: models.shop_map_updates(customers, idmap, ctx, opts.ignore_blank))
-    out[CUSTOMER.name] = run(
-        CUSTOMER, lambda ctx: models.customer_profile_updates(customers, idmap, shop, ctx,
-                                                              opts.customer_tiebreak))
-    latest_orders = models.orders_latest(orders, opts.extracted_col)
-    out[ORDERS.name] = orders_mart = run(
-        ORDERS, lambda ctx: models.orders_mart_updates(latest_orders, shop, ctx))
-    latest_journey = models.journey_latest(journey, opts.extracted_col)
-    out[JOURNEY.name] = run(
-        JOURNEY, lambda ctx: models.journey_mart_updates(latest_journey, orders_mart, ctx))
+    def t(spec):
+        return lambda: out[spec.name]
+
+    idmap, shop, orders_mart = t(IDENTITY_MAP), t(SHOP_MAP), t(ORDERS)
+    builders = {
+        IDENTITY_MAP.name: lambda: run(
+            IDENTITY_MAP, lambda ctx: models.identity_map_updates(inputs["customers"], ctx)),
+        ID_REGISTRY.name: lambda: run(
+            ID_REGISTRY, lambda ctx: models.id_registry_updates(idmap(), ctx)),
+        SHOP_MAP.name: lambda: run(
+            SHOP_MAP, lambda ctx: models.shop_map_updates(inputs["customers"], idmap(), ctx,
+                                                          opts.ignore_blank)),
+        CUSTOMER.name: lambda: run(
+            CUSTOMER, lambda ctx: models.customer_profile_updates(inputs["customers"], idmap(), shop(),
+                                                                  ctx, opts.customer_tiebreak)),
+        ORDERS.name: lambda: run(
+            ORDERS, lambda ctx: models.orders_mart_updates(
+                models.orders_latest(inputs["orders"], opts.extracted_col), shop(), ctx)),
+        JOURNEY.name: lambda: run(
+            JOURNEY, lambda ctx: models.journey_mart_updates(
+                models.journey_latest(inputs["journey"], opts.extracted_col), orders_mart(), ctx)),
+    }
+    out = LazyTables(builders)
     return out

@@ -27,10 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.casts import safe_bigint, safe_bool, safe_decimal, safe_timestamp
 from tidemark.functions.ids import key_uuid
-from tidemark.functions.jsonx import (
-    first_match, first_present_subtree, json_array, json_array_length, json_scalar, json_subtree,
-    parse_doc,
-)
+from tidemark.functions.jsonx import JsonRecord, json_array, json_scalar, parse_doc
 from tidemark.operators.incremental import RunContext, changed_keys, incremental_filter, keep_keys
 from tidemark.operators.latest import latest_per_key, latest_value
 from tidemark.operators.links import HOT_SALTS, salted_equi_join
@@ -65,14 +62,10 @@ def orders_latest(orders: DataFrame, extracted_col: str = "_airbyte_extracted_at
     """Latest version per order id, projected and renamed; shop customer id read from JSON."""
     latest = latest_per_key(orders.filter(F.col("id").isNotNull()), ["id"],
                             ["updated_at", extracted_col])
-    parsed = latest.withColumn("_customer_doc", parse_doc("customer"))
-    cols = []
-    for out in ORDERS_LATEST_COLUMNS:
-        if out == "shopify_id":
-            cols.append(safe_bigint(json_scalar("_customer_doc", "$.id")).alias("shopify_id"))
-        else:
-            cols.append(F.col(ORDERS_LATEST_RENAMES.get(out, out)).alias(out))
-    return parsed.select(*cols, F.col(extracted_col), F.col("updated_at"))
+    shop_id = latest.select("*", safe_bigint(json_scalar(parse_doc("customer"), "$.id")).alias("_shopify_id"))
+    renames = dict(ORDERS_LATEST_RENAMES, shopify_id="_shopify_id")
+    return shop_id.selectExpr(*[f"`{renames.get(c, c)}` AS `{c}`" for c in ORDERS_LATEST_COLUMNS],
+                              f"`{extracted_col}`", "updated_at")
 
 
 def journey_latest(journey: DataFrame, extracted_col: str = "_airbyte_extracted_at") -> DataFrame:
@@ -306,7 +299,8 @@ def orders_mart_updates(latest_orders: DataFrame, shop_map: DataFrame, ctx: RunC
         "total_price": F.coalesce(F.col("total_price"), F.lit(0).cast(NUMERIC)),
         "shipping_price": shipping_total(F.col("_sl")),
     }
-    return src.select(*[(derived[c] if c in derived else F.col(c)).alias(c) for c in ORDERS_MART_COLUMNS])
+    src = src.select("*", *[v.alias(f"_d_{k}") for k, v in derived.items()])
+    return src.selectExpr(*[f"`_d_{c}` AS `{c}`" if c in derived else f"`{c}`" for c in ORDERS_MART_COLUMNS])
 
 
 # ------------------------------------------------------------------ D10
@@ -337,26 +331,40 @@ MOMENTS_COUNT_PATHS = ("$.moments_count.count", "$.momentsCount.count", "$.momen
 VISIT_TEXT_FIELDS = ("referral_code", "referrer_url", "source", "source_type")
 
 
-def journey_fields(text: Column, doc: Column) -> dict[str, Column]:
-    """The journey summary fields, by ordered fallback over candidate paths."""
+def journey_paths() -> list[str]:
+    paths = snake_camel_paths(*ORDER_INDEX_NAMES) + snake_camel_paths(*DAY_TO_CONVERSION_NAMES)
+    paths += ["$.ready", "$.moments", *MOMENTS_COUNT_PATHS]
+    for prefix in ("first", "last"):
+        for f in ("landing_page", "occurred_at", *VISIT_TEXT_FIELDS, "utm_parameters"):
+            paths += visit_paths(prefix, f)
+    return paths
+
+
+def journey_record(text) -> JsonRecord:
+    return JsonRecord(text, journey_paths())
+
+
+def journey_fields(rec: JsonRecord) -> dict[str, Column]:
+    """The journey summary fields, by ordered fallback over candidate paths.
+
+    ``rec`` must be bound to the parsed summary (see :class:`JsonRecord`).
+    """
     out = {
-        "order_index": first_match(doc, snake_camel_paths(*ORDER_INDEX_NAMES), safe_bigint, 0),
-        "day_to_conversion": first_match(doc, snake_camel_paths(*DAY_TO_CONVERSION_NAMES),
-                                         safe_bigint, 0),
-        "ready": F.coalesce(safe_bool(json_scalar(doc, "$.ready")), F.lit(False)),
+        "order_index": rec.first_scalar(snake_camel_paths(*ORDER_INDEX_NAMES), safe_bigint, 0),
+        "day_to_conversion": rec.first_scalar(snake_camel_paths(*DAY_TO_CONVERSION_NAMES), safe_bigint, 0),
+        "ready": F.coalesce(safe_bool(rec.scalar("$.ready")), F.lit(False)),
     }
     for prefix in ("first", "last"):
-        out[f"{prefix}_landing_page"] = first_match(
-            doc, visit_paths(prefix, "landing_page"), lambda t: F.nullif(t, F.lit("")), "")
-        out[f"{prefix}_occurred_at"] = first_match(
-            doc, visit_paths(prefix, "occurred_at"), safe_timestamp, convert_each=False)
+        out[f"{prefix}_landing_page"] = rec.first_scalar(
+            visit_paths(prefix, "landing_page"), lambda t: F.nullif(t, F.lit("")), "")
+        out[f"{prefix}_occurred_at"] = rec.first_scalar(
+            visit_paths(prefix, "occurred_at"), safe_timestamp, convert_each=False)
         for f in VISIT_TEXT_FIELDS:
-            out[f"{prefix}_{f}"] = first_match(doc, visit_paths(prefix, f))
-        out[f"{prefix}_utm_parameters"] = first_present_subtree(
-            text, visit_paths(prefix, "utm_parameters"), doc)
-    out["moments"] = json_subtree(text, "$.moments", doc)
-    out["moments_count"] = F.coalesce(*[safe_bigint(json_scalar(doc, p)) for p in MOMENTS_COUNT_PATHS],
-                                      json_array_length(doc, "$.moments").cast("bigint"))
+            out[f"{prefix}_{f}"] = rec.first_scalar(visit_paths(prefix, f))
+        out[f"{prefix}_utm_parameters"] = rec.first_subtree(visit_paths(prefix, "utm_parameters"))
+    out["moments"] = rec.subtree("$.moments")
+    out["moments_count"] = F.coalesce(*[safe_bigint(rec.scalar(p)) for p in MOMENTS_COUNT_PATHS],
+                                      rec.array_length("$.moments").cast("bigint"))
     return out
 
 
@@ -374,8 +382,9 @@ def journey_mart_updates(latest_journey: DataFrame, orders_mart: DataFrame, ctx:
         created = F.coalesce(F.col("_e_created_at"), now)
     else:
         created = now
-    src = src.select("*", parse_doc("customer_journey_summary").alias("_doc"))
-    derived = journey_fields(F.col("customer_journey_summary"), F.col("_doc"))
+    rec = journey_record("customer_journey_summary")
+    src = src.select("*", rec.struct().alias("_rec"))
+    derived = journey_fields(rec.bind("_rec"))
     derived.update({
         "created_at": created, "updated_at": now,
         "shop_url": _blank(F.col("shop_url")),

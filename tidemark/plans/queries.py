@@ -33,12 +33,10 @@ def _opts(now: str) -> SyncOptions:
                        customer_tiebreak=FIXTURE_EXTRACTED_COL)
 
 
-def _inputs(spark: SparkSession, sf_dir: str, run: int = 2) -> dict[str, DataFrame]:
-    inp = fixture_inputs(spark, sf_dir)
-    if run == 1:
-        cut = ts_literal(RUN1_CUTOFF)
-        inp = {k: v.filter(F.col("updated_at") < cut) for k, v in inp.items()}
-    return inp
+def _inputs(spark: SparkSession, sf_dir: str, run: int = 2):
+    """Raw inputs of a run (lazy): run 1 sees rows before the cut-off, run 2 sees all."""
+    where = F.col("updated_at") < ts_literal(RUN1_CUTOFF) if run == 1 else None
+    return fixture_inputs(spark, sf_dir, where)
 
 
 def full_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -106,10 +104,10 @@ def q_shipping_totals(spark, sf_dir):
 
 
 def q_journey_moments(spark, sf_dir):
+    rec = models.journey_record("customer_journey_summary")
     jl = _journey_latest(spark, sf_dir).select(
-        "shopify_order_id", "customer_journey_summary",
-        parse_doc("customer_journey_summary").alias("_doc"))
-    fields = models.journey_fields(F.col("customer_journey_summary"), F.col("_doc"))
+        "shopify_order_id", "customer_journey_summary", rec.struct().alias("_rec"))
+    fields = models.journey_fields(rec.bind("_rec"))
     return jl.select("shopify_order_id", fields["moments"].alias("moments"),
                      fields["moments_count"].alias("moments_count"))
 

@@ -1,6 +1,6 @@
 """Raw-shaped inputs derived from the driver's TPC-H-like tables.
 
-The rules only use modulo, concat, floor and casts, so the DuckDB twin in
+The rules only use modulo, concat, floor and casts; the DuckDB twin in
 :mod:`tidemark.plans.oracle_sql` spells them the same way. ``k`` is
 ``o_orderkey`` and ``c`` is ``o_custkey``; ``extract_seq`` (= k) stands in for
 the ingestion time and is the final tie-breaker of every recency order.
@@ -9,12 +9,9 @@ the ingestion time and is the final tie-breaker of every recency order.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.schemas import (
-    NUMERIC, ORDER_BOOL_COLUMNS, ORDER_JSON_COLUMNS, ORDER_NUMERIC_COLUMNS, ORDER_TEXT_COLUMNS,
-    ORDER_TS_COLUMNS, TS_NTZ,
+    ORDER_BOOL_COLUMNS, ORDER_JSON_COLUMNS, ORDER_NUMERIC_COLUMNS, ORDER_TEXT_COLUMNS, ORDER_TS_COLUMNS,
 )
 
 FIXTURE_EXTRACTED_COL = "extract_seq"
@@ -25,16 +22,67 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _s(x) -> Column:
-    return x.cast("string")
+# The derivation rules, as Spark SQL expressions over ``orders`` (k = o_orderkey,
+# c = o_custkey) joined to ``customer`` where needed. Each frame is one
+# ``selectExpr``: a single call, whatever the number of columns.
+CUSTOMER_RULES = {
+    "id": "o_custkey",
+    "email": "CASE WHEN o_custkey % 5 = 0 THEN NULL WHEN o_custkey % 97 = 0 THEN '' "
+             "ELSE concat('u', CAST(o_custkey % 700 AS STRING), '@example.com') END",
+    "phone": "CASE WHEN o_custkey % 3 = 0 THEN NULL WHEN o_custkey % 89 = 0 THEN '' "
+             "ELSE concat('+1', CAST(o_custkey % 900 AS STRING)) END",
+    "currency": "CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_orderpriority END",
+    "addresses": "CASE WHEN o_orderkey % 6 = 0 THEN NULL "
+                 "ELSE concat('[{\"nation\":', CAST(c_nationkey AS STRING), '}]') END",
+    "first_name": "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE c_name END",
+    "last_name": "c_mktsegment",
+    "tags": "CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE o_orderstatus END",
+    "created_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+    "updated_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+    FIXTURE_EXTRACTED_COL: "o_orderkey",
+}
+ORDER_RULES = {
+    "id": "CAST(floor(o_orderkey / 2) AS BIGINT)",
+    "customer": "CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 29 = 0 THEN '{\"id\":{\"x\":1}}' "
+                "WHEN o_orderkey % 31 = 0 THEN '{\"id\":\"12.7\"}' "
+                "ELSE concat('{\"id\":', CAST(o_custkey AS STRING), '}') END",
+    "name": "concat('#', CAST(o_orderkey AS STRING))",
+    "line_items": "CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 19 = 1 THEN '{}' "
+                  "WHEN o_orderkey % 19 = 2 THEN '[]' "
+                  "ELSE concat('[{\"sku\":\"S', CAST(o_custkey % 10 AS STRING), '\",\"product_id\":', "
+                  "CAST(o_orderkey % 50 AS STRING), '},{\"sku\":null,\"product_id\":\"x\"},{\"sku\":\"T\"}]') END",
+    "shipping_lines": "CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 13 = 1 THEN '[{}]' "
+                      "ELSE concat('[{\"discounted_price\":\"', CAST(o_orderkey % 20 AS STRING), "
+                      "'.25\"},{\"discounted_price\":\"bad\"},{\"discounted_price\":\"1.50\"}]') END",
+    "total_price": "CAST(o_totalprice AS DECIMAL(38,9))",
+    "created_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+    "updated_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+    FIXTURE_EXTRACTED_COL: "o_orderkey",
+}
+# Journey summaries by k % 8 (c9 = o_custkey % 9).
+JOURNEY_SUMMARY = (
+    "CASE o_orderkey % 8 "
+    "WHEN 0 THEN NULL "
+    "WHEN 1 THEN concat('{\"order_index\":', CAST(o_custkey % 9 AS STRING), ',\"ready\":true,\"moments\":[{\"a\":1},{\"a\":2}]}') "
+    "WHEN 2 THEN concat('{\"orderIndex\":\"', CAST(o_custkey % 9 AS STRING), '\",\"daysToConversion\":3,\"ready\":\"yes\",\"momentsCount\":{\"count\":4}}') "
+    "WHEN 3 THEN '{\"first_visit\":{\"landing_page\":\"/a\",\"occurred_at\":\"2024-01-02T03:04:05Z\",\"utm_parameters\":{\"s\":\"x\"}},\"moments_count\":7}' "
+    "WHEN 4 THEN '{\"firstVisit\":{\"landingPage\":\"/b\",\"occurredAt\":\"12:30\",\"utmParameters\":{\"s\":\"y\"}},\"lastVisit\":{\"source\":\"z\"}}' "
+    "WHEN 5 THEN '{\"first_landing_page\":\"\",\"firstLandingPage\":\"/c\",\"order_index\":\"x\",\"orderIndex\":5}' "
+    "WHEN 6 THEN '{bad' "
+    "ELSE '{\"moments\":null,\"first_source\":{\"k\":1},\"firstSource\":\"s\"}' END"
+)
+JOURNEY_RULES = {
+    "order_id": "CAST(floor(o_orderkey / 2) AS BIGINT)",
+    "shop_url": f"'{SHOP_URL}'",
+    "customer_journey_summary": JOURNEY_SUMMARY,
+    "created_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+    "updated_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+    FIXTURE_EXTRACTED_COL: "o_orderkey",
+}
 
 
-def _cases(*pairs, otherwise) -> Column:
-    out = None
-    for cond, value in pairs:
-        value = value if isinstance(value, Column) else F.lit(value).cast("string")
-        out = F.when(cond, value) if out is None else out.when(cond, value)
-    return out.otherwise(otherwise)
+def _project(df: DataFrame, typed: list[tuple[str, str]], rules: dict[str, str]) -> DataFrame:
+    return df.selectExpr(*[f"CAST({rules.get(c, 'NULL')} AS {t}) AS `{c}`" for c, t in typed])
 
 
 def fx_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,97 +90,31 @@ def fx_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = _table(spark, sf_dir, "orders")
     c = _table(spark, sf_dir, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey, "inner")
-    k, cid = F.col("o_orderkey"), F.col("o_custkey")
-    return j.select(
-        cid.alias("id"),
-        _cases((cid % 5 == 0, None), (cid % 97 == 0, ""),
-               otherwise=F.concat(F.lit("u"), _s(cid % 700), F.lit("@example.com"))).alias("email"),
-        _cases((cid % 3 == 0, None), (cid % 89 == 0, ""),
-               otherwise=F.concat(F.lit("+1"), _s(cid % 900))).alias("phone"),
-        _cases((k % 4 == 0, None), otherwise=F.col("o_orderpriority")).alias("currency"),
-        _cases((k % 6 == 0, None), otherwise=F.concat(
-            F.lit('[{"nation":'), _s(F.col("c_nationkey")), F.lit("}]"))).alias("addresses"),
-        _cases((k % 7 == 0, None), otherwise=F.col("c_name")).alias("first_name"),
-        F.col("c_mktsegment").alias("last_name"),
-        _cases((cid % 17 == 0, None), otherwise=F.col("o_orderstatus")).alias("tags"),
-        F.col("o_orderdate").cast(TS_NTZ).alias("created_at"),
-        F.col("o_orderdate").cast(TS_NTZ).alias("updated_at"),
-        k.alias(FIXTURE_EXTRACTED_COL),
-    )
-
-
-def _order_id(k: Column) -> Column:
-    return F.floor(k / F.lit(2)).cast("bigint")
+    return j.selectExpr(*[f"{rule} AS `{name}`" for name, rule in CUSTOMER_RULES.items()])
 
 
 def fx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two versions per order id (``floor(k / 2)``), raw order columns."""
-    o = _table(spark, sf_dir, "orders")
-    k, cid = F.col("o_orderkey"), F.col("o_custkey")
-    given = {
-        "id": _order_id(k),
-        "customer": _cases((k % 23 == 0, None), (k % 29 == 0, '{"id":{"x":1}}'),
-                           (k % 31 == 0, '{"id":"12.7"}'),
-                           otherwise=F.concat(F.lit('{"id":'), _s(cid), F.lit("}"))),
-        "name": F.concat(F.lit("#"), _s(k)),
-        "line_items": _cases(
-            (k % 19 == 0, None), (k % 19 == 1, "{}"), (k % 19 == 2, "[]"),
-            otherwise=F.concat(F.lit('[{"sku":"S'), _s(cid % 10), F.lit('","product_id":'), _s(k % 50),
-                               F.lit('},{"sku":null,"product_id":"x"},{"sku":"T"}]'))),
-        "shipping_lines": _cases(
-            (k % 13 == 0, None), (k % 13 == 1, "[{}]"),
-            otherwise=F.concat(F.lit('[{"discounted_price":"'), _s(k % 20),
-                               F.lit('.25"},{"discounted_price":"bad"},{"discounted_price":"1.50"}]'))),
-        "total_price": F.col("o_totalprice").cast(NUMERIC),
-        "created_at": F.col("o_orderdate").cast(TS_NTZ),
-        "updated_at": F.col("o_orderdate").cast(TS_NTZ),
-        FIXTURE_EXTRACTED_COL: k,
-    }
-    typed = ([("id", T.LongType()), ("app_id", T.LongType())]
-             + [(c, T.StringType()) for c in ORDER_JSON_COLUMNS + ORDER_TEXT_COLUMNS]
-             + [(c, T.BooleanType()) for c in ORDER_BOOL_COLUMNS]
-             + [(c, NUMERIC) for c in ORDER_NUMERIC_COLUMNS]
-             + [(c, TS_NTZ) for c in ORDER_TS_COLUMNS]
-             + [(FIXTURE_EXTRACTED_COL, T.LongType())])
-    return o.select(*[(given[c] if c in given else F.lit(None)).cast(t).alias(c) for c, t in typed])
-
-
-# Journey summaries by k % 8 (0 = NULL summary).
-JOURNEY_SUMMARY_TEMPLATES = {
-    1: ('{"order_index":', "c9", ',"ready":true,"moments":[{"a":1},{"a":2}]}'),
-    2: ('{"orderIndex":"', "c9", '","daysToConversion":3,"ready":"yes","momentsCount":{"count":4}}'),
-    3: ('{"first_visit":{"landing_page":"/a","occurred_at":"2024-01-02T03:04:05Z",'
-        '"utm_parameters":{"s":"x"}},"moments_count":7}',),
-    4: ('{"firstVisit":{"landingPage":"/b","occurredAt":"12:30","utmParameters":{"s":"y"}},'
-        '"lastVisit":{"source":"z"}}',),
-    5: ('{"first_landing_page":"","firstLandingPage":"/c","order_index":"x","orderIndex":5}',),
-    6: ("{bad",),
-    7: ('{"moments":null,"first_source":{"k":1},"firstSource":"s"}',),
-}
-
-
-def _summary(k: Column, cid: Column) -> Column:
-    pairs = [(k % 8 == 0, None)]
-    for r, parts in JOURNEY_SUMMARY_TEMPLATES.items():
-        pieces = [_s(cid % 9) if p == "c9" else F.lit(p) for p in parts]
-        pairs.append((k % 8 == r, F.concat(*pieces) if len(pieces) > 1 else pieces[0]))
-    return _cases(*pairs[:-1], otherwise=pairs[-1][1])
+    typed = ([("id", "BIGINT"), ("app_id", "BIGINT")]
+             + [(c, "STRING") for c in ORDER_JSON_COLUMNS + ORDER_TEXT_COLUMNS]
+             + [(c, "BOOLEAN") for c in ORDER_BOOL_COLUMNS]
+             + [(c, "DECIMAL(38,9)") for c in ORDER_NUMERIC_COLUMNS]
+             + [(c, "TIMESTAMP_NTZ") for c in ORDER_TS_COLUMNS]
+             + [(FIXTURE_EXTRACTED_COL, "BIGINT")])
+    return _project(_table(spark, sf_dir, "orders"), typed, ORDER_RULES)
 
 
 def fx_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two versions per order id, one journey summary each."""
     o = _table(spark, sf_dir, "orders")
-    k, cid = F.col("o_orderkey"), F.col("o_custkey")
-    return o.select(
-        _order_id(k).alias("order_id"),
-        F.lit(SHOP_URL).alias("shop_url"),
-        _summary(k, cid).alias("customer_journey_summary"),
-        F.col("o_orderdate").cast(TS_NTZ).alias("created_at"),
-        F.col("o_orderdate").cast(TS_NTZ).alias("updated_at"),
-        k.alias(FIXTURE_EXTRACTED_COL),
-    )
-
-
-def fixture_inputs(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {"customers": fx_customers(spark, sf_dir), "orders": fx_orders(spark, sf_dir),
-            "journey": fx_journey(spark, sf_dir)}
+    return o.selectExpr(*[f"{rule} AS `{name}`" for name, rule in JOURNEY_RULES.items()])
+
+
+def fixture_inputs(spark: SparkSession, sf_dir: str, where: Column | None = None):
+    """Lazy mapping customers/orders/journey -> DataFrame, optionally filtered by ``where``."""
+    from tidemark.plans.marts import LazyTables
+
+    def make(fn):
+        return lambda: fn(spark, sf_dir) if where is None else fn(spark, sf_dir).filter(where)
+    return LazyTables({"customers": make(fx_customers), "orders": make(fx_orders),
+                       "journey": make(fx_journey)})
