@@ -50,8 +50,8 @@ def high_water_mark(target: DataFrame, target_col: str = "updated_at",
                     window_hours: int = SAFETY_WINDOW_HOURS) -> Column:
     """Scalar-subquery column: latest ``target_col`` minus the safety window."""
     dtype = target.schema[target_col].dataType
-    mark = target.agg(F.coalesce(F.max(target_col), epoch(dtype)).alias("mark")).scalar()
-    return hours_before(mark, window_hours)
+    latest = F.coalesce(F.max(target_col), epoch(dtype))
+    return target.agg(hours_before(latest, window_hours).alias("mark")).scalar()
 
 
 def incremental_filter(df: DataFrame, ts_col: str, ctx: RunContext,

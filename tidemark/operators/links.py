@@ -9,6 +9,7 @@ key that can hold a large share of the rows. Hot keys are split with a salt:
 rows of the larger side get a salt from a hash of the row, rows of the
 smaller side are replicated over all salts, so one hot key spreads over
 ``salts`` tasks instead of one. Other keys keep salt 0 and are not copied.
+Hot keys that are not known in advance are left to AQE's skew-join split.
 """
 
 from __future__ import annotations

@@ -13,9 +13,9 @@ Scale notes (what each model shuffles):
 * shop map: customers are reduced to one row per (shop id, contact value)
   with max(updated_at) *before* the email/phone equi-joins; blank contact
   values (a hot key by construction) are salted.
-* customer profile: raw customers are aggregated to one row per shop id
-  first; the identity -> shop -> aggregate joins then carry one row per
-  (identity, shop) and the final aggregate merges the partial results.
+* customer profile: raw customers are aggregated to one row per shop id,
+  joined to the shop links (inner, so AQE may split a hot shop id), combined
+  per customer id map-side, then joined 1:1 to the identities.
 * orders/journey marts: JSON arrays are handled with higher-order functions
   inside the row (no explode, no shuffle); each document is parsed once.
 """
@@ -103,7 +103,8 @@ def shop_links(customers: DataFrame, identity_map: DataFrame, ignore_blank: bool
             left = left.filter(F.col(c) != "")
         left = left.select(F.col(c).alias("_k"), F.col("id").alias("shopify_id"), "updated_at").distinct()
         right = ids.select(F.col(c).alias("_k"), "customer_id").distinct()
-        arms.append(salted_equi_join(left, right, "_k", _hot(ignore_blank), salts)
+        # the identity side holds every NULL-normalised blank: spread it, copy the raw side
+        arms.append(salted_equi_join(right, left, "_k", _hot(ignore_blank), salts)
                     .select("customer_id", "shopify_id", "updated_at"))
     return arms[0].unionByName(arms[1]).distinct()
 
@@ -164,7 +165,8 @@ def shop_map_updates(customers: DataFrame, identity_map: DataFrame, ctx: RunCont
         left = (left.groupBy(F.col(c).alias("_k"), F.col("id").alias("shopify_id"))
                 .agg(F.max("updated_at").alias("updated_at")))
         right = ids.select(F.col(c).alias("_k"), "customer_id").distinct()
-        arms.append(salted_equi_join(left, right, "_k", _hot(ignore_blank), salts)
+        # the identity side holds every NULL-normalised blank: spread it, copy the raw side
+        arms.append(salted_equi_join(right, left, "_k", _hot(ignore_blank), salts)
                     .select("customer_id", "shopify_id", "updated_at"))
     links = (arms[0].unionByName(arms[1]).groupBy("customer_id", "shopify_id")
              .agg(F.max("updated_at").alias("_max_ts")))
@@ -209,6 +211,11 @@ def customer_profile_updates(customers: DataFrame, identity_map: DataFrame, shop
 
     Latest non-NULL currency/addresses/names by updated_at (then ``tiebreak``),
     earliest created_at, sorted distinct tags as a JSON array (NULL when none).
+
+    Plan: raw customers -> one row per shop id; shop links x that (inner join,
+    skew-splittable) -> partial + final aggregate per customer id; identities
+    LEFT JOIN the per-customer row (1:1). No step fans out over versions, and a
+    customer id linked to very many shops is combined map-side.
     """
     now = ctx.now_col()
     order = ["updated_at"] + ([tiebreak] if tiebreak else [])
@@ -217,17 +224,18 @@ def customer_profile_updates(customers: DataFrame, identity_map: DataFrame, shop
           for src, out in PROFILE_LATEST],
         F.min("created_at").alias("_min_created"),
         F.sort_array(F.collect_set("tags")).alias("_tags"))
-    idmap = identity_map.select("customer_id", "email", "phone", "created_at")
+    idmap = identity_map.select("customer_id", "email", "phone", F.col("created_at").alias("_map_created"))
+    links = shop_map.select("customer_id", "shopify_id")
     if ctx.incremental:
-        idmap = keep_keys(idmap, changed_customer_ids(customers, identity_map, shop_map, ctx),
-                          "customer_id")
-    joined = (idmap.join(shop_map.select("customer_id", "shopify_id"), "customer_id", "left")
-              .join(per_shop, "shopify_id", "left"))
+        changed = changed_customer_ids(customers, identity_map, shop_map, ctx)
+        idmap = keep_keys(idmap, changed, "customer_id")
+        links = keep_keys(links, changed, "customer_id")
     tags = F.sort_array(F.array_distinct(F.flatten(F.collect_set("_tags"))))
-    src = joined.groupBy("customer_id", "email", "phone", F.col("created_at").alias("_map_created")).agg(
+    per_customer = links.join(per_shop, "shopify_id", "inner").groupBy("customer_id").agg(
         *[F.max(f"_l_{out}").getField("v").alias(out) for _, out in PROFILE_LATEST],
         F.min("_min_created").alias("shopify_created_at"),
         tags.alias("_tag_list"))
+    src = idmap.join(per_customer, "customer_id", "left")
     if ctx.incremental:
         existing = ctx.target.select("customer_id", F.col("created_at").alias("_e_created_at"))
         src = src.join(existing, "customer_id", "left")
