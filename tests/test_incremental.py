@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -39,16 +40,21 @@ def _runs(spark):
     return r1, r2, full
 
 
-def test_window_boundary_late_and_null_rows(spark):
-    r1, r2, full = _runs(spark)
+@pytest.fixture(scope="module")
+def runs(spark):
+    return _runs(spark)
+
+
+def test_window_boundary_late_and_null_rows(runs):
+    r1, r2, full = runs
     got = {r.email for r in r2[IDENTITY_MAP.name].filter(F.col("email").endswith("@x")).collect()}
     assert got == {"inside@x"}                    # late, boundary (strict >) and NULL skipped
     got_full = {r.email for r in full[IDENTITY_MAP.name].filter(F.col("email").endswith("@x")).collect()}
     assert got_full == set(CASES)                 # a full run loads them all
 
 
-def test_created_at_and_ids_survive_run_two(spark):
-    r1, r2, _ = _runs(spark)
+def test_created_at_and_ids_survive_run_two(runs):
+    r1, r2, _ = runs
     a = {(r.email, r.phone): (r.customer_id, r.created_at) for r in r1[IDENTITY_MAP.name].collect()}
     b = {(r.email, r.phone): (r.customer_id, r.created_at, r.updated_at) for r in r2[IDENTITY_MAP.name].collect()}
     assert set(a) <= set(b)
@@ -60,8 +66,8 @@ def test_created_at_and_ids_survive_run_two(spark):
     assert any(u == D(2002, 1, 1) for _, u in o2.values()) and any(u == D(2001, 1, 1) for _, u in o2.values())
 
 
-def test_determinism(spark):
-    _, a, _ = _runs(spark)
+def test_determinism(spark, runs):
+    _, a, _ = runs
     _, b, _ = _runs(spark)
     for name in a:
         assert a[name].exceptAll(b[name]).count() == 0 and b[name].exceptAll(a[name]).count() == 0
