@@ -45,3 +45,9 @@ def test_failed_check_does_not_commit(spark, scratch):
     assert v2 == 2 and store.current_version(IDENTITY_MAP.name) == 1
     with pytest.raises(MartCheckError):
         raise MartCheckError("; ".join(problems))
+
+
+def test_validate_reports_null_non_key_column(spark):
+    df = spark.createDataFrame([(1, None, 5), (2, "c", 6)], "order_id bigint, customer_id string, shopify_id bigint")
+    problems = validate(ORDERS, df)
+    assert problems == ["dwd_orders: not_null(customer_id) failed for 1"]

@@ -16,8 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.checks import check_summary
-from tidemark.operators.upsert import key_violations
 from tidemark.plans.marts import SyncOptions, build_all
 from tidemark.schemas import MartSpec
 from tidemark.sources.snapshots import SnapshotStore
@@ -28,17 +26,40 @@ class MartCheckError(RuntimeError):
 
 
 def validate(spec: MartSpec, table: DataFrame) -> list[str]:
-    """Failed checks of a written mart: merge-key integrity, not-null and unique columns."""
+    """Failed checks of a written mart, from one aggregate job.
+
+    Groups by the merge key (partial aggregation, so only distinct keys are
+    shuffled) and counts NULL keys, duplicate keys and NULLs in the not-null
+    columns. Unique / unique-combination checks on other columns than the
+    merge key get their own group-by.
+    """
+    keys = list(spec.keys)
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    per_key = table.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_nn_{c}") for c in spec.not_null if c not in keys])
+    totals = per_key.agg(
+        F.sum(F.when(null_key, F.col("_n")).otherwise(0)).alias("null_keys"),
+        F.sum(F.when(~null_key & (F.col("_n") > 1), F.col("_n") - 1).otherwise(0)).alias("duplicate_keys"),
+        *[F.sum(f"_nn_{c}").alias(f"nn_{c}") for c in spec.not_null if c not in keys]).first()
     problems = []
-    kv = key_violations(table.select(*spec.keys), spec.keys).first()
-    if kv["null_keys"] or kv["duplicate_keys"]:
-        problems.append(f"{spec.name}: {kv['null_keys']} NULL merge keys, "
-                        f"{kv['duplicate_keys']} duplicate merge keys")
-    if spec.not_null or spec.unique:
-        summary = check_summary(table, spec.name, spec.not_null, spec.unique)
-        for row in summary.filter(F.col("failures") > 0).collect():
-            problems.append(f"{spec.name}: {row['check_name']}({row['column_name']}) failed "
-                            f"for {row['failures']}")
+    if totals is None:
+        return problems
+    if totals["null_keys"] or totals["duplicate_keys"]:
+        problems.append(f"{spec.name}: {totals['null_keys']} NULL merge keys, "
+                        f"{totals['duplicate_keys']} duplicate merge keys")
+    for c in spec.not_null:
+        if c not in keys and totals[f"nn_{c}"]:
+            problems.append(f"{spec.name}: not_null({c}) failed for {totals[f'nn_{c}']}")
+    extra_unique = [c for c in spec.unique if [c] != keys]
+    extra_unique += [list(combo) for combo in spec.unique_combos if list(combo) != keys]
+    for cols in extra_unique:
+        cols = [cols] if isinstance(cols, str) else cols
+        dups = table.groupBy(*cols).count().filter(F.col("count") > 1).limit(1).count()
+        if dups:
+            problems.append(f"{spec.name}: unique({', '.join(cols)}) failed")
     return problems
 
 
