@@ -24,7 +24,11 @@ HOT_SALTS = 64
 
 def salted_equi_join(big: DataFrame, small: DataFrame, key: str, hot: Sequence[str],
                      salts: int = HOT_SALTS, how: str = "inner") -> DataFrame:
-    """Equi-join on ``key``; keys listed in ``hot`` are spread over ``salts`` tasks."""
+    """Equi-join on ``key``; keys listed in ``hot`` are spread over ``salts`` tasks.
+
+    The salt is a hash of the row, not a random number, so a task recomputed
+    after an executor loss assigns every row to the same salt again.
+    """
     if salts <= 1 or not hot:
         return big.join(small, key, how)
     is_hot_big = F.col(key).isin(*hot)
@@ -38,12 +42,14 @@ def salted_equi_join(big: DataFrame, small: DataFrame, key: str, hot: Sequence[s
 
 def link_on_any(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]],
                 left_cols: Sequence[str], right_cols: Sequence[str],
-                hot_values: Sequence[str] = ("",), salts: int = HOT_SALTS) -> DataFrame:
+                hot_values: Sequence[str] = ("",), salts: int = HOT_SALTS,
+                replicate: str = "left") -> DataFrame:
     """Distinct ``left_cols + right_cols`` of rows where any ``left.l = right.r`` holds.
 
     ``pairs`` lists the (left column, right column) equalities of the OR.
     Right-side join columns must already be normalised (e.g. NULL -> '').
-    A NULL on the left never matches.
+    A NULL on the left never matches. For keys in ``hot_values`` the
+    ``replicate`` side is copied over the salts and the other side spread.
     """
     arms = []
     for lcol, rcol in pairs:
@@ -51,7 +57,8 @@ def link_on_any(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
                  .select(F.col(lcol).alias("_k"), *left_cols).distinct())
         r_arm = (right.filter(F.col(rcol).isNotNull())
                  .select(F.col(rcol).alias("_k"), *right_cols).distinct())
-        arms.append(salted_equi_join(l_arm, r_arm, "_k", hot_values, salts)
+        big, small = (r_arm, l_arm) if replicate == "left" else (l_arm, r_arm)
+        arms.append(salted_equi_join(big, small, "_k", hot_values, salts)
                     .select(*left_cols, *right_cols))
     out = arms[0]
     for arm in arms[1:]:

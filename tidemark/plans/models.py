@@ -30,7 +30,7 @@ from tidemark.functions.ids import key_uuid
 from tidemark.functions.jsonx import JsonRecord, json_array, json_scalar, parse_doc
 from tidemark.operators.incremental import RunContext, changed_keys, incremental_filter, keep_keys
 from tidemark.operators.latest import latest_per_key, latest_value
-from tidemark.operators.links import HOT_SALTS, salted_equi_join
+from tidemark.operators.links import HOT_SALTS, link_on_any, salted_equi_join
 from tidemark.schemas import (
     JOURNEY_MART_COLUMNS, NUMERIC, ORDERS_LATEST_COLUMNS, ORDERS_LATEST_RENAMES, ORDERS_MART_COLUMNS,
 )
@@ -94,19 +94,15 @@ def shop_links(customers: DataFrame, identity_map: DataFrame, ignore_blank: bool
     contact matches every identity whose value is blank (H2); ``ignore_blank``
     drops those matches instead.
     """
-    ids = _identity_keys(identity_map)
-    src = customers.filter(F.col("id").isNotNull())
-    arms = []
-    for c in ("email", "phone"):
-        left = src.filter(F.col(c).isNotNull())
-        if ignore_blank:
-            left = left.filter(F.col(c) != "")
-        left = left.select(F.col(c).alias("_k"), F.col("id").alias("shopify_id"), "updated_at").distinct()
-        right = ids.select(F.col(c).alias("_k"), "customer_id").distinct()
-        # the identity side holds every NULL-normalised blank: spread it, copy the raw side
-        arms.append(salted_equi_join(right, left, "_k", _hot(ignore_blank), salts)
-                    .select("customer_id", "shopify_id", "updated_at"))
-    return arms[0].unionByName(arms[1]).distinct()
+    src = customers.filter(F.col("id").isNotNull()).select(
+        "email", "phone", F.col("id").alias("shopify_id"), "updated_at")
+    if ignore_blank:
+        src = src.select(F.nullif("email", F.lit("")).alias("email"),
+                         F.nullif("phone", F.lit("")).alias("phone"), "shopify_id", "updated_at")
+    # the identity side holds every NULL-normalised blank: spread it, copy the raw side
+    return link_on_any(src, _identity_keys(identity_map), [("email", "email"), ("phone", "phone")],
+                       ["shopify_id", "updated_at"], ["customer_id"], _hot(ignore_blank), salts,
+                       replicate="left").select("customer_id", "shopify_id", "updated_at")
 
 
 # ------------------------------------------------------------------ D5-D7
