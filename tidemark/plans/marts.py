@@ -111,11 +111,11 @@ def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptio
             CUSTOMER, lambda ctx: models.customer_profile_updates(inputs["customers"], idmap(), shop(),
                                                                   ctx, opts.customer_tiebreak)),
         ORDERS.name: lambda: run(
-            ORDERS, lambda ctx: models.orders_mart_updates(
-                models.orders_latest(inputs["orders"], opts.extracted_col), shop(), ctx)),
+            ORDERS, lambda ctx: models.orders_mart_updates(inputs["orders"], shop(), ctx,
+                                                           opts.extracted_col)),
         JOURNEY.name: lambda: run(
-            JOURNEY, lambda ctx: models.journey_mart_updates(
-                models.journey_latest(inputs["journey"], opts.extracted_col), orders_mart(), ctx)),
+            JOURNEY, lambda ctx: models.journey_mart_updates(inputs["journey"], orders_mart(), ctx,
+                                                             opts.extracted_col)),
     }
     out = LazyTables(builders)
     return out

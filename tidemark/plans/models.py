@@ -215,17 +215,20 @@ def customer_profile_updates(customers: DataFrame, identity_map: DataFrame, shop
     """
     now = ctx.now_col()
     order = ["updated_at"] + ([tiebreak] if tiebreak else [])
-    per_shop = customers.filter(F.col("id").isNotNull()).groupBy(F.col("id").alias("shopify_id")).agg(
-        *[latest_value(src, order, when=F.col(src).isNotNull()).alias(f"_l_{out}")
-          for src, out in PROFILE_LATEST],
-        F.min("created_at").alias("_min_created"),
-        F.sort_array(F.collect_set("tags")).alias("_tags"))
+    raw = customers.filter(F.col("id").isNotNull()).withColumnRenamed("id", "shopify_id")
     idmap = identity_map.select("customer_id", "email", "phone", F.col("created_at").alias("_map_created"))
     links = shop_map.select("customer_id", "shopify_id")
     if ctx.incremental:
         changed = changed_customer_ids(customers, identity_map, shop_map, ctx)
         idmap = keep_keys(idmap, changed, "customer_id")
         links = keep_keys(links, changed, "customer_id")
+        # only the raw versions of shops linked to a changed customer are aggregated
+        raw = keep_keys(raw, links.select("shopify_id").distinct(), "shopify_id")
+    per_shop = raw.groupBy("shopify_id").agg(
+        *[latest_value(src, order, when=F.col(src).isNotNull()).alias(f"_l_{out}")
+          for src, out in PROFILE_LATEST],
+        F.min("created_at").alias("_min_created"),
+        F.sort_array(F.collect_set("tags")).alias("_tags"))
     tags = F.sort_array(F.array_distinct(F.flatten(F.collect_set("_tags"))))
     per_customer = links.join(per_shop, "shopify_id", "inner").groupBy("customer_id").agg(
         *[F.max(f"_l_{out}").getField("v").alias(out) for _, out in PROFILE_LATEST],
@@ -278,10 +281,19 @@ def shipping_total(shipping_doc: Column) -> Column:
     return _sum_decimals(prices)
 
 
-def orders_mart_updates(latest_orders: DataFrame, shop_map: DataFrame, ctx: RunContext) -> DataFrame:
-    """Latest orders with a shop customer id, resolved to a customer id ('unknown' if none)."""
+def orders_mart_updates(orders: DataFrame, shop_map: DataFrame, ctx: RunContext,
+                        extracted_col: str = "_airbyte_extracted_at") -> DataFrame:
+    """Latest orders with a shop customer id, resolved to a customer id ('unknown' if none).
+
+    The high-water filter is applied to the raw versions *before* the
+    latest-per-id window. That is exact: an id's latest version carries its
+    maximum updated_at, so the id passes the mark iff its latest version does,
+    and older versions below the mark can never be the latest. The window
+    then only sees rows newer than the mark, and the filter reaches the scan.
+    """
     now = ctx.now_col()
-    src = incremental_filter(latest_orders.filter(F.col("shopify_id").isNotNull()), "updated_at", ctx)
+    latest = orders_latest(incremental_filter(orders, "updated_at", ctx), extracted_col)
+    src = latest.filter(F.col("shopify_id").isNotNull())
     src = src.join(shop_latest_customer(shop_map).withColumnRenamed("customer_id", "_map_customer"),
                    "shopify_id", "left")
     if ctx.incremental:
@@ -372,14 +384,20 @@ def journey_fields(rec: JsonRecord) -> dict[str, Column]:
     return out
 
 
-def journey_mart_updates(latest_journey: DataFrame, orders_mart: DataFrame, ctx: RunContext) -> DataFrame:
-    """Journeys of orders with a resolved customer, summary fields flattened."""
+def journey_mart_updates(journey: DataFrame, orders_mart: DataFrame, ctx: RunContext,
+                         extracted_col: str = "_airbyte_extracted_at") -> DataFrame:
+    """Journeys of orders with a resolved customer, summary fields flattened.
+
+    As in the orders mart, the high-water filter runs before the latest-per-id
+    window (exact for the same reason).
+    """
     now = ctx.now_col()
     resolved = orders_mart.filter(
         F.col("customer_id").isNotNull() & (F.col("customer_id") != UNKNOWN_CUSTOMER)
         & F.col("shopify_id").isNotNull()
     ).select(F.col("order_id").alias("shopify_order_id"), "customer_id", "shopify_id")
-    src = incremental_filter(latest_journey, "updated_at", ctx).join(resolved, "shopify_order_id", "inner")
+    latest = journey_latest(incremental_filter(journey, "updated_at", ctx), extracted_col)
+    src = latest.join(resolved, "shopify_order_id", "inner")
     if ctx.incremental:
         src = src.join(ctx.target.select("shopify_order_id", F.col("created_at").alias("_e_created_at")),
                        "shopify_order_id", "left")

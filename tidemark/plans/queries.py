@@ -156,7 +156,8 @@ def q_schema_sync(spark, sf_dir):
     (``note`` missing, an obsolete ``legacy_channel`` present)."""
     r1, r2 = two_runs(spark, sf_dir)
     ctx = RunContext(RUN2_NOW, r1[ORDERS.name])
-    updates = models.orders_mart_updates(_orders_latest(spark, sf_dir), r2[SHOP_MAP.name], ctx)
+    updates = models.orders_mart_updates(_inputs(spark, sf_dir)["orders"], r2[SHOP_MAP.name], ctx,
+                                         FIXTURE_EXTRACTED_COL)
     drifted = r1[ORDERS.name].drop("note").withColumn("legacy_channel", F.lit("web"))
     return upsert(drifted, updates, ORDERS.keys, ORDERS.exclude_on_update)
 
