@@ -51,3 +51,28 @@ def test_validate_reports_null_non_key_column(spark):
     df = spark.createDataFrame([(1, None, 5), (2, "c", 6)], "order_id bigint, customer_id string, shopify_id bigint")
     problems = validate(ORDERS, df)
     assert problems == ["dwd_orders: not_null(customer_id) failed for 1"]
+
+
+def test_interrupted_run_keeps_previous_versions_and_rerun_completes(spark, scratch, monkeypatch):
+    from tidemark.schemas import SHOP_MAP, CUSTOMER
+    base = fixture_inputs(spark, SF_SMALL)
+    run1 = fixture_inputs(spark, SF_SMALL, F.col("updated_at") < ts_literal("2001-01-01 00:00:00"))
+    _sync(spark, run1, scratch, "2001-01-01 00:00:00")
+    store = SnapshotStore(spark, scratch)
+    real_commit = SnapshotStore.commit
+
+    def failing_commit(self, name, version):
+        if name == SHOP_MAP.name:
+            raise RuntimeError("executor lost while committing")
+        return real_commit(self, name, version)
+
+    monkeypatch.setattr(SnapshotStore, "commit", failing_commit)
+    with pytest.raises(RuntimeError):
+        _sync(spark, base, scratch, "2002-01-01 00:00:00")
+    assert store.current_version(IDENTITY_MAP.name) == 2          # finished before the failure
+    assert store.current_version(SHOP_MAP.name) == 1              # written, never committed
+    assert store.current_version(CUSTOMER.name) == 1              # never built
+    monkeypatch.setattr(SnapshotStore, "commit", real_commit)
+    versions = _sync(spark, base, scratch, "2002-01-01 00:00:00")
+    assert versions[SHOP_MAP.name] == 3 and store.current_version(SHOP_MAP.name) == 3
+    assert validate(SHOP_MAP, store.read(SHOP_MAP.name)) == []
