@@ -67,21 +67,26 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
              now: datetime | str, full_refresh: bool = False, window_hours: int = 24,
              ts_type: T.DataType = T.TimestampNTZType(), extracted_col: str = "_airbyte_extracted_at",
              customer_tiebreak: str | None = None, ignore_blank: bool = False,
-             check: bool = True) -> dict[str, int]:
+             check: bool = True, bucketed: bool = True, buckets: int | None = None) -> dict[str, int]:
     """Build all marts into ``warehouse``; returns {mart: committed version}.
 
     ``inputs`` holds the raw ``customers``, ``orders`` and ``journey`` frames.
     ``now`` is the run time stamped on every row this run touches.
+    ``bucketed`` writes every mart bucketed on its merge key (``buckets``
+    defaults to ``spark.sql.shuffle.partitions`` at a table's first write).
     """
-    store = SnapshotStore(spark, warehouse)
+    store = SnapshotStore(spark, warehouse, buckets)
+
+    def keys_of(spec: MartSpec):
+        return list(spec.keys) if bucketed else None
     versions: dict[str, int] = {}
 
     def current(spec: MartSpec) -> DataFrame | None:
-        return store.read(spec.name)
+        return store.read(spec.name, bucket_keys=keys_of(spec))
 
     def materialize(spec: MartSpec, df: DataFrame) -> DataFrame:
-        version = store.write(spec.name, df)
-        written = store.read(spec.name, version=version)
+        version = store.write(spec.name, df, bucket_keys=keys_of(spec))
+        written = store.read(spec.name, version=version, bucket_keys=keys_of(spec))
         if check:
             problems = validate(spec, written)
             if problems:

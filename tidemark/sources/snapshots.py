@@ -14,18 +14,32 @@ is assumed (the reference also runs one build at a time).
 
 Reading a snapshot back from storage is also what cuts the lineage between
 marts: downstream marts read files, not the upstream plan.
+
+Bucketing: written with ``bucket_keys``, a version is saved as a Spark
+bucketed table (``bucketBy(n, keys)``, sorted by the keys) and re-registered
+as such when read. Its scan is then already hash-partitioned on the merge
+key, so the next run's merge join, key lookups, dedupe window and key checks
+shuffle only the other (small) side. The bucket count is fixed at the first
+write of a table (``<root>/<mart>/_buckets/<n>``) and reused afterwards; keep
+it at or above ``spark.sql.shuffle.partitions`` so the planner keeps the
+table's partitioning instead of re-shuffling it.
 """
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
 class SnapshotStore:
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, buckets: int | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.buckets = buckets
+        self._tag = hashlib.md5(self.root.encode()).hexdigest()[:10]
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
         self._conf = spark.sparkContext._jsc.hadoopConfiguration()
@@ -58,18 +72,40 @@ class SnapshotStore:
     def exists(self, name: str) -> bool:
         return self.current_version(name) is not None
 
-    def read(self, name: str, schema: T.StructType | None = None,
-             version: int | None = None) -> DataFrame | None:
+    def bucket_count(self, name: str) -> int | None:
+        fs, p = self._fs(f"{self.table_dir(name)}/_buckets")
+        if not fs.exists(p):
+            return None
+        names = [int(st.getPath().getName()) for st in fs.listStatus(p)]
+        return names[0] if names else None
+
+    def _table_name(self, name: str, version: int) -> str:
+        return f"tidemark_{self._tag}_{name}_v{version:06d}"
+
+    def read(self, name: str, schema: T.StructType | None = None, version: int | None = None,
+             bucket_keys: Sequence[str] | None = None) -> DataFrame | None:
         """The committed snapshot (latest unless ``version``), or None if there is none."""
         version = self.current_version(name) if version is None else version
         if version is None:
             return None
+        n = self.bucket_count(name) if bucket_keys else None
+        if n:
+            table = self._table_name(name, version)
+            if not self.spark.catalog.tableExists(table):
+                path = self.version_dir(name, version)
+                fields = (schema or self.spark.read.parquet(path).schema).fields
+                cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+                keys = ", ".join(f"`{k}`" for k in bucket_keys)
+                self.spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet "
+                               f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {n} BUCKETS "
+                               f"LOCATION '{path}'")
+            return self.spark.table(table)
         reader = self.spark.read
         if schema is not None:
             reader = reader.schema(schema)
         return reader.parquet(self.version_dir(name, version))
 
-    def write(self, name: str, df: DataFrame) -> int:
+    def write(self, name: str, df: DataFrame, bucket_keys: Sequence[str] | None = None) -> int:
         """Write ``df`` as the next version (not yet committed); returns the version."""
         fs, p = self._fs(self.table_dir(name))
         taken = [0] + self.versions(name)
@@ -79,7 +115,18 @@ class SnapshotStore:
                 if n.startswith("v="):
                     taken.append(int(n[2:]))
         version = max(taken) + 1
-        df.write.mode("errorifexists").parquet(self.version_dir(name, version))
+        path = self.version_dir(name, version)
+        n = None
+        if bucket_keys:
+            n = self.bucket_count(name)
+            if n is None:
+                n = self.buckets or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+                fs.mkdirs(self._Path(f"{self.table_dir(name)}/_buckets/{n}"))
+        if n:
+            (df.write.mode("errorifexists").format("parquet").bucketBy(n, *bucket_keys)
+             .sortBy(*bucket_keys).option("path", path).saveAsTable(self._table_name(name, version)))
+        else:
+            df.write.mode("errorifexists").parquet(path)
         return version
 
     def commit(self, name: str, version: int) -> None:
