@@ -24,11 +24,16 @@ from tidemark.plans import models
 from tidemark.schemas import CUSTOMER, ID_REGISTRY, IDENTITY_MAP, JOURNEY, ORDERS, SHOP_MAP, MartSpec
 
 
-def dedupe_snapshot(spec: MartSpec, df: DataFrame) -> DataFrame:
-    """M2 (R1-R3): keep the most recent row per key of the current snapshot."""
+def dedupe_snapshot(spec: MartSpec, df: DataFrame, keys_checked: bool = False) -> DataFrame:
+    """M2 (R1-R3): keep the most recent row per key of the current snapshot.
+
+    ``keys_checked``: the snapshot passed the commit check (no NULL merge
+    keys), so NULL -> '' normalisation is a no-op and is skipped; the window
+    then partitions by the stored key columns and keeps a bucketed layout.
+    """
     if not spec.dedupe_order:
         return df
-    if spec.dedupe_normalise:
+    if spec.dedupe_normalise and not keys_checked:
         df = df.select(*[(F.coalesce(F.col(c), F.lit("")) if c in spec.dedupe_normalise else F.col(c)).alias(c)
                          for c in df.columns])
     return latest_per_key(df, list(spec.keys), list(spec.dedupe_order))
@@ -48,6 +53,7 @@ class SyncOptions:
     customer_tiebreak: str | None = None
     ignore_blank: bool = False
     full_refresh: bool = False
+    snapshot_keys_checked: bool = False
 
 
 Current = Callable[[MartSpec], DataFrame | None]
@@ -91,7 +97,8 @@ def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptio
     """
     def run(spec: MartSpec, make: Callable[[RunContext], DataFrame]) -> DataFrame:
         snapshot = None if opts.full_refresh else current(spec)
-        target = dedupe_snapshot(spec, snapshot) if snapshot is not None else None
+        target = (dedupe_snapshot(spec, snapshot, opts.snapshot_keys_checked)
+                  if snapshot is not None else None)
         ctx = RunContext(opts.now, target, opts.window_hours, opts.ts_type)
         return materialize(spec, merge_into(spec, target, make(ctx)))
 

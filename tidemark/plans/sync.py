@@ -97,7 +97,8 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
 
     opts = SyncOptions(now=now, window_hours=window_hours, ts_type=ts_type,
                        extracted_col=extracted_col, customer_tiebreak=customer_tiebreak,
-                       ignore_blank=ignore_blank, full_refresh=full_refresh)
+                       ignore_blank=ignore_blank, full_refresh=full_refresh,
+                       snapshot_keys_checked=check)
     marts = build_all(inputs, current, opts, materialize)
     for name in marts:  # dependency order; each access writes and commits one mart
         marts[name]
