@@ -76,3 +76,26 @@ def test_interrupted_run_keeps_previous_versions_and_rerun_completes(spark, scra
     versions = _sync(spark, base, scratch, "2002-01-01 00:00:00")
     assert versions[SHOP_MAP.name] == 3 and store.current_version(SHOP_MAP.name) == 3
     assert validate(SHOP_MAP, store.read(SHOP_MAP.name)) == []
+
+
+def test_bucketed_target_is_not_reshuffled_by_the_merge(spark, scratch):
+    import contextlib
+    import io
+
+    from tidemark.plans.marts import SyncOptions, build_all
+    from tidemark.schemas import ID_REGISTRY
+
+    run1 = fixture_inputs(spark, SF_SMALL, F.col("updated_at") < ts_literal("2001-01-01 00:00:00"))
+    _sync(spark, run1, scratch, "2001-01-01 00:00:00")
+    store = SnapshotStore(spark, scratch)
+    opts = SyncOptions(now="2002-01-01 00:00:00", extracted_col=FIXTURE_EXTRACTED_COL,
+                       snapshot_keys_checked=True)
+    marts = build_all(fixture_inputs(spark, SF_SMALL),
+                      lambda s: store.read(s.name, bucket_keys=list(s.keys)), opts)
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        marts[ID_REGISTRY.name].explain("formatted")
+    tree = buf.getvalue().split("\n\n")[0].splitlines()
+    scan = next(i for i, line in enumerate(tree) if f"{ID_REGISTRY.name}_v000001" in line)
+    merge = max(i for i, line in enumerate(tree[:scan]) if "SortMergeJoin FullOuter" in line)
+    assert not any("Exchange" in line for line in tree[merge:scan])
