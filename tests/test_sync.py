@@ -99,3 +99,14 @@ def test_bucketed_target_is_not_reshuffled_by_the_merge(spark, scratch):
     scan = next(i for i, line in enumerate(tree) if f"{ID_REGISTRY.name}_v000001" in line)
     merge = max(i for i, line in enumerate(tree[:scan]) if "SortMergeJoin FullOuter" in line)
     assert not any("Exchange" in line for line in tree[merge:scan])
+
+
+def test_full_refresh_rebuilds_from_scratch(spark, scratch):
+    import datetime as dt
+    run1 = fixture_inputs(spark, SF_SMALL, F.col("updated_at") < ts_literal("2001-01-01 00:00:00"))
+    _sync(spark, run1, scratch, "2001-01-01 00:00:00")
+    versions = _sync(spark, fixture_inputs(spark, SF_SMALL), scratch, "2002-01-01 00:00:00", full_refresh=True)
+    assert set(versions.values()) == {2}
+    store = SnapshotStore(spark, scratch)
+    created = {r[0] for r in store.read(IDENTITY_MAP.name).select("created_at").distinct().collect()}
+    assert created == {dt.datetime(2002, 1, 1)}   # nothing carried over from run 1
