@@ -33,3 +33,18 @@ def test_query_matches_oracle(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0 and "customer_id" in df.columns
+
+
+DUCK_TO_SPARK = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean",
+                 "TIMESTAMP": "timestamp_ntz", "DECIMAL(38,9)": "decimal(38,9)", "DOUBLE": "double"}
+
+
+def test_column_types_match_oracle(spark, con):
+    bad = {}
+    for name, fn in entry.queries().items():
+        s = {f.name: f.dataType.simpleString() for f in fn(spark, SF_SMALL).schema.fields}
+        rel = con.sql(entry.oracle_sql()[name])
+        d = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+        if s != d:
+            bad[name] = {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+    assert not bad, bad
