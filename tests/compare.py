@@ -45,16 +45,22 @@ def rows_hash(columns, rows) -> tuple[int, str]:
     return len(lines), h
 
 
+DUCK_TO_SPARK = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "BOOLEAN": "boolean",
+                 "TIMESTAMP": "timestamp_ntz", "DECIMAL(38,9)": "decimal(38,9)", "DOUBLE": "double"}
+
+
 def compare(df, con, sql: str) -> dict:
     s_cols = df.columns
+    s_types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     s_rows = [tuple(r) for r in df.collect()]
     rel = con.sql(sql)
     d_cols = rel.columns
+    d_types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
     d_rows = rel.fetchall()
     s_n, s_h = rows_hash(s_cols, s_rows)
     d_n, d_h = rows_hash(d_cols, d_rows)
     out = {"rows_spark": s_n, "rows_oracle": d_n, "columns_match": sorted(s_cols) == sorted(d_cols),
-           "hash_match": s_h == d_h}
+           "types_match": s_types == d_types, "hash_match": s_h == d_h}
     if not out["hash_match"]:
         order_s = sorted(range(len(s_cols)), key=lambda i: s_cols[i])
         order_d = sorted(range(len(d_cols)), key=lambda i: d_cols[i])

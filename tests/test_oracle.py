@@ -27,7 +27,7 @@ def test_every_query_has_an_oracle():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_matches_oracle(spark, con, name):
     res = compare(entry.queries()[name](spark, SF_SMALL), con, entry.oracle_sql()[name])
-    assert res["columns_match"] and res["hash_match"], res
+    assert res["columns_match"] and res["types_match"] and res["hash_match"], res
 
 
 def test_entry_smoke(spark):
