@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.incremental import SAFETY_WINDOW_HOURS, RunContext
 from tidemark.operators.latest import latest_per_key
+from tidemark.operators.links import HOT_SALTS
 from tidemark.operators.upsert import upsert
 from tidemark.plans import models
 from tidemark.schemas import CUSTOMER, ID_REGISTRY, IDENTITY_MAP, JOURNEY, ORDERS, SHOP_MAP, MartSpec
@@ -54,6 +55,7 @@ class SyncOptions:
     ignore_blank: bool = False
     full_refresh: bool = False
     snapshot_keys_checked: bool = False
+    hot_key_salts: int = HOT_SALTS
 
 
 Current = Callable[[MartSpec], DataFrame | None]
@@ -113,7 +115,7 @@ def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptio
             ID_REGISTRY, lambda ctx: models.id_registry_updates(idmap(), ctx)),
         SHOP_MAP.name: lambda: run(
             SHOP_MAP, lambda ctx: models.shop_map_updates(inputs["customers"], idmap(), ctx,
-                                                          opts.ignore_blank)),
+                                                          opts.ignore_blank, opts.hot_key_salts)),
         CUSTOMER.name: lambda: run(
             CUSTOMER, lambda ctx: models.customer_profile_updates(inputs["customers"], idmap(), shop(),
                                                                   ctx, opts.customer_tiebreak)),

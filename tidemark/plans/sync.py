@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.links import HOT_SALTS
 from tidemark.plans.marts import SyncOptions, build_all
 from tidemark.schemas import MartSpec
 from tidemark.sources.snapshots import SnapshotStore
@@ -67,13 +68,16 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
              now: datetime | str, full_refresh: bool = False, window_hours: int = 24,
              ts_type: T.DataType = T.TimestampNTZType(), extracted_col: str = "_airbyte_extracted_at",
              customer_tiebreak: str | None = None, ignore_blank: bool = False,
-             check: bool = True, bucketed: bool = True, buckets: int | None = None) -> dict[str, int]:
+             check: bool = True, bucketed: bool = True, buckets: int | None = None,
+             hot_key_salts: int = HOT_SALTS) -> dict[str, int]:
     """Build all marts into ``warehouse``; returns {mart: committed version}.
 
     ``inputs`` holds the raw ``customers``, ``orders`` and ``journey`` frames.
     ``now`` is the run time stamped on every row this run touches.
     ``bucketed`` writes every mart bucketed on its merge key (``buckets``
     defaults to ``spark.sql.shuffle.partitions`` at a table's first write).
+    ``hot_key_salts``: tasks a blank contact value is spread over in the
+    email/phone link joins (raise it with the cluster size).
     """
     store = SnapshotStore(spark, warehouse, buckets)
 
@@ -98,7 +102,7 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
     opts = SyncOptions(now=now, window_hours=window_hours, ts_type=ts_type,
                        extracted_col=extracted_col, customer_tiebreak=customer_tiebreak,
                        ignore_blank=ignore_blank, full_refresh=full_refresh,
-                       snapshot_keys_checked=check)
+                       snapshot_keys_checked=check, hot_key_salts=hot_key_salts)
     marts = build_all(inputs, current, opts, materialize)
     for name in marts:  # dependency order; each access writes and commits one mart
         marts[name]
