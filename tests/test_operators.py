@@ -102,3 +102,14 @@ def test_checks_and_example_models(spark):
     assert summary == {("not_null", "id"): 1, ("unique", "id"): 0}
     dup = spark.createDataFrame([(None, "1"), ("", "1"), ("a", "2")], "e string, p string")
     assert [tuple(r) for r in unique_combo(dup, ["e", "p"], normalise=["e"]).collect()] == [("", "1", 2)]
+
+
+def test_salt_count_does_not_change_the_shop_map(spark):
+    from tidemark.operators.incremental import RunContext
+    cust = fx_customers(spark, SF_SMALL)
+    idmap = full_run(spark, SF_SMALL)[IDENTITY_MAP.name]
+    ctx = RunContext("2002-01-01 00:00:00")
+    a = models.shop_map_updates(cust, idmap, ctx, salts=1)
+    b = models.shop_map_updates(cust, idmap, ctx, salts=5)
+    assert a.count() == b.count() > 0
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
