@@ -62,4 +62,21 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM k LEFT JOIN cd USING (rid) LEFT JOIN wd USING (rid)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4}
+_AZ, _az = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+OP9 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM documents),
+l AS (
+  SELECT rid, pos, parts[pos] AS line,
+    translate(trim(parts[pos], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_AZ}', '{_az}') AS k
+  FROM (SELECT rid, parts, unnest(range(1, len(parts) + 1)) AS pos
+        FROM (SELECT rid, string_split(text, chr(10)) AS parts FROM d))),
+bad AS (SELECT k FROM l WHERE k <> '' GROUP BY k HAVING count(DISTINCT rid) >= 10)
+SELECT any_value(d.doc_id) AS doc_id, count(*) AS n_lines,
+  count(*) FILTER (WHERE l.k IN (SELECT k FROM bad)) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE l.k NOT IN (SELECT k FROM bad)), ''))
+    AS kept_sha256
+FROM l JOIN d USING (rid) GROUP BY rid
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4, "op9_line_dedup": OP9}

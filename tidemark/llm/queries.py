@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm.line_runs import drop_lines
 from tidemark.llm.quality_rules import quality
 from tidemark.llm.shared import read_table
 
@@ -15,6 +17,13 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
+    return out.select("doc_id", "_lines.n_lines", "_lines.n_dropped",
+                      F.sha2("_lines.kept_text", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_quality_rules": op4_quality_rules,
+    "op9_line_dedup": op9_line_dedup,
 }
