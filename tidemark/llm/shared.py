@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import pickle
 import uuid
 
-from pyspark import SparkContext
+from pyspark import SparkContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,6 +60,15 @@ def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def ship(spark: SparkSession, model: object):
+    """Broadcast a model of bounded size; the returned function gives it in a worker, once a task.
+
+    Pickled by value, as executors need not have this package.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(model))
+    return lambda: pickle.loads(sent.value)
+
+
 def fold_of(doc_id: Column) -> Column:
     """crc32 of the id as text, mod 4."""
     return F.crc32(doc_id.cast("string")) % 4
