@@ -79,4 +79,23 @@ SELECT any_value(d.doc_id) AS doc_id, count(*) AS n_lines,
 FROM l JOIN d USING (rid) GROUP BY rid
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_quality_rules": OP4, "op9_line_dedup": OP9}
+# Sets of 4-word shingles, links by exact overlap, components by reachability.
+OP7 = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_AZ}', '{_az}'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[i:i+3], ' ') AS g
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, least(len(ws), 1)) + 1)) AS i FROM w)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id
+           GROUP BY a.doc_id, b.doc_id),
+link AS (SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+         WHERE 100 * c >= 85 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM reach r JOIN both_ways l ON l.a = r.b)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(min(reach.b), w.doc_id)) AS component_id
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reach ON reach.a = w.doc_id
+GROUP BY w.doc_id, n.n
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_jaccard_join": OP7, "op4_quality_rules": OP4, "op9_line_dedup": OP9}

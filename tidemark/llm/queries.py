@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, langid, toxicity
+from tidemark.llm.jaccard_join import JaccardParams, jaccard_components
 from tidemark.llm.line_runs import drop_lines
 from tidemark.llm.quality_rules import quality
 from tidemark.llm.shared import read_table
@@ -29,6 +30,10 @@ def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(read_table(spark, sf_dir, "documents"), codec)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read_table(spark, sf_dir, "documents"), JaccardParams(words=4, num=85, den=100))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
     return out.select("doc_id", "_lines.n_lines", "_lines.n_dropped",
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op6_bpe_codec": op6_bpe_codec,
+    "op7_jaccard_join": op7_jaccard_join,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }
