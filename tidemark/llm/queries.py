@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, toxicity
+from tidemark.llm import bpe, langid, packing, toxicity
 from tidemark.llm.jaccard_join import JaccardParams, jaccard_components
 from tidemark.llm.line_runs import drop_lines
 from tidemark.llm.quality_rules import quality
 from tidemark.llm.shared import read_table
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codec = packing.JsonCodec(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return packing.pack(read_table(spark, sf_dir, "documents"), codec)
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
     return toxicity.score(docs, toxicity.fit(docs, labels))
@@ -46,6 +51,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
     "op6_bpe_codec": op6_bpe_codec,
