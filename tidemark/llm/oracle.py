@@ -98,4 +98,21 @@ FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN reach ON reach.a = w.doc_id
 GROUP BY w.doc_id, n.n
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_jaccard_join": OP7, "op4_quality_rules": OP4, "op9_line_dedup": OP9}
+# All pairs of a label by cosine in doubles.
+OP1 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings),
+u AS (SELECT vec_id, label, e, sqrt(list_sum(list_transform(e, lambda x: x * x))) AS norm FROM v
+      WHERE label IS NOT NULL AND len(e) > 0 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+           AND a.norm > 0 AND b.norm > 0 AND len(a.e) = len(b.e)
+         WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.98),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+c AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, least(v.vec_id, coalesce(c.b, v.vec_id)) AS component_id,
+  least(v.vec_id, coalesce(c.b, v.vec_id)) = v.vec_id AS kept
+FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN c ON c.a = v.vec_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_embedding_dedup": OP1, "op7_jaccard_join": OP7, "op4_quality_rules": OP4, "op9_line_dedup": OP9}

@@ -9,12 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, langid, packing, toxicity
+from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.jaccard_join import JaccardParams, jaccard_components
 from tidemark.llm.line_runs import drop_lines
 from tidemark.llm.quality_rules import quality
 from tidemark.llm.shared import read_table
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = packing.JsonCodec(spark, public_tokenizers.path("byte_bpe_50k.json"))
     return packing.pack(read_table(spark, sf_dir, "documents"), codec)
@@ -51,6 +56,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
