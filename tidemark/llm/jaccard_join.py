@@ -420,3 +420,15 @@ def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams())
     return (prints.join(classes, ["f1", "f2", "n"], "left")
             .join(parts, F.col("rep") == F.col("node"), "left")
             .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id")))
+
+
+def keep_one(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
+    """The rows of ``docs``, with all its columns: of each component the row of the smallest id, and all rows
+    without an id."""
+    found = stage(jaccard_components(docs, params), "jaccard-components")
+    gone = stage(found.filter("doc_id <> component_id").select("doc_id"), "jaccard-gone")
+    kept = _by_ids(docs.alias("d"), gone, params, "left_anti")
+    if docs.filter("doc_id IS NOT NULL").count() == found.count():
+        return kept
+    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col("text").cast("string"))))
+    return kept.withColumn("_rank", rank).filter("_rank = 1 OR doc_id IS NULL").drop("_rank")

@@ -147,3 +147,12 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4) -> DataF
         F.size(lines).cast("long").alias("n_lines"),
         F.when(gone["gone"].isNull(), 0).otherwise(F.size(gone["gone"])).cast("long").alias("n_dropped"),
         kept.alias("kept_text")).alias("_lines"))
+
+
+def dedup_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4) -> DataFrame:
+    """``docs`` with the condemned lines gone from text, and n_chars (if there) brought up to date."""
+    out = drop_lines(docs, min_docs, n_batches)
+    kept = F.col("_lines.kept_text")
+    changed = {"text": kept, **({"n_chars": F.length(kept).cast(docs.schema["n_chars"].dataType)}
+                                if "n_chars" in docs.columns else {})}
+    return out.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -115,4 +115,32 @@ SELECT v.vec_id, coalesce(n.n, 0) AS n_links, least(v.vec_id, coalesce(c.b, v.ve
 FROM v LEFT JOIN n ON n.a = v.vec_id LEFT JOIN c ON c.a = v.vec_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_embedding_dedup": OP1, "op7_jaccard_join": OP7, "op4_quality_rules": OP4, "op9_line_dedup": OP9}
+# The list and captures of the query, and for each capture the best entry in force by a correlated choice.
+OP5 = r"""
+WITH p AS (SELECT page_id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS fetched_on,
+             regexp_replace(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://([^/?#]*)', 1),
+                            '^.*@', ''), '\.?(:[0-9]*)?$', '') AS host,
+             regexp_extract(lower(url), '^[a-z][a-z0-9+.\-]*://[^/?#]*([^?#]*)', 1) AS path0 FROM pages),
+c AS (SELECT page_id, url, fetched_on, host, CASE WHEN path0 = '' THEN '/' ELSE path0 END AS path FROM p),
+h AS (SELECT host, min(page_id) AS m FROM c WHERE host <> '' GROUP BY host),
+e AS (SELECT 'host' AS kind, host AS pattern, 'block' AS action, m % 200 AS d FROM h WHERE m % 3 = 0
+      UNION ALL SELECT 'host', host, 'remove', m % 200 + 90 FROM h WHERE m % 3 = 0
+      UNION ALL SELECT 'domain', regexp_extract(host, '([^.]+\.[^.]+\.[^.]+)$', 1), 'block', m % 300 FROM h WHERE m % 5 = 0
+      UNION ALL SELECT 'prefix', host || '/en/', 'allow', m % 250 FROM h WHERE m % 2 = 0),
+one AS (SELECT kind, pattern, DATE '2024-01-01' + CAST(d AS INTEGER) AS valid_from,
+          max(CASE action WHEN 'allow' THEN 3 WHEN 'block' THEN 2 ELSE 1 END) AS a
+        FROM e WHERE pattern <> '' GROUP BY ALL),
+i AS (SELECT *, lead(valid_from) OVER (PARTITION BY kind, pattern ORDER BY valid_from) AS valid_to FROM one),
+m AS (SELECT c.page_id, i.kind, i.pattern, i.valid_from, i.a,
+        row_number() OVER (PARTITION BY c.page_id ORDER BY CASE i.kind WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 ELSE 1 END
+                           DESC, length(i.pattern) DESC, i.pattern DESC) AS r
+      FROM c JOIN i ON i.a > 1 AND c.fetched_on >= i.valid_from AND (i.valid_to IS NULL OR c.fetched_on < i.valid_to)
+       AND CASE i.kind WHEN 'host' THEN c.host = i.pattern
+                       WHEN 'domain' THEN c.host = i.pattern OR ends_with(c.host, '.' || i.pattern)
+                       ELSE starts_with(c.host || c.path, i.pattern) END)
+SELECT c.page_id, c.url, CAST(c.fetched_on AS VARCHAR) AS fetched_on, coalesce(m.a = 2, false) AS blocked, m.kind,
+  m.pattern, CAST(m.valid_from AS VARCHAR) AS valid_from
+FROM c LEFT JOIN m ON m.page_id = c.page_id AND m.r = 1
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_url_filters": OP5, "op1_embedding_dedup": OP1, "op7_jaccard_join": OP7, "op4_quality_rules": OP4, "op9_line_dedup": OP9}

@@ -14,6 +14,7 @@ from tidemark.llm.jaccard_join import JaccardParams, jaccard_components
 from tidemark.llm.line_runs import drop_lines
 from tidemark.llm.quality_rules import quality
 from tidemark.llm.shared import read_table
+from tidemark.llm.url_lists import filter_urls, page_captures, page_list
 
 
 def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +36,12 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    out = filter_urls(page_captures(pages), page_list(pages)).withColumnRenamed("id", "page_id")
+    return out.withColumns({c: F.col(c).cast("string") for c in ("fetched_on", "valid_from")})
+
+
 def op6_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     codec = bpe.Codec(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     return bpe.digests(read_table(spark, sf_dir, "documents"), codec)
@@ -60,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_toxicity": op3_toxicity,
     "op4_quality_rules": op4_quality_rules,
+    "op5_url_filters": op5_url_filters,
     "op6_bpe_codec": op6_bpe_codec,
     "op7_jaccard_join": op7_jaccard_join,
     "op9_line_dedup": op9_line_dedup,

@@ -233,3 +233,17 @@ def score(docs: DataFrame, model: KneserNeyRatio) -> DataFrame:
     return evidence(rows, model, "held_out boolean").select(
         "doc_id", "held_out", "score", (F.col("score") >= model.params.threshold).cast("int").alias("predicted"),
         "mean_ratio", "peak_ratio")
+
+
+def reject_toxic(docs: DataFrame, model: KneserNeyRatio) -> DataFrame:
+    """The rows of ``docs``, with all its columns, that the model does not call toxic; no join, no shuffle."""
+    load = ship(docs.sparkSession, model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, cache = load(), {}
+        for b in batches:
+            texts = b["text"].to_pylist()
+            scores = [m.scores(m.evidence(texts[at:at + 500], cache)) for at in range(0, len(texts), 500)]
+            if scores:
+                yield b.filter(pa.array(np.concatenate(scores) < m.params.threshold))
+    return docs.mapInArrow(keep, docs.schema)
