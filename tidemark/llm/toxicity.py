@@ -6,8 +6,8 @@ highest order only; below it both back off to the same continuation counts,
 shared by the classes, so that a rare expression leans on what both classes say
 about its ending, and the log-likelihood ratio stems from what the classes do
 differently. A document's evidence is the ratio per word: over the whole
-document, and over its most toxic window of ``window`` words. A logistic curve
-on a fold that the models have not seen turns both into a score.
+document, and over its most toxic window of ``window`` words. A logistic curve,
+fitted on a fold that its models had not seen, turns both into a score.
 
 Counting runs in Spark over every labelled row: words first, then the n-grams of
 distinct words. The model on the driver and in the workers holds at most
@@ -36,6 +36,8 @@ from tidemark.llm.shared import fold_of, held_out, ship, stage
 BITS = 12                      # a character code; larger code points are folded
 TOP = (1 << BITS) - 1
 ORDER = 5
+CALIBRATION_FOLD = 3
+COUNTS = ("toxic", "ordinary", "early_toxic", "early_ordinary")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -43,6 +45,7 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 class ToxicityParams:
     discount: float = 0.75
     max_grams: int = 2_000_000
+    lowest: float = -0.1             # least ratio of a word
     window: int = 40
     calibration_rows: int = 20_000   # of the fold that calibrates, at most
     broadcast_labels: int = 1_000_000  # more labels than this are joined by shuffle
@@ -93,12 +96,17 @@ class KneserNeyRatio:
         self.grams, counts = grams[order], (toxic[order], ordinary[order])
         low = shared_probability(self.grams, params.discount)
         self.history, at = np.unique(self.grams >> BITS, return_inverse=True)
-        ratio, rest = np.zeros(len(grams)), np.zeros(len(self.history))
-        for sign, n in zip((1, -1), counts):
+
+
+        def discounted(n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Discounted relative frequencies, and by history what the discounts leave to the back-off."""
             total = np.bincount(at, n, minlength=len(self.history))
             kinds = np.bincount(at, n > 0, minlength=len(self.history))
             weight = np.where(total > 0, params.discount * kinds / np.maximum(total, 1), 1.0)
-            own = np.maximum(n - params.discount, 0) / np.maximum(total, 1)[at]
+            return np.maximum(n - params.discount, 0) / np.maximum(total, 1)[at], weight
+        ratio, rest = np.zeros(len(grams)), np.zeros(len(self.history))
+        for sign, n in zip((1, -1), counts):
+            own, weight = discounted(n)
             ratio += sign * np.log(own + weight[at] * low)
             rest += sign * np.log(weight)
         self.ratio, self.rest = ratio.astype(np.float32), rest.astype(np.float32)
@@ -112,7 +120,10 @@ class KneserNeyRatio:
     def words(self, words: list[str]) -> np.ndarray:
         gram, word = word_grams(words)
         rest = self._find(self.history, self.rest, gram >> BITS, np.zeros(len(gram), np.float32))
-        return np.bincount(word, self._find(self.grams, self.ratio, gram, rest), minlength=len(words))
+        found = np.bincount(word, self._find(self.grams, self.ratio, gram, rest), minlength=len(words))
+        # A word can speak for a toxic text, hardly against: most words of such texts are ordinary, and
+        # a language with few toxic examples would weigh on every word.
+        return np.maximum(found, self.params.lowest)
 
     def evidence(self, texts: list[str | None], cache: dict[str, float]) -> np.ndarray:
         """(ratio per word of the text, of its most toxic window) by text."""
@@ -171,9 +182,11 @@ def labelled(docs: DataFrame, labels: DataFrame, params: ToxicityParams) -> Data
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """(gram, toxic, ordinary) summed over the rows: by word first, so grams are made of distinct words."""
-    words = (rows.select("toxic", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w")).filter("w <> ''")
-             .groupBy("w").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary")))
+    """(gram, COUNTS) summed over the rows: by word first, so grams are made of distinct words."""
+    early = (F.col("fold") != CALIBRATION_FOLD).cast("int")
+    sums = dict(zip(COUNTS, (F.col("toxic"), 1 - F.col("toxic"), F.col("toxic") * early, (1 - F.col("toxic")) * early)))
+    words = (rows.select("toxic", "fold", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
+             .filter("w <> ''").groupBy("w").agg(*[F.sum(v).alias(c) for c, v in sums.items()]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -181,29 +194,33 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                 continue
             gram, word = word_grams(b["w"].to_pylist())
             keys, inverse = np.unique(gram, return_inverse=True)
-            sums = [np.bincount(inverse, b[c].to_numpy()[word]).astype(np.int64) for c in ("toxic", "ordinary")]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, sums)], ["gram", "toxic", "ordinary"])
-    return (words.mapInArrow(count, "gram long, toxic long, ordinary long")
-            .groupBy("gram").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+            sums = [np.bincount(inverse, b[c].to_numpy()[word]).astype(np.int64) for c in COUNTS]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), *map(pa.array, sums)], ["gram", *COUNTS])
+    return (words.mapInArrow(count, "gram long, " + ", ".join(f"{c} long" for c in COUNTS))
+            .groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> KneserNeyRatio:
-    """Models from folds 0 and 1, the curve from fold 3."""
+    """Models from all folds that may be learned from; the curve comes from models of the other folds
+    on the calibration fold."""
     rows = labelled(docs, labels, params)
-    grams = stage(gram_counts(rows.filter("fold IN (0, 1)")), "toxic-grams")
-    sums = grams.agg(F.count("*"), F.sum("toxic"), F.sum("ordinary")).first()
+    grams = stage(gram_counts(rows), "toxic-grams")
+    sums = grams.agg(F.count("*"), *[F.sum(c) for c in COUNTS]).first()
     if sums[0] > params.max_grams:
         grams = grams.orderBy((F.col("toxic") + F.col("ordinary")).desc(), "gram").limit(params.max_grams)
-    usable = bool(sums[1]) and bool(sums[2])
-    table = grams.toArrow() if usable else None
-    arrays = [table[c].to_numpy() for c in ("gram", "toxic", "ordinary")] if usable else [np.zeros(0, np.int64)] * 3
-    model = KneserNeyRatio(*arrays, params)
-    if usable:
-        part = rows.filter("fold = 3").withColumn("h", F.xxhash64("doc_id", F.lit("toxicity")))
+    if not (sums[1] and sums[2]):
+        return KneserNeyRatio(*[np.zeros(0, np.int64)] * 3, params)
+    table = {c: v.to_numpy() for c, v in zip(("gram", *COUNTS), grams.toArrow().columns)}
+    model = KneserNeyRatio(table["gram"], table["toxic"], table["ordinary"], params)
+    model.curve = (1.0, 4.0, -4.0)
+    if sums[3] and sums[4]:
+        seen = table["early_toxic"] + table["early_ordinary"] > 0
+        early = KneserNeyRatio(*[table[c][seen] for c in ("gram", "early_toxic", "early_ordinary")], params)
+        part = rows.filter(F.col("fold") == CALIBRATION_FOLD).withColumn("h", F.xxhash64("doc_id", F.lit("toxicity")))
         n = part.count()
         if n > params.calibration_rows:
             part = part.filter(F.pmod("h", F.lit(1_000_000)) < int(1e6 * params.calibration_rows / n))
-        found = evidence(part.select("doc_id", "text", "toxic"), model, "toxic int").toArrow()
+        found = evidence(part.select("doc_id", "text", "toxic"), early, "toxic int").toArrow()
         x = np.column_stack([found[c].to_numpy() for c in ("mean_ratio", "peak_ratio")])
         model.curve = fit_curve(x, found["toxic"].to_numpy().astype(float))
     return model
