@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bpe, langid, packing, toxicity
+from tidemark.llm import bpe, cotrain, langid, packing, toxicity
 from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.jaccard_join import JaccardParams, jaccard_components
 from tidemark.llm.line_runs import drop_lines
@@ -51,6 +51,11 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read_table(spark, sf_dir, "documents"), JaccardParams(words=4, num=85, den=100))
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return cotrain.score(docs, cotrain.fit(docs, labels))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10)
     return out.select("doc_id", "_lines.n_lines", "_lines.n_dropped",
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filters": op5_url_filters,
     "op6_bpe_codec": op6_bpe_codec,
     "op7_jaccard_join": op7_jaccard_join,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
 }
