@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import WS_CHARS, lower_ascii, n_partitions, row_key, scratch_root, stage, text_or_empty
+from tidemark.llm.shared import WS_CHARS, lower_ascii, n_partitions, row_key, scratch_root, stage, text_or_empty, unused_name
 
 KEY = ["h1", "h2"]
 
@@ -126,8 +126,8 @@ def condemned_keys(docs: DataFrame, min_docs: int, n_batches: int = 4) -> DataFr
     return bad
 
 
-def drop_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4) -> DataFrame:
-    """``docs`` with a column ``_lines``: struct(n_lines, n_dropped, kept_text)."""
+def drop_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4, name: str = "_lines") -> DataFrame:
+    """``docs`` with one more column: struct(n_lines, n_dropped, kept_text)."""
     bad = condemned_keys(docs, min_docs, n_batches)
     d = docs.select("doc_id", text_or_empty().alias("text"))
     ident = [F.coalesce(F.col("doc_id"), F.lit(-1)).alias("row_id"), row_key(F.col("text")).alias("row_hash")]
@@ -146,13 +146,14 @@ def drop_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4) -> DataF
     return out.select("d.*", F.struct(
         F.size(lines).cast("long").alias("n_lines"),
         F.when(gone["gone"].isNull(), 0).otherwise(F.size(gone["gone"])).cast("long").alias("n_dropped"),
-        kept.alias("kept_text")).alias("_lines"))
+        kept.alias("kept_text")).alias(name))
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, n_batches: int = 4) -> DataFrame:
     """``docs`` with the condemned lines gone from text, and n_chars (if there) brought up to date."""
-    out = drop_lines(docs, min_docs, n_batches)
-    kept = F.col("_lines.kept_text")
+    name = unused_name(docs, "_lines")
+    out = drop_lines(docs, min_docs, n_batches, name)
+    kept = F.col(f"{name}.kept_text")
     changed = {"text": kept, **({"n_chars": F.length(kept).cast(docs.schema["n_chars"].dataType)}
                                 if "n_chars" in docs.columns else {})}
     return out.withColumns(changed).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -69,6 +69,14 @@ def ship(spark: SparkSession, model: object):
     return lambda: pickle.loads(sent.value)
 
 
+def unused_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores before it as it takes to be no column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def fold_of(doc_id: Column) -> Column:
     """crc32 of the id as text, mod 4."""
     return F.crc32(doc_id.cast("string")) % 4
