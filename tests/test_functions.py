@@ -74,3 +74,27 @@ def test_safe_timestamp_ignores_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == [dt.datetime(2024, 1, 2, 3, 4, 5), dt.datetime(2024, 1, 2, 1, 4, 5), dt.datetime(2024, 1, 2, 3, 4, 5)]
+
+
+def test_aware_datetimes_become_utc(spark):
+    from datetime import datetime, timedelta, timezone
+    from pyspark.sql import types as T
+    from tidemark.functions.timex import ts_literal
+    aware = datetime(2024, 1, 1, 8, tzinfo=timezone(timedelta(hours=8)))
+    row = spark.range(1).select(ts_literal(aware).cast("string"), ts_literal(aware, T.TimestampType()).cast("long")).first()
+    assert row[0] == "2024-01-01 00:00:00" and row[1] == int(aware.timestamp())
+
+
+def test_decimal_sums_are_exact_or_raise(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    from tidemark.plans.models import _sum_decimals
+
+    def total(*values):
+        arr = F.array(*[F.lit(v).cast("decimal(38,9)") for v in values])
+        return spark.range(1).select(_sum_decimals(arr).cast("string")).first()[0]
+    assert total("1.10", None, "2.05") == "3.150000000" and total(None) is None
+    assert total("9" * 28, "-1") == "9" * 27 + "8.000000000"
+    for pair in (("1.00", "2" + "0" * 28), ("2" + "0" * 28, "1.00")):
+        with pytest.raises(Exception, match="out of range"):
+            total(*pair)

@@ -43,8 +43,18 @@ def test_failed_check_does_not_commit(spark, scratch):
     assert problems and "duplicate" in problems[0]
     v2 = store.write(IDENTITY_MAP.name, bad)
     assert v2 == 2 and store.current_version(IDENTITY_MAP.name) == 1
-    with pytest.raises(MartCheckError):
-        raise MartCheckError("; ".join(problems))
+
+
+def test_run_with_a_failing_check_stops_before_its_commit(spark, scratch, monkeypatch):
+    from tidemark.plans import sync
+    run1 = fixture_inputs(spark, SF_SMALL, F.col("updated_at") < ts_literal("2001-01-01 00:00:00"))
+    real = sync.validate
+    monkeypatch.setattr(sync, "validate", lambda spec, table: (
+        [f"{spec.name}: unique(order_id) failed for 1"] if spec.name == ORDERS.name else real(spec, table)))
+    with pytest.raises(MartCheckError, match="unique"):
+        _sync(spark, run1, scratch, "2001-01-01 00:00:00")
+    store = SnapshotStore(spark, scratch)
+    assert store.current_version(ORDERS.name) is None and store.current_version(IDENTITY_MAP.name) == 1
 
 
 def test_validate_reports_null_non_key_column(spark):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,9 +12,15 @@ from pyspark.sql import types as T
 def ts_literal(value: datetime | str, dtype: T.DataType = T.TimestampNTZType()) -> Column:
     """A timestamp literal of ``dtype``, built from its wall-clock text.
 
-    Going through text keeps the Python process time zone out of the value.
+    Going through text keeps the Python process time zone out of the value. A
+    datetime with a zone is converted to UTC first.
     """
-    text = value.isoformat(sep=" ") if isinstance(value, datetime) else str(value)
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        text = value.astimezone(timezone.utc).replace(tzinfo=None).isoformat(sep=" ")
+        if isinstance(dtype, T.TimestampType):
+            text += "Z"
+    else:
+        text = value.isoformat(sep=" ") if isinstance(value, datetime) else str(value)
     return F.lit(text).cast(dtype)
 
 

@@ -252,11 +252,16 @@ def customer_profile_updates(customers: DataFrame, identity_map: DataFrame, shop
 def _sum_decimals(arr: Column) -> Column:
     """Sum of a decimal(38,9) array; NULL when empty or all NULL.
 
-    Addends are narrowed to (37,9) so the sum type stays (38,9) with no scale loss.
+    Both sides of an addition are narrowed to (37,9), so that its type stays (38,9) with no scale loss.
+    A sum or addend that does not fit raises: an addend is never left out.
     """
     d37 = "decimal(37,9)"
-    return F.aggregate(arr, F.lit(None).cast(NUMERIC),
-                       lambda acc, x: F.coalesce(acc.try_cast(d37) + x.try_cast(d37), acc, x).cast(NUMERIC))
+
+    def narrow(v: Column) -> Column:
+        too_large = F.raise_error(F.concat(F.lit("decimal sum out of range: "), v.cast("string"))).cast(d37)
+        return F.coalesce(v.try_cast(d37), F.when(v.isNotNull(), too_large))
+    return F.aggregate(arr, F.lit(None).cast(NUMERIC), lambda acc, x: F.when(acc.isNull(), x).when(
+        x.isNull(), acc).otherwise((narrow(acc) + narrow(x)).cast(NUMERIC)))
 
 
 def line_item_skus(line_items_doc: Column) -> Column:

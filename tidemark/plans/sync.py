@@ -4,8 +4,9 @@ Each mart is written as a new snapshot version, its checks run on the
 *written* files (only the checked columns are read), and the version is
 committed only if they pass; downstream marts then read the committed files.
 That keeps each job's lineage short (a lost executor recomputes from the
-written upstream table, not from the raw sources) and means a failed run
-leaves every mart at its previous committed version.
+written upstream table, not from the raw sources). Commits are per mart: a
+failed run leaves the mart that failed, and those after it, at their previous
+versions; marts committed before it keep the new one, and a rerun completes.
 """
 
 from __future__ import annotations

@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 NUMERIC = T.DecimalType(38, 9)
 TS_NTZ = T.TimestampNTZType()
-TS_LTZ = T.TimestampType()
 
 # Order-table column groups by type, as the orders model projects them.
 ORDER_JSON_COLUMNS = (

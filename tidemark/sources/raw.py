@@ -9,8 +9,3 @@ from pyspark.sql import types as T
 def read_raw(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
     """Lazy scan of one raw table; Catalyst prunes columns and pushes filters into it."""
     return spark.read.schema(schema).format(fmt).load(path)
-
-
-def typed_empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """An empty relation of ``schema`` (first-run stand-in for a missing table)."""
-    return spark.createDataFrame([], schema)

@@ -134,11 +134,17 @@ class SnapshotStore:
         fs.mkdirs(p)
 
     def prune(self, name: str, keep: int = 2) -> list[int]:
-        """Delete all but the ``keep`` newest committed versions; returns the deleted ones."""
-        gone = self.versions(name)[:-keep] if keep > 0 else self.versions(name)
+        """Delete all but the ``keep`` newest committed versions; returns the deleted ones.
+
+        The current version always stays. Catalog entries of deleted versions go with them.
+        """
+        if keep < 1:
+            raise ValueError("keep must be at least 1: the current version cannot be pruned")
+        gone = self.versions(name)[:-keep]
         for v in gone:
             fs, p = self._fs(f"{self._commit_dir(name)}/{v:06d}")
             fs.delete(p, True)
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(name, v)}")
             fs, p = self._fs(self.version_dir(name, v))
             fs.delete(p, True)
         return gone
