@@ -98,3 +98,12 @@ def test_decimal_sums_are_exact_or_raise(spark):
     for pair in (("1.00", "2" + "0" * 28), ("2" + "0" * 28, "1.00")):
         with pytest.raises(Exception, match="out of range"):
             total(*pair)
+
+
+def test_ids_survive_what_the_variant_parser_refuses(spark):
+    from tidemark.functions import object_scalar
+    long = '{"note": "' + "x" * 20_100_000 + '", "id": 7}'
+    texts = ['{"id": 5}', '{"id": 5, "a": 1, "a": 2}', '{"id": {"x": 1}, "a": 1, "a": 2}', '{"id": 5, "a": 1,', None, long]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = {r[0]: r[1] for r in df.select("i", object_scalar("t", "$.id")).collect()}
+    assert got == {0: "5", 1: "5", 2: None, 3: None, 4: None, 5: "7"}

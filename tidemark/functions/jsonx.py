@@ -48,6 +48,20 @@ def json_scalar(doc, path: str = "$") -> Column:
     return F.when(~is_container(sub), sub.cast("string"))
 
 
+def object_scalar(text, path: str) -> Column:
+    """Text of the scalar at ``path`` of a JSON object's text, else NULL.
+
+    As ``json_scalar`` of the parsed text. A valid object that the VARIANT parser
+    refuses (a repeated key, a very long string) is read by path from its text;
+    of a repeated key the first value counts.
+    """
+    text = _c(text)
+    doc = parse_doc(text)
+    raw = F.get_json_object(text, path)
+    by_path = F.when(F.json_object_keys(text).isNotNull() & ~F.substring(raw, 1, 1).isin("{", "["), raw)
+    return F.when(doc.isNotNull(), json_scalar(doc, path)).otherwise(by_path)
+
+
 def json_subtree(text, path: str, doc=None) -> Column:
     """Compact JSON text of the value at ``path``; NULL when absent, JSON null or malformed.
 

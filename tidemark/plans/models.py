@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.casts import safe_bigint, safe_bool, safe_decimal, safe_timestamp
 from tidemark.functions.ids import key_uuid
-from tidemark.functions.jsonx import JsonRecord, json_array, json_scalar, parse_doc
+from tidemark.functions.jsonx import JsonRecord, json_array, json_scalar, object_scalar, parse_doc
 from tidemark.operators.incremental import RunContext, changed_keys, incremental_filter, keep_keys
 from tidemark.operators.latest import latest_per_key, latest_value
 from tidemark.operators.links import HOT_SALTS, link_on_any, salted_equi_join
@@ -62,7 +62,7 @@ def orders_latest(orders: DataFrame, extracted_col: str = "_airbyte_extracted_at
     """Latest version per order id, projected and renamed; shop customer id read from JSON."""
     latest = latest_per_key(orders.filter(F.col("id").isNotNull()), ["id"],
                             ["updated_at", extracted_col])
-    shop_id = latest.select("*", safe_bigint(json_scalar(parse_doc("customer"), "$.id")).alias("_shopify_id"))
+    shop_id = latest.select("*", safe_bigint(object_scalar("customer", "$.id")).alias("_shopify_id"))
     renames = dict(ORDERS_LATEST_RENAMES, shopify_id="_shopify_id")
     return shop_id.selectExpr(*[f"`{renames.get(c, c)}` AS `{c}`" for c in ORDERS_LATEST_COLUMNS],
                               f"`{extracted_col}`", "updated_at")
