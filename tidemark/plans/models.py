@@ -227,14 +227,15 @@ def customer_profile_updates(customers: DataFrame, identity_map: DataFrame, shop
     per_shop = raw.groupBy("shopify_id").agg(
         *[latest_value(src, order, when=F.col(src).isNotNull()).alias(f"_l_{out}")
           for src, out in PROFILE_LATEST],
-        F.min("created_at").alias("_min_created"),
-        F.sort_array(F.collect_set("tags")).alias("_tags"))
-    tags = F.sort_array(F.array_distinct(F.flatten(F.collect_set("_tags"))))
+        F.min("created_at").alias("_min_created"))
+    # Distinct (customer, tag) pairs first: what is then collected is no more than the output.
+    shop_tags = raw.filter(F.col("tags").isNotNull()).select("shopify_id", F.col("tags").alias("_tag")).distinct()
+    tag_lists = (links.join(shop_tags, "shopify_id", "inner").select("customer_id", "_tag").distinct()
+                 .groupBy("customer_id").agg(F.sort_array(F.collect_list("_tag")).alias("_tag_list")))
     per_customer = links.join(per_shop, "shopify_id", "inner").groupBy("customer_id").agg(
         *[F.max(f"_l_{out}").getField("v").alias(out) for _, out in PROFILE_LATEST],
-        F.min("_min_created").alias("shopify_created_at"),
-        tags.alias("_tag_list"))
-    src = idmap.join(per_customer, "customer_id", "left")
+        F.min("_min_created").alias("shopify_created_at"))
+    src = idmap.join(per_customer, "customer_id", "left").join(tag_lists, "customer_id", "left")
     if ctx.incremental:
         existing = ctx.target.select("customer_id", F.col("created_at").alias("_e_created_at"))
         src = src.join(existing, "customer_id", "left")
