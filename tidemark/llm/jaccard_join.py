@@ -20,8 +20,8 @@ A document's set is its distinct word k-grams, as 64-bit hashes. Exact copies
   *heavy*. Any link with a set that is not heavy was found by the keys.
 * **Heavy sets** (common passages, large groups of near copies) are joined among
   themselves by prefix filtering: the rarest (1-t)n + 1 elements of two linked
-  sets meet. Each element's sets are compared with the smallest id first; only
-  pairs whose ends are then still in different components are compared further.
+  sets meet. Sets that meet, directly or through others, are compared in blocks of
+  a bounded number of elements; a task returns only the links that join its sets.
 * Every candidate pair is **verified exactly** on whole texts.
 
 Defined results: null or empty text has an empty set (n_shingles 0), linked with
@@ -42,12 +42,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import small_batches
-from tidemark.llm.shared import connected_components, n_partitions, stage
+from tidemark.llm.shared import connected_components, n_partitions, stage, unused_name
 
 U64 = np.uint64
 RADIX = 0x9E3779B97F4A7C15
 CHUNK = 1 << 20
-SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -57,7 +56,8 @@ class JaccardParams:
     den: int = 100
     bucket: int = 32              # keys of more sets are unusable
     band_ratio: float = 1.3
-    chance: float = 0.05          # assumed chance that an element is shared by unrelated sets
+    chance: float = 0.05         # assumed chance that an element is shared by unrelated sets
+    block_elements: int = 1 << 20   # of the heavy sets that a block holds, on average
     broadcast_ids: int = 2_000_000  # more ids than this are joined by shuffle
 
 
@@ -351,7 +351,11 @@ def verify(pairs: DataFrame, docs: DataFrame, params: JaccardParams) -> DataFram
 
 
 def heavy_links(docs: DataFrame, heavy: DataFrame, params: JaccardParams) -> DataFrame:
-    """Links (a, b) that leave the heavy sets' components as all their links would."""
+    """Links (a, b) that leave the heavy sets' components as all their links would.
+
+    Sets that share an element of their prefixes are gathered into components, and these are compared
+    block by block: a task holds the sets of two blocks and returns the links that join them.
+    """
     k, num, den = params.words, params.num, params.den
     mine = stage(_by_ids(docs, heavy, params, "inner"), "jaccard-heavy")
 
@@ -373,22 +377,64 @@ def heavy_links(docs: DataFrame, heavy: DataFrame, params: JaccardParams) -> Dat
              .withColumn("df", F.coalesce("df", F.lit(1))).withColumn("r", rank)
              .filter((F.col("r") <= prefix) & (F.col("df") > 1)).select("doc_id", "n", "e", "center"))
     front = stage(front, "jaccard-front")
-    # The two commonest centres of a set will do: what they miss is compared below.
-    star = (front.filter("doc_id <> center").groupBy(F.col("center").alias("a"), F.col("doc_id").alias("b")).count()
-            .withColumn("r", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("count"), "a")))
-            .filter("r <= 2").select("a", "b", F.xxhash64("a", F.pmod("b", F.lit(SALTS))).alias("group")))
-    links = stage(verify(star, mine, params), "jaccard-links")
-    parts = connected_components(links)
-    front = front.join(parts, F.col("doc_id") == F.col("node"), "left").select(
-        "doc_id", "n", "e", F.coalesce("component", "doc_id").alias("c"))
-    # Elements whose sets are still in several components.
-    open_e = front.groupBy("e").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("e")
-    left = front.join(open_e, "e")
-    right = left.select("e", F.col("doc_id").alias("doc2"), F.col("n").alias("n2"), F.col("c").alias("c2"))
-    rest = (left.join(right, "e").filter("c < c2 AND least(n, n2) * %d >= greatest(n, n2) * %d" % (den, num))
-            .select(F.least("doc_id", "doc2").alias("a"), F.greatest("doc_id", "doc2").alias("b")).distinct()
-            .withColumn("group", F.xxhash64("a")))
-    return links.union(verify(stage(rest, "jaccard-rest"), mine, params))
+    edges = front.filter("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
+    parts = connected_components(edges)
+    sized = front.select("doc_id", "n").distinct().join(parts, F.col("doc_id") == F.col("node"))
+    blocks = sized.groupBy("component").agg(F.ceil(F.sum("n") / params.block_elements).cast("int").alias("s"))
+    members = stage(sized.join(blocks, "component").select("doc_id", "component", "s"), "jaccard-members")
+    rows = _by_ids(mine, members, params, "inner").withColumn("i", F.pmod(F.xxhash64("doc_id"), F.col("s")).cast("int"))
+    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("s") - 1)))
+    rows = rows.select("doc_id", "text", "i", F.xxhash64("component", F.least("i", "j"), F.greatest("i", "j")).alias("pair"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, pair, held = Shingler(k), None, []
+
+        def links() -> pa.RecordBatch:
+            found = linked_within(held, num, den)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([x[c] for x in found], pa.int64()) for c in (0, 1)], ["a", "b"])
+        for whole in batches:
+            for b in small_batches(whole, "text"):
+                for doc, text, i, p in zip(*(b[c].to_pylist() for c in ("doc_id", "text", "i", "pair"))):
+                    if p != pair:
+                        if held:
+                            yield links()
+                        pair, held = p, []
+                    held.append((doc, i, shingler.shingles(text)))
+        if held:
+            yield links()
+    return (rows.repartition(n_partitions(docs.sparkSession), "pair").sortWithinPartitions("pair", "doc_id")
+            .mapInArrow(compare, "a long, b long"))
+
+
+def linked_within(held: list[tuple[int, int, np.ndarray]], num: int, den: int) -> list[tuple[int, int]]:
+    """Links among (id, block, set) that join all that is linked: of one block all pairs are compared, of
+    two those across. A set is compared with all others at once, by counting its elements in them."""
+    ids = [h[0] for h in held]
+    block = np.array([h[1] for h in held])
+    across = len(set(block.tolist())) > 1
+    sizes = np.array([len(h[2]) for h in held], np.int64)
+    _, element = np.unique(np.concatenate([h[2] for h in held]), return_inverse=True)
+    ends = np.cumsum(sizes)
+    starts = ends - sizes
+    label, mark, out = np.arange(len(held)), np.zeros(int(element.max()) + 1, np.int64), []
+    for x in range(len(held) - 1):
+        rest = np.arange(x + 1, len(held))
+        fits = (np.minimum(sizes[rest], sizes[x]) * den >= np.maximum(sizes[rest], sizes[x]) * num)
+        if not (fits & (label[rest] != label[x])).any():
+            continue
+        own = element[starts[x]:ends[x]]
+        mark[own] = 1
+        both = np.add.reduceat(mark[element[starts[x + 1]:]], starts[x + 1:] - starts[x + 1])
+        mark[own] = 0
+        linked = den * both >= num * (sizes[x] + sizes[rest] - both)
+        if across:
+            linked &= block[rest] != block[x]
+        for y in rest[linked]:
+            if label[y] != label[x]:
+                label[label == label[y]] = label[x]
+                out.append((ids[x], ids[y]))
+    return out
 
 
 def jaccard_components(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFrame:
@@ -431,4 +477,5 @@ def keep_one(docs: DataFrame, params: JaccardParams = JaccardParams()) -> DataFr
     if docs.filter("doc_id IS NOT NULL").count() == found.count():
         return kept
     rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(F.col("text").cast("string"))))
-    return kept.withColumn("_rank", rank).filter("_rank = 1 OR doc_id IS NULL").drop("_rank")
+    name = unused_name(docs, "_rank")
+    return kept.withColumn(name, rank).filter(f"{name} = 1 OR doc_id IS NULL").drop(name)
