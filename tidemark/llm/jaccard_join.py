@@ -56,7 +56,7 @@ class JaccardParams:
     den: int = 100
     bucket: int = 32              # keys of more sets are unusable
     band_ratio: float = 1.3
-    chance: float = 0.05         # assumed chance that an element is shared by unrelated sets
+    chance: float = 0.005         # assumed chance that an element is shared by unrelated sets
     block_elements: int = 1 << 20   # of the heavy sets that a block holds, on average
     broadcast_ids: int = 2_000_000  # more ids than this are joined by shuffle
 
@@ -157,6 +157,15 @@ def bands_for(params: JaccardParams, largest: int) -> list[tuple[int, int]]:
     return out
 
 
+SPARE_SHARES = (0.02, 0.04, 0.06, 0.08, 0.1, 0.13, 0.16, 0.2, 0.25, 0.3)  # of H, tried as e
+
+
+def poisson_at_most(k: int, mean: float) -> float:
+    """Probability of at most ``k`` empty segments where ``mean`` are expected."""
+    log_terms = [-mean + i * math.log(max(mean, 1e-300)) - math.lgamma(i + 1) for i in range(k + 1)]
+    return min(1.0, sum(math.exp(t) for t in log_terms))
+
+
 def allocate(params: JaccardParams, sizes: dict[int, int]) -> list[Band]:
     """Bands with their cheapest allocation, for ``sizes`` (set size -> number of sets)."""
     bands = []
@@ -166,14 +175,14 @@ def allocate(params: JaccardParams, sizes: dict[int, int]) -> list[Band]:
             continue  # only equal sets link, and those are one representative
         n = sum(c for size, c in sizes.items() if low <= size <= high * params.den // params.num)
         best = None
-        for spare in range(6):
+        for spare in sorted({*range(8), *(int(differ * f) for f in SPARE_SHARES)}):
             for deletion in range(0, (differ + 1 + spare) // 2 + 1 if high <= 64 else 1):
                 exact = differ + 1 + spare - 2 * deletion
                 m = exact + deletion
                 each = low / m
                 mean = exact * math.exp(-each)
-                within = sum(math.exp(-mean) * mean ** i / math.factorial(i) for i in range(spare + 1))
-                cost = (n * (exact + deletion * (1 + each)) + n * (1 - within) * high
+                # A set without enough usable segments costs about all its elements, several times over.
+                cost = (n * (exact + deletion * (1 + each)) + 4 * n * (1 - poisson_at_most(spare, mean)) * high
                         + n * n * m * params.chance ** max(each, 1e-9) / 2)
                 if best is None or cost < best[0]:
                     best = cost, Band(index, low, high, exact, deletion, spare)
