@@ -113,9 +113,11 @@ def sample_vectors(docs: DataFrame, params: LangIdParams) -> DataFrame:
     """(lang, counts as bytes) of the bounded sample of rows that may be learned from."""
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     rows = rows.filter(~held_out(F.col("doc_id")) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # The rank needs ids only; texts are fetched for the chosen rows alone.
-    ids = rows.select("doc_id", "lang", F.xxhash64("doc_id", F.lit("langid")).alias("h"))
-    ranked = ids.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
+    # A share of each language by hash, about twice what is wanted, so that the exact rank sees few rows.
+    ids = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)).alias("h"))
+    sizes = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    near = ids.join(sizes, "lang").filter((F.col("n") < 20) | (F.col("h") * F.col("n") < 2 * params.per_lang * (1 << 30)))
+    ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
     ranked = ranked.filter(F.col("r") <= params.per_lang)
     chosen = ranked.orderBy("r", "lang").limit(params.max_sample).select("doc_id", "lang").distinct()
     picked = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
