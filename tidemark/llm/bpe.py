@@ -46,7 +46,9 @@ def byte_table() -> list[str]:
 
 
 TO_SHOWN = dict(enumerate(byte_table()))
-LAST_PLAIN = "\u0250"  # letters below it are letters for every library
+# Letters up to U+024F are letters for every library.
+PLAIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
+MARKED = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\\[-`{-~]+)")
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -94,21 +96,37 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.merges = Tokenizer(self.tokenizer.model)
+        self.blank = TO_SHOWN[32]
+        self.marks: dict[str, bytes] = {}          # runs of ASCII marks
         self.inner: dict[str, bytes | None] = {}   # pieces after a blank, without it; None: not to be cut there
         self.first: dict[str, bytes] = {}          # pieces at the start of a text, or cut the slow way
 
     def _learn(self, cache: dict, pieces: set[str], prefix: str) -> None:
         if len(cache) > CACHE_PIECES:
             cache.clear()
-        new = [p for p in pieces if p not in cache]
-        if prefix:
-            cache.update((p, None) for p in new if not p or p[0].isspace() or p[-1].isspace())
-            new = [p for p in new if p not in cache]
-        # Plain words are one match of the pattern as they stand: only the merges remain to be run.
-        words = [p for p in new if p.isalpha() and max(p) < LAST_PLAIN]
-        shown = [(prefix + p).encode().decode("latin-1").translate(TO_SHOWN) for p in words]
-        self._run(cache, self.merges, words, shown)
-        rest = [p for p in new if not (p.isalpha() and max(p) < LAST_PLAIN)]
+        if len(self.marks) > CACHE_PIECES:
+            self.marks.clear()
+        # A plain word is one match of the pattern as it stands, and so is a run of marks behind it:
+        # only the merges remain to be run, once for a word with whatever marks.
+        words, marked, rest = [], {}, []
+        for p in pieces:
+            if p not in cache:
+                if PLAIN.fullmatch(p):
+                    words.append(p)
+                elif m := MARKED.fullmatch(p):
+                    marked[p] = m.groups()
+                elif prefix and (not p or p[0].isspace() or p[-1].isspace()):
+                    cache[p] = None
+                else:
+                    rest.append(p)
+        words = {core for core, _ in marked.values() if core not in cache}.union(words)
+        words = list(words)
+        self._run(cache, self.merges, words, [self.blank + p if prefix and p.isascii() else
+                                              (prefix + p).encode().decode("latin-1").translate(TO_SHOWN)
+                                              for p in words])
+        marks = {tail for _, tail in marked.values() if tail not in self.marks}
+        self._run(self.marks, self.tokenizer, list(marks), list(marks))
+        cache.update((p, cache[core] + self.marks[tail]) for p, (core, tail) in marked.items())
         self._run(cache, self.tokenizer, rest, [prefix + p for p in rest])
 
     @staticmethod
@@ -121,15 +139,25 @@ class PieceEncoder:
             cache.update((p, ids[a:b]) for p, a, b in zip(part, [0, *ends], ends))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        plain = {i: t.split(" ") for i, t in enumerate(texts) if t}
-        self._learn(self.inner, set().union(*(p[1:] for p in plain.values())), " ")
-        self._learn(self.first, {p[0] for p in plain.values() if not p[0][-1:].isspace()}, "")
+        plain, need, known = {}, set(), self.inner.get
+        for i, t in enumerate(texts):
+            if t:
+                parts = t.split(" ")
+                ids = list(map(known, parts))
+                gaps = [k for k, x in enumerate(ids) if x is None] if None in ids else []
+                need.update([parts[k] for k in gaps])
+                plain[i] = parts, ids, gaps
+        self._learn(self.inner, need, " ")
+        self._learn(self.first, {p[0] for p, _, _ in plain.values() if not p[0][-1:].isspace()}, "")
         out, slow = [b""] * len(texts), {}
-        for i, parts in plain.items():
-            try:
-                out[i] = self.first[parts[0]] + b"".join(map(self.inner.__getitem__, parts[1:]))
-            except (KeyError, TypeError):  # white space beside a blank
+        for i, (parts, ids, gaps) in plain.items():
+            for k in gaps:
+                ids[k] = self.inner[parts[k]]
+            ids[0] = self.first.get(parts[0])
+            if None in ids:  # white space beside a blank
                 slow[i] = CUT.split(texts[i])
+            else:
+                out[i] = b"".join(ids)
         self._learn(self.first, set().union(*slow.values()), "")
         for i, parts in slow.items():
             out[i] = b"".join(map(self.first.__getitem__, parts))

@@ -39,7 +39,7 @@ __all__ = ["Codec", "JsonCodec", "PackingParams", "pack", "sequences", "decode_t
 class PackingParams:
     window: int = 2048
     grain: int = 8             # unit of the histogram
-    cut: int = 16              # tokens that a piece of the rest may be cut at; a multiple of grain
+    cut: int = 32              # tokens that a piece of the rest may be cut at; a multiple of grain
     depth: int = 3             # pieces of a combination
     separator: int = 1
     greedy_fill: float = 0.99  # windows that the greedy pass may close
