@@ -75,6 +75,23 @@ def test_keep_one_keeps_all_columns_and_rows_without_id(spark):
     assert ids.count(None) == 2 and ids.count(4) == 1 and 5 not in ids and 1 in ids and 11 in ids
 
 
+@pytest.mark.parametrize("params", [JaccardParams(), JaccardParams(5, 80, 100)])
+def test_jaccard_join_of_long_texts(spark, params):
+    """More spare capacity is left in long texts than a byte holds."""
+    rng, rows = random.Random(6), []
+    for i, n in enumerate((8_000, 20_000, 25_000, 60_000)):
+        text = [f"w{rng.randrange(50_000)}" for _ in range(n)]
+        near = list(text)
+        for at in rng.sample(range(n), n // 100):
+            near[at] = "changed"
+        far = [w if at % 9 else f"far{at}" for at, w in enumerate(text)]
+        rows += [(10 * i + j, " ".join(t)) for j, t in enumerate((text, near, far))]
+    n, c = brute_jaccard(rows, params.words, params.num, params.den)
+    assert {c[r[0]] for r in rows} == {10 * i + j for i in range(4) for j in (0, 2)}
+    got = jaccard_components(documents(spark, rows), params).collect()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {d: (n[d], c[d]) for d in n}
+
+
 def test_allocation_leaves_a_match_for_every_link():
     """Sets that differ by as much as a link allows share a usable key, unless one is out of capacity."""
     rng = np.random.default_rng(1)

@@ -257,11 +257,11 @@ def key_rows(docs: DataFrame, params: JaccardParams, bands: list[Band]) -> DataF
                             if spare < 0:
                                 keys, flags = np.append(keys, np.int64(doc)), np.append(flags, np.int8(2))
                             rows.append((keys, np.full(len(keys), doc, np.int64), flags,
-                                         np.full(len(keys), max(spare, 0), np.int8)))
+                                         np.full(len(keys), max(spare, 0), np.int64)))
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(c)) for c in zip(*rows)], ["key", "doc_id", "flag", "spare"])
-    return docs.mapInArrow(run, "key long, doc_id long, flag byte, spare byte")
+    return docs.mapInArrow(run, "key long, doc_id long, flag byte, spare long")
 
 
 def bucket_rows(keys: DataFrame, params: JaccardParams) -> DataFrame:
@@ -280,7 +280,7 @@ def bucket_rows(keys: DataFrame, params: JaccardParams) -> DataFrame:
             home = pa.nulls(len(a), pa.int64()) if home is None else pa.array(home, pa.int64())
             return pa.RecordBatch.from_arrays([home, pa.array(a, pa.int64()), pa.array(b, pa.int64())],
                                               ["home", "a", "b"])
-        held = [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.int8)] * 2
+        held = [np.zeros(0, d) for d in (np.int64, np.int64, np.int8, np.int64)]
         hot = None                         # the key of a run that has grown past the limit
         for batch in batches:
             cols = [np.concatenate([h, batch[c].to_numpy()]) for h, c in
@@ -305,7 +305,7 @@ def bucket_rows(keys: DataFrame, params: JaccardParams) -> DataFrame:
                 elif i < last:
                     marked = cols[2][s:e] == 2
                     heavy_a.append(cols[1][s:e][marked])
-                    heavy_b.append(np.full(int(marked.sum()), -1, np.int8))
+                    heavy_b.append(np.full(int(marked.sum()), -1, np.int64))
                     if e - s - marked.sum() > 1:
                         found.append(pairs(cols[1][s:e][~marked], cols[2][s:e][~marked]))
                 if i == last:
