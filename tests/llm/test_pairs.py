@@ -159,6 +159,23 @@ def test_nn_descent_equals_brute_force(spark):
     check_vectors(spark, rows, NeighbourParams(k=6, leaf=16, block=32, chunk=64))
 
 
+def tight_groups(rng, cosine, size, spread, dim=32):
+    """Two groups of near copies whose centres have the given cosine."""
+    q, _ = np.linalg.qr(rng.standard_normal((dim, 2)))
+    centres = q[:, 0], cosine * q[:, 0] + np.sqrt(1 - cosine ** 2) * q[:, 1]
+    return [c + rng.standard_normal(dim) * spread / np.sqrt(dim) for c in centres for _ in range(size)]
+
+
+def test_links_between_tight_groups(spark):
+    """All of a label are in one bucket and every list is full of links of its own group."""
+    rng = np.random.default_rng(8)
+    rows = [(v.tolist(), label) for label, cosine in enumerate((0.986, 0.9)) for v in tight_groups(rng, cosine, 20, 0.02)]
+    rows = [(i, *r) for i, r in enumerate(rows)]
+    n, c = brute_vectors(rows)
+    assert n[0] == 39 and n[40] == 19 and len(set(c.values())) == 3
+    check_vectors(spark, rows)
+
+
 def test_nn_descent_odd_rows(spark):
     e = [1.0, 2.0, 3.0]
     rows = [(1, e, 0), (2, [2.0, 4.0, 6.0], 0), (3, e, 1), (4, e, None), (5, None, 0), (6, [0.0] * 3, 0),

@@ -6,9 +6,11 @@
    Neighbours below ``floor`` are of no use for a link and are not kept.
 3. **Descent**: at every vector, its neighbours and those that list it are compared
    with each other, and each vector's list is refined; until few lists change.
-4. **Saturation**: a list full of links may miss some. Lists of a component with
-   such a vector are enlarged to the whole component, compared block by block;
-   tasks return counts, not pairs.
+4. **Saturation**: a list full of links may miss some. Links that comparisons find
+   beyond the lists are kept as spanning forests. Vectors with full lists are searched
+   again for links with other components. Lists of a component with such a vector are
+   enlarged to the whole component, compared block by block; tasks return counts, not
+   pairs.
 5. **Audit**: a bounded sample is compared with all vectors. While the recall of
    its links is below ``target_recall``, the search is repeated with twice as many
    bucket tables.
@@ -92,15 +94,37 @@ def parts_by(table: pa.Table, column: str) -> Iterator[pa.Table]:
         yield table.take([i for i, x in enumerate(values) if x == v])
 
 
-def nearest(ids: np.ndarray, x: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(a, b, cosine) of each row's k nearest other rows at ``floor`` or more."""
+def spanning(near: np.ndarray) -> tuple[list[int], list[int]]:
+    """Pairs that join all that a symmetric matrix of links joins; fewer than it has rows."""
+    unseen, a, b = np.ones(len(near), bool), [], []
+    for root in np.flatnonzero(near.any(axis=1)).tolist():
+        reached = [root] if unseen[root] else []
+        unseen[root] = False
+        while reached:
+            at = reached.pop()
+            new = np.flatnonzero(near[at] & unseen).tolist()
+            unseen[new] = False
+            a += [at] * len(new)
+            b += new
+            reached += new
+    return a, b
+
+
+def nearest(table: pa.Table, ids: str, params: NeighbourParams) -> pa.RecordBatch:
+    """(a, b, s): each row's k nearest rows of other components c, at ``floor`` or more; and where links
+    are not among them, as many links as join what all of them join."""
+    i, c, x = table[ids].to_numpy(), table["c"].to_numpy(), unit(table["v"])
     s = x @ x.T
-    np.fill_diagonal(s, -2.0)
-    if len(ids) > k:
-        limit = -np.partition(-s, k - 1, axis=1)[:, k - 1:k]
-        s = np.where(s >= limit, s, -2.0)
-    a, b = np.nonzero(s >= floor)
-    return ids[a], ids[b], s[a, b]
+    s[c[:, None] == c[None, :]] = -2.0
+    keep = s >= params.floor
+    if len(i) > params.k:
+        keep &= s >= -np.partition(-s, params.k - 1, axis=1)[:, params.k - 1:params.k]
+        near = s >= params.threshold
+        near |= near.T
+        if (near & ~keep & ~keep.T).any():
+            keep[spanning(near)] = True
+    a, b = np.nonzero(keep)
+    return pa.RecordBatch.from_arrays([pa.array(y) for y in (i[a], i[b], s[a, b])], ["a", "b", "s"])
 
 
 def valid_vectors(embeddings: DataFrame) -> DataFrame:
@@ -133,10 +157,9 @@ def _sorted_by(df: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def first_lists(vectors: DataFrame, params: NeighbourParams, tables: range) -> DataFrame:
-    """(a, b, s) from random-hyperplane buckets, ``tables`` of them."""
+    """(a, b, s) from random-hyperplane buckets, ``tables`` of them. ``vectors``: vec_id, c, g, v."""
     sizes = stage(vectors.groupBy("g").agg(F.count("*").alias("size")), "nn-sizes")
     seed, leaf, span, count = params.seed, params.leaf, (tables.start, tables.stop), len(tables)
-    k, floor = params.k, params.floor
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple[int, int], np.ndarray] = {}
@@ -154,19 +177,18 @@ def first_lists(vectors: DataFrame, params: NeighbourParams, tables: range) -> D
                     code = side[:, :bits] @ (1 << np.arange(bits, dtype=np.int64)) if bits else np.zeros(len(x), np.int64)
                     fine = side[:, bits:] @ (1 << np.arange(16, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays(
-                        [*(part[c].combine_chunks() for c in ("vec_id", "g", "v")),
+                        [*(part[c].combine_chunks() for c in ("vec_id", "c", "g", "v")),
                          pa.array(np.full(len(x), t)), pa.array(code), pa.array(fine)],
-                        ["vec_id", "g", "v", "t", "code", "fine"])
+                        ["vec_id", "c", "g", "v", "t", "code", "fine"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, "bucket", params.chunk):
             for part in parts_by(run, "g") if run.num_rows > 1 else ():
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in nearest(part["vec_id"].to_numpy(), unit(part["v"]), k, floor)], ["a", "b", "s"])
+                yield nearest(part, "vec_id", params)
     assert count
-    coded = vectors.join(_small(sizes, params), "g").select("vec_id", "g", "v", "size").mapInArrow(
-        codes, "vec_id long, g string, v binary, t long, code long, fine long")
-    coded = coded.select("vec_id", "g", "v", F.xxhash64("g", "t", "code").alias("bucket"), "fine")
+    coded = vectors.join(_small(sizes, params), "g").select("vec_id", "c", "g", "v", "size").mapInArrow(
+        codes, "vec_id long, c long, g string, v binary, t long, code long, fine long")
+    coded = coded.select("vec_id", "c", "g", "v", F.xxhash64("g", "t", "code").alias("bucket"), "fine")
     return _sorted_by(coded, "bucket", "fine", "vec_id").mapInArrow(compare, "a long, b long, s double")
 
 
@@ -179,25 +201,24 @@ def best_k(edges: DataFrame, k: int) -> DataFrame:
 
 def descend(lists: DataFrame, vectors: DataFrame, params: NeighbourParams) -> DataFrame:
     """One round: neighbours and reverse neighbours of each vector are compared with each other."""
-    k, floor = params.k, params.floor
     both = lists.select("a", "b").union(lists.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    at = both.join(vectors.select(F.col("vec_id").alias("b"), "v"), "b")
+    at = both.join(vectors.select(F.col("vec_id").alias("b"), "c", "v"), "b")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in runs(batches, "a", params.chunk):
             if run.num_rows > 1:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c) for c in nearest(run["b"].to_numpy(), unit(run["v"]), k, floor)], ["a", "b", "s"])
-    return _sorted_by(at.select("a", "b", "v"), "a", "b").mapInArrow(compare, "a long, b long, s double")
+                yield nearest(run, "b", params)
+    return _sorted_by(at.select("a", "b", "c", "v"), "a", "b").mapInArrow(compare, "a long, b long, s double")
 
 
-def neighbour_graph(vectors: DataFrame, params: NeighbourParams, found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(lists, all links found) after descent from the ``found`` edges."""
+def neighbour_graph(vectors: DataFrame, params: NeighbourParams, found: DataFrame,
+                    inner: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(lists, links found) after descent from the ``found`` edges, also along those of ``inner``."""
     links = found.filter(F.col("s") >= params.threshold)
     lists = stage(best_k(found, params.k), "nn-lists")
     total = lists.count()
     for _ in range(params.rounds if total else 0):
-        more = stage(descend(lists, vectors, params), "nn-round")
+        more = stage(descend(lists if inner is None else lists.union(inner), vectors, params), "nn-round")
         links = links.union(more.filter(F.col("s") >= params.threshold))
         refined = stage(best_k(lists.union(more), params.k), "nn-lists")
         changed = refined.join(lists, ["a", "b"], "left_anti").count()
@@ -208,6 +229,36 @@ def neighbour_graph(vectors: DataFrame, params: NeighbourParams, found: DataFram
     return lists, stage(links, "nn-links")
 
 
+def link_components(vectors: DataFrame, params: NeighbourParams, lists: DataFrame, links: DataFrame,
+                    tables: int) -> tuple[DataFrame, DataFrame]:
+    """(links, components) with those between components, of vectors whose lists are full of links.
+
+    Their lists show nothing beyond their own component. So they are searched again, alone, by buckets and
+    descent that compare only across components, until that joins no more of them.
+    """
+    parts = stage(connected_components(links), "nn-parts")
+    full = full_lists(lists, params).withColumnRenamed("a", "vec_id")
+    dense = stage(vectors.drop("c").join(full, "vec_id"), "nn-dense")
+    while True:
+        named = dense.join(parts.select(F.col("node").alias("vec_id"), F.col("component").alias("c")), "vec_id")
+        several = named.groupBy("g").agg(F.count_distinct("c").alias("m")).filter("m > 1").select("g")
+        named = stage(named.join(several, "g", "left_semi").select("vec_id", "c", "g", "v"), "nn-named")
+        if named.isEmpty():
+            return links, parts
+        found = stage(first_lists(named, params, range(tables)), "nn-across")
+        more = neighbour_graph(named, params, found, lists)[1]
+        if more.isEmpty():
+            return links, parts
+        links = stage(links.union(more), "nn-links")
+        parts = stage(connected_components(links), "nn-parts")
+
+
+def full_lists(lists: DataFrame, params: NeighbourParams) -> DataFrame:
+    """(a) of the lists that are full of links."""
+    return (lists.filter(F.col("s") >= params.threshold).groupBy("a").count()
+            .filter(F.col("count") >= params.k).select("a"))
+
+
 def block_counts(members: DataFrame, params: NeighbourParams) -> DataFrame:
     """(vec_id, n): weights of the other members of its component that each vector links with.
 
@@ -271,17 +322,16 @@ def near_duplicates(embeddings: DataFrame, params: NeighbourParams = NeighbourPa
     rows = stage(rows.select("vec_id", "x.g", "x.v"), "nn-rows")
     copies = rows.groupBy("g", "v").agg(F.min("vec_id").alias("rep"), F.count("*").alias("w"))
     copies = stage(copies, "nn-copies")
-    vectors = copies.select(F.col("rep").alias("vec_id"), "g", "v", "w")
+    vectors = copies.select(F.col("rep").alias("vec_id"), F.col("rep").alias("c"), "g", "v", "w")
 
     found, done, tables = None, 0, params.tables
     for attempt in range(params.attempts):
         more = stage(first_lists(vectors, params, range(done, tables)), "nn-first")
         found, done, tables = more if found is None else found.union(more), tables, 2 * tables
         lists, links = neighbour_graph(vectors, params, found)
-        parts = stage(connected_components(links), "nn-parts")
+        links, parts = link_components(vectors, params, lists, links, tables)
         # Components with a list that is full of links.
-        full = lists.filter(F.col("s") >= params.threshold).groupBy("a").count().filter(F.col("count") >= params.k)
-        wide = full.join(parts, F.col("a") == F.col("node")).select("component").distinct()
+        wide = full_lists(lists, params).join(parts, F.col("a") == F.col("node")).select("component").distinct()
         wide = stage(parts.join(wide, "component", "left_semi"), "nn-wide")
         sizes = wide.groupBy("component").agg(F.count("*").alias("size"))
         members = (wide.join(sizes, "component").withColumnRenamed("component", "c")
