@@ -176,6 +176,18 @@ def test_links_between_tight_groups(spark):
     check_vectors(spark, rows)
 
 
+def test_exact_comparison_after_the_last_attempt(spark):
+    """One bucket table and no descent lose isolated pairs; a large group does not hide them."""
+    rng, rows = np.random.default_rng(9), []
+    centre = rng.standard_normal(16)
+    made = [centre + rng.standard_normal(16) * 0.02 for _ in range(80)]
+    for _ in range(30):
+        pair = rng.standard_normal(16)
+        made += [pair + rng.standard_normal(16) * 0.12 for _ in range(2)]
+    rows = [(i, np.float32(v).tolist(), 0) for i, v in enumerate(made)]
+    check_vectors(spark, rows, NeighbourParams(tables=1, rounds=0, leaf=1, attempts=1, block=32))
+
+
 def test_nn_descent_odd_rows(spark):
     e = [1.0, 2.0, 3.0]
     rows = [(1, e, 0), (2, [2.0, 4.0, 6.0], 0), (3, e, 1), (4, e, None), (5, None, 0), (6, [0.0] * 3, 0),

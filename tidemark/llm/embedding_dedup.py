@@ -13,7 +13,7 @@
    pairs.
 5. **Audit**: a bounded sample is compared with all vectors. While the recall of
    its links is below ``target_recall``, the search is repeated with twice as many
-   bucket tables.
+   bucket tables; after the last attempt, all vectors of a label are compared.
 
 Cosines are in double precision. Defined results: a vector that is null, empty or
 zero, holds null or non-finite components, or has no label, links with nothing.
@@ -259,8 +259,9 @@ def full_lists(lists: DataFrame, params: NeighbourParams) -> DataFrame:
             .filter(F.col("count") >= params.k).select("a"))
 
 
-def block_counts(members: DataFrame, params: NeighbourParams) -> DataFrame:
-    """(vec_id, n): weights of the other members of its component that each vector links with.
+def block_rows(members: DataFrame, params: NeighbourParams, spans: bool) -> DataFrame:
+    """(vec_id, n, b): weights of the other members of its component that each vector links with, as
+    parts of a sum; with ``spans`` also links (vec_id, 0, b) that join all that is linked.
 
     ``members``: vec_id, c, size, w, v. A component of s blocks is s (s + 1) / 2 tasks' worth of
     pairs of blocks; a task holds two blocks.
@@ -275,20 +276,38 @@ def block_counts(members: DataFrame, params: NeighbourParams) -> DataFrame:
         for run in runs(batches, "pair", 1 << 30):
             ids, w, i = (run[c].to_numpy() for c in ("vec_id", "w", "i"))
             x = unit(run["v"])
-            n = np.zeros(len(ids), np.int64)
+            n, kept = np.zeros(len(ids), np.int64), []
             for at in range(0, len(ids), 512):
                 near = x[at:at + 512] @ x.T >= threshold
                 near &= ids[at:at + 512, None] != ids[None, :]
                 if len(set(i.tolist())) > 1:  # two blocks: only pairs across them
                     near &= i[at:at + 512, None] != i[None, :]
                 n[at:at + 512] = near @ w
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(n)], ["vec_id", "n"])
-    return (_sorted_by(m, "pair", "vec_id").mapInArrow(count, "vec_id long, n long")
-            .groupBy("vec_id").agg(F.sum("n").alias("n")))
+                kept.append(near if spans else near[:0])
+            a, b = spanning(np.concatenate(kept)) if spans else ([], [])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.append(ids, ids[a])), pa.array(np.append(n, np.zeros(len(a), np.int64))),
+                 pa.concat_arrays([pa.nulls(len(ids), pa.int64()), pa.array(ids[b], pa.int64())])], ["vec_id", "n", "b"])
+    return _sorted_by(m, "pair", "vec_id").mapInArrow(count, "vec_id long, n long, b long")
+
+
+def block_counts(members: DataFrame, params: NeighbourParams) -> DataFrame:
+    """(vec_id, n): weights of the other members of its component that each vector links with."""
+    return block_rows(members, params, False).groupBy("vec_id").agg(F.sum("n").alias("n"))
+
 
+def compare_all(vectors: DataFrame, params: NeighbourParams) -> tuple[DataFrame, DataFrame]:
+    """(links, counts) by comparing all vectors of each label, block by block: exact, and quadratic in its size."""
+    sizes = vectors.groupBy("g").agg(F.count("*").alias("size"))
+    members = vectors.join(_small(sizes, params), "g").select("vec_id", F.xxhash64("g").alias("c"), "size", "w", "v")
+    rows = stage(block_rows(members, params, True), "nn-exact")
+    counts = rows.groupBy("vec_id").agg(F.sum("n").alias("n")).filter("n > 0")
+    return rows.filter("b IS NOT NULL").select(F.col("vec_id").alias("a"), "b"), stage(counts, "nn-counts")
 
-def audit(vectors: DataFrame, counts: DataFrame, params: NeighbourParams) -> float:
-    """Recall of the sampled vectors' links, against a comparison of the sample with all vectors."""
+
+def audit(vectors: DataFrame, counts: DataFrame, parts: DataFrame, params: NeighbourParams) -> float:
+    """Recall of the sampled vectors' links, against a comparison of the sample with all vectors: the lower
+    of the averages over vectors and over components, so that one large group does not hide the others."""
     sample = vectors.orderBy(F.xxhash64("vec_id", F.lit(params.seed))).limit(params.audit).select("vec_id", "g", "v")
     rows = sample.collect()
     by_group: dict[str, tuple[list[int], list[bytes]]] = {}
@@ -311,8 +330,12 @@ def audit(vectors: DataFrame, counts: DataFrame, params: NeighbourParams) -> flo
                         [pa.array(q[0]), pa.array((near @ part["w"].to_numpy()).astype(np.int64))], ["vec_id", "n"])
     true = (vectors.mapInArrow(compare, "vec_id long, n long").groupBy("vec_id").agg(F.sum("n").alias("actual"))
             .filter("actual > 0"))
-    r = true.join(counts, "vec_id", "left").agg(F.sum("actual"), F.sum(F.coalesce("n", F.lit(0)))).first()
-    return 1.0 if not r[0] else r[1] / r[0]
+    recall = F.least(F.coalesce("n", F.lit(0)) / F.col("actual"), F.lit(1.0)).alias("r")
+    seen = (true.join(counts, "vec_id", "left").join(parts, F.col("vec_id") == F.col("node"), "left")
+            .select(recall, F.coalesce("component", "vec_id").alias("c"))
+            .groupBy("c").agg(F.sum("r").alias("r"), F.count("*").alias("m")))
+    r = seen.agg(F.sum("r") / F.sum("m"), F.avg(F.col("r") / F.col("m"))).first()
+    return 1.0 if r[0] is None else min(r)
 
 
 def near_duplicates(embeddings: DataFrame, params: NeighbourParams = NeighbourParams()) -> DataFrame:
@@ -325,7 +348,7 @@ def near_duplicates(embeddings: DataFrame, params: NeighbourParams = NeighbourPa
     vectors = copies.select(F.col("rep").alias("vec_id"), F.col("rep").alias("c"), "g", "v", "w")
 
     found, done, tables = None, 0, params.tables
-    for attempt in range(params.attempts):
+    for _ in range(params.attempts):
         more = stage(first_lists(vectors, params, range(done, tables)), "nn-first")
         found, done, tables = more if found is None else found.union(more), tables, 2 * tables
         lists, links = neighbour_graph(vectors, params, found)
@@ -342,8 +365,11 @@ def near_duplicates(embeddings: DataFrame, params: NeighbourParams = NeighbourPa
         counted = (ends.join(vectors.select(F.col("vec_id").alias("b"), "w"), "b")
                    .groupBy(F.col("a").alias("vec_id")).agg(F.sum("w").alias("n")))
         counts = stage(block_counts(members, params).union(counted), "nn-counts")
-        if attempt + 1 == params.attempts or audit(vectors, counts, params) >= params.target_recall:
+        if audit(vectors, counts, parts, params) >= params.target_recall:
             break
+    else:
+        links, counts = compare_all(vectors, params)
+        parts = stage(connected_components(links), "nn-parts")
 
     owners = rows.join(copies, ["g", "v"]).select("vec_id", "rep", "w")
     owners = (owners.join(counts.withColumnRenamed("vec_id", "rep"), "rep", "left")
