@@ -140,6 +140,21 @@ def test_toxicity_on_odd_rows(spark):
     assert toxicity.score(documents(spark, []), model).count() == 0
 
 
+def test_toxicity_counts_every_gram(spark):
+    """More n-grams than the model in memory may hold give the same scores, from tables."""
+    rng = random.Random(12)
+    rows = [(i, " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(60))
+             + (" vilest beasts!" * 5 if i % 4 == 0 else "")) for i in range(20, 90)] + odd_documents()
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(20, 90)], "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows, clashing=True)
+    models = [toxicity.fit(docs, labels, p) for p in (toxicity.ToxicityParams(), toxicity.ToxicityParams(max_grams=50))]
+    want, got = (sorted((r["doc_id"] or -1, r["mean_ratio"], r["peak_ratio"], r["score"])
+                        for r in toxicity.score(docs, m).collect()) for m in models)
+    assert len(got) == len(rows) and np.allclose(got, want, atol=1e-4)
+    kept = [toxicity.reject_toxic(docs, m) for m in models]
+    assert kept[1].columns == docs.columns and kept[0].count() == kept[1].count() < len(rows)
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     grams, counts = np.unique(toxicity.word_grams(["abra", "cadabra", "abba", "cab"])[0], return_counts=True)
     keys = np.unique(grams & ((1 << 48) - 1))

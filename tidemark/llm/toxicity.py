@@ -10,8 +10,9 @@ document, and over its most toxic window of ``window`` words. A logistic curve,
 fitted on a fold that its models had not seen, turns both into a score.
 
 Counting runs in Spark over every labelled row: words first, then the n-grams of
-distinct words. The model on the driver and in the workers holds at most
-``max_grams`` n-grams (the most frequent ones, ties by code).
+distinct words. All n-grams count. Up to ``max_grams`` of them make a model that is
+sent to the workers; more stay in a table, where the same ratios are computed, and
+the distinct words of the texts are joined to it and scored once.
 
 Defined results: null or empty text scores as a text without evidence, like any
 text without letters. Rows without an id are held out. A document with several
@@ -28,10 +29,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import fold_of, held_out, ship, stage
+from tidemark.llm.shared import fold_of, held_out, n_partitions, ship, stage
 
 BITS = 12                      # a character code; larger code points are folded
 TOP = (1 << BITS) - 1
@@ -44,7 +45,7 @@ NOT_LETTERS = re.compile(r"[\W\d_]+")
 @dataclass(frozen=True)
 class ToxicityParams:
     discount: float = 0.75
-    max_grams: int = 2_000_000
+    max_grams: int = 2_000_000     # more n-grams than this are joined by shuffle
     lowest: float = -0.1             # least ratio of a word
     window: int = 40
     calibration_rows: int = 20_000   # of the fold that calibrates, at most
@@ -152,6 +153,120 @@ class KneserNeyRatio:
         return 1 / (1 + np.exp(-np.clip(a * evidence[:, 0] + b * evidence[:, 1] + c, -30, 30)))
 
 
+class RatioTables:
+    """The ratios of :class:`KneserNeyRatio` as tables (gram, ratio) and (history, rest)."""
+
+    scores = KneserNeyRatio.scores
+
+    def __init__(self, counts: DataFrame, params: ToxicityParams):
+        """``counts``: gram, toxic, ordinary."""
+        self.params, self.curve, d = params, (0.0, 0.0, -30.0), params.discount
+        levels, keys = [], counts.withColumnRenamed("gram", "key")
+        for n in range(ORDER - 1, 0, -1):
+            keys = stage(keys.groupBy(_last("key", n).alias("key")).agg(F.count("*").alias("extensions")), "toxic-level")
+            levels.append((n, keys))
+        low = None
+        for n, keys in reversed(levels):
+            sums = keys.groupBy(F.shiftright("key", BITS).alias("h")).agg(
+                F.sum("extensions").alias("total"), F.count("*").alias("kinds"))
+            rows = keys.join(sums, F.shiftright("key", BITS) == F.col("h"))
+            if low is None:
+                rows = rows.withColumn("p", F.lit(1.0 / keys.count()))
+            else:
+                rows = rows.join(low.withColumnRenamed("key", "into"), _last("key", n - 1) == F.col("into"))
+            p = (F.greatest(F.col("extensions") - d, F.lit(0.0)) + d * F.col("kinds") * F.col("p")) / F.col("total")
+            low = stage(rows.select("key", p.alias("p")), "toxic-low")
+        classes = ("toxic", "ordinary")
+        sums = counts.groupBy(F.shiftright("gram", BITS).alias("history")).agg(
+            *[F.sum(c).alias(f"total_{c}") for c in classes], *[F.count_if(F.col(c) > 0).alias(f"kinds_{c}") for c in classes])
+        weights = {f"weight_{c}": F.when(F.col(f"total_{c}") > 0, d * F.col(f"kinds_{c}") / F.col(f"total_{c}"))
+                   .otherwise(1.0) for c in classes}
+        sums = stage(sums.withColumns(weights), "toxic-histories")
+        self.rest = sums.select("history", (F.log("weight_toxic") - F.log("weight_ordinary")).alias("rest"))
+        rows = (counts.join(sums, F.shiftright("gram", BITS) == F.col("history"))
+                .join(low, _last("gram", ORDER - 1) == F.col("key")))
+        one, two = (F.log(F.greatest(F.col(c) - d, F.lit(0.0)) / F.greatest(F.col(f"total_{c}"), F.lit(1))
+                          + F.col(f"weight_{c}") * F.col("p")) for c in classes)
+        self.ratios = stage(rows.select("gram", (one - two).alias("ratio")), "toxic-ratios")
+
+    def words(self, tokens: DataFrame) -> DataFrame:
+        """(w1, w2, value) of the distinct words with letters, named by two hashes."""
+        def spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                bare = [NOT_LETTERS.sub("", w) for w in b["w"].to_pylist()]
+                at = np.flatnonzero([bool(w) for w in bare])
+                if len(at):
+                    gram, word = word_grams([bare[i] for i in at])
+                    w1, w2 = (b[c].to_numpy()[at][word] for c in ("w1", "w2"))
+                    yield pa.RecordBatch.from_arrays([pa.array(w1), pa.array(w2), pa.array(gram)], ["w1", "w2", "gram"])
+        rows = tokens.select("w1", "w2", "w").dropDuplicates(["w1", "w2"]).mapInArrow(spell, "w1 long, w2 long, gram long")
+        rows = (rows.join(self.ratios, "gram", "left")
+                .join(self.rest, F.shiftright("gram", BITS) == F.col("history"), "left"))
+        value = F.greatest(F.sum(F.coalesce("ratio", "rest", F.lit(0.0))), F.lit(self.params.lowest))
+        return rows.groupBy("w1", "w2").agg(value.alias("value"))
+
+    def evidence(self, rows: DataFrame) -> DataFrame:
+        """(k1, k2, mean_ratio, peak_ratio, score) of the distinct texts that have words."""
+        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                for k1, k2, text in zip(*(b[c].to_pylist() for c in ("k1", "k2", "text"))):
+                    w = text.lower().split()
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k1] * len(w), pa.int64()), pa.array([k2] * len(w), pa.int64()),
+                         pa.array(range(len(w)), pa.int64()), pa.array(w, pa.string())], ["k1", "k2", "pos", "w"])
+        texts = rows.select(*text_keys(), "text").filter("text IS NOT NULL").dropDuplicates(["k1", "k2"])
+        tokens = texts.mapInArrow(split, "k1 long, k2 long, pos long, w string")
+        tokens = tokens.withColumns({"w1": F.xxhash64("w"), "w2": F.xxhash64("w", F.lit("word"))})
+        tokens = stage(tokens, "toxic-tokens")
+        valued = tokens.drop("w").join(self.words(tokens), ["w1", "w2"], "left").select("k1", "k2", "pos", F.coalesce("value", F.lit(0.0)).alias("value"))
+        window, curve = self.params.window, self.curve
+
+        def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            key, held = None, []
+
+            def found() -> pa.RecordBatch:
+                values = np.concatenate(held)
+                total = np.concatenate([[0.0], np.cumsum(values)])
+                w = min(window, len(values))
+                x = np.array([[total[-1] / len(values), (total[w:] - total[:-w]).max() / window]])
+                score = 1 / (1 + np.exp(-np.clip(curve[0] * x[:, 0] + curve[1] * x[:, 1] + curve[2], -30, 30)))
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([key[0]]), pa.array([key[1]]), pa.array(x[:, 0]), pa.array(x[:, 1]), pa.array(score)],
+                    ["k1", "k2", "mean_ratio", "peak_ratio", "score"])
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                k1, k2, value = (b[c].to_numpy() for c in ("k1", "k2", "value"))
+                starts = np.flatnonzero(np.concatenate([[True], (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]))
+                for s, e in zip(starts, [*starts[1:], len(k1)]):
+                    if key != (k1[s], k2[s]):
+                        if held:
+                            yield found()
+                        key, held = (k1[s], k2[s]), []
+                    held.append(value[s:e])
+            if held:
+                yield found()
+        return (valued.repartition(n_partitions(rows.sparkSession), "k1", "k2").sortWithinPartitions("k1", "k2", "pos")
+                .mapInArrow(judge, "k1 long, k2 long, mean_ratio double, peak_ratio double, score double"))
+
+    def join(self, rows: DataFrame) -> DataFrame:
+        """``rows`` as t, with the evidence of their texts as e; texts without words have none."""
+        found = stage(self.evidence(rows), "toxic-evidence").alias("e")
+        k1, k2 = text_keys("t.text")
+        return rows.alias("t").join(found, (k1 == F.col("e.k1")) & (k2 == F.col("e.k2")), "left")
+
+
+def _last(column: str, n: int) -> Column:
+    """The last ``n`` characters of a packed gram."""
+    return F.col(column).bitwiseAND(F.lit((1 << (BITS * n)) - 1).cast("long"))
+
+
+def text_keys(text: str = "text") -> tuple[Column, Column]:
+    """Two hashes that name a text."""
+    t = F.col(text).cast("string")
+    return F.xxhash64(t).alias("k1"), F.xxhash64(t, F.lit("text")).alias("k2")
+
+
 def fit_curve(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, float, float]:
     """Ridge-penalised logistic regression by Newton steps."""
     if len(set(y.tolist())) < 2:
@@ -200,22 +315,28 @@ def gram_counts(rows: DataFrame) -> DataFrame:
             .groupBy("gram").agg(*[F.sum(c).alias(c) for c in COUNTS]))
 
 
-def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> KneserNeyRatio:
+def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> KneserNeyRatio | RatioTables:
     """Models from all folds that may be learned from; the curve comes from models of the other folds
     on the calibration fold."""
     rows = labelled(docs, labels, params)
     grams = stage(gram_counts(rows), "toxic-grams")
     sums = grams.agg(F.count("*"), *[F.sum(c) for c in COUNTS]).first()
-    if sums[0] > params.max_grams:
-        grams = grams.orderBy((F.col("toxic") + F.col("ordinary")).desc(), "gram").limit(params.max_grams)
     if not (sums[1] and sums[2]):
         return KneserNeyRatio(*[np.zeros(0, np.int64)] * 3, params)
-    table = {c: v.to_numpy() for c, v in zip(("gram", *COUNTS), grams.toArrow().columns)}
-    model = KneserNeyRatio(table["gram"], table["toxic"], table["ordinary"], params)
+    wide = sums[0] > params.max_grams
+    if wide:
+        model = RatioTables(grams.select("gram", "toxic", "ordinary"), params)
+    else:
+        table = {c: v.to_numpy() for c, v in zip(("gram", *COUNTS), grams.toArrow().columns)}
+        model = KneserNeyRatio(table["gram"], table["toxic"], table["ordinary"], params)
     model.curve = (1.0, 4.0, -4.0)
     if sums[3] and sums[4]:
-        seen = table["early_toxic"] + table["early_ordinary"] > 0
-        early = KneserNeyRatio(*[table[c][seen] for c in ("gram", "early_toxic", "early_ordinary")], params)
+        if wide:
+            early = grams.select("gram", F.col("early_toxic").alias("toxic"), F.col("early_ordinary").alias("ordinary"))
+            early = RatioTables(early.filter("toxic + ordinary > 0"), params)
+        else:
+            seen = table["early_toxic"] + table["early_ordinary"] > 0
+            early = KneserNeyRatio(*[table[c][seen] for c in ("gram", "early_toxic", "early_ordinary")], params)
         part = rows.filter(F.col("fold") == CALIBRATION_FOLD).withColumn("h", F.xxhash64("doc_id", F.lit("toxicity")))
         n = part.count()
         if n > params.calibration_rows:
@@ -226,8 +347,13 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     return model
 
 
-def evidence(rows: DataFrame, model: KneserNeyRatio, carry: str) -> DataFrame:
+def evidence(rows: DataFrame, model: KneserNeyRatio | RatioTables, carry: str) -> DataFrame:
     """doc_id, the ``carry`` column, mean_ratio, peak_ratio and score of every row."""
+    if isinstance(model, RatioTables):
+        none = float(model.scores(np.zeros((1, 2)))[0])
+        return model.join(rows).select(
+            "t.doc_id", f"t.{carry.split()[0]}", *[F.coalesce(f"e.{c}", F.lit(0.0)).alias(c) for c in ("mean_ratio", "peak_ratio")],
+            F.coalesce("e.score", F.lit(none)).alias("score"))
     load, carried = ship(rows.sparkSession, model), carry.split()[0]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,7 +369,7 @@ def evidence(rows: DataFrame, model: KneserNeyRatio, carry: str) -> DataFrame:
     return rows.mapInArrow(judge, f"doc_id long, {carry}, mean_ratio double, peak_ratio double, score double")
 
 
-def score(docs: DataFrame, model: KneserNeyRatio) -> DataFrame:
+def score(docs: DataFrame, model: KneserNeyRatio | RatioTables) -> DataFrame:
     """(doc_id, held_out, score, predicted, mean_ratio, peak_ratio) of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        held_out(F.col("doc_id")).alias("held_out"))
@@ -252,8 +378,12 @@ def score(docs: DataFrame, model: KneserNeyRatio) -> DataFrame:
         "mean_ratio", "peak_ratio")
 
 
-def reject_toxic(docs: DataFrame, model: KneserNeyRatio) -> DataFrame:
-    """The rows of ``docs``, with all its columns, that the model does not call toxic; no join, no shuffle."""
+def reject_toxic(docs: DataFrame, model: KneserNeyRatio | RatioTables) -> DataFrame:
+    """The rows of ``docs``, with all its columns, that the model does not call toxic; no join and no shuffle
+    unless the model is in tables."""
+    if isinstance(model, RatioTables):
+        none = float(model.scores(np.zeros((1, 2)))[0])
+        return model.join(docs).filter(F.coalesce("e.score", F.lit(none)) < model.params.threshold).select("t.*")
     load = ship(docs.sparkSession, model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
