@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, cotrain, langid, packing, toxicity
 from tidemark.llm.embedding_dedup import near_duplicates
+from tidemark.llm.html_density import extract
 from tidemark.llm.jaccard_join import JaccardParams, jaccard_components
 from tidemark.llm.line_runs import drop_lines
 from tidemark.llm.quality_rules import quality
@@ -67,6 +68,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.fit(docs))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(read_table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_packing": op2_packing,
@@ -78,4 +83,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
+    "op11_html_extraction": op11_html_extraction,
 }
