@@ -143,4 +143,41 @@ SELECT c.page_id, c.url, CAST(c.fetched_on AS VARCHAR) AS fetched_on, coalesce(m
 FROM c LEFT JOIN m ON m.page_id = c.page_id AND m.r = 1
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_url_filters": OP5, "op1_embedding_dedup": OP1, "op7_jaccard_join": OP7, "op4_quality_rules": OP4, "op9_line_dedup": OP9}
+# crc32 as SQL: its table by rule, then a text's bytes (ASCII here) one after the other.
+_CRC_TABLE = """(SELECT list_transform(range(0, 256), lambda i: list_reduce(range(0, 8),
+  lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS tab)"""
+
+
+def _crc32(text: str) -> str:
+    return (f"xor(list_reduce(list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT), "
+            "lambda a, b: xor(a >> 8, tab[1 + (xor(a, b) & 255)]), 4294967295::BIGINT), 4294967295)")
+
+
+# Every prefix of every rebuilt conversation; a node's subtree by its smallest member's ancestors.
+OP12 = rf"""
+WITH t AS (
+  SELECT conv_id, turn, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, list({{'k': k, 'w': w}} ORDER BY turn NULLS FIRST, k) AS ts FROM t GROUP BY conv_id),
+h AS (SELECT conv_id, ts, {_crc32("conv_id::VARCHAR")} % 4 AS h FROM c, {_CRC_TABLE}),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.ts, [])[1:h], h.ts[h + 1:]) AS ts
+      FROM h LEFT JOIN c b ON b.conv_id = h.conv_id - h.conv_id % 20),
+p AS (SELECT conv_id, d, len(ts) AS n, array_to_string(list_transform(ts[1:d], lambda x: x.k), '') AS path,
+        array_to_string(list_transform(ts[1:d - 1], lambda x: x.k), '') AS up,
+        CASE WHEN d > 0 THEN ts[d].w ELSE 0 END AS w
+      FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM r)),
+n AS (SELECT path, d, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, max(w) AS w,
+        coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends
+      FROM p GROUP BY path, d),
+kids AS (SELECT up, count(*) AS n FROM n WHERE d > 0 GROUP BY up),
+under AS (SELECT p.path, sum((n.n_convs - 1) * n.w) AS saved, count(*) FILTER (WHERE kids.n IS NULL) AS leaves
+          FROM n JOIN p ON p.conv_id = n.conv_id AND p.d <= n.d LEFT JOIN kids ON kids.up = n.path GROUP BY p.path)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n, 0) AS n_children,
+  under.leaves AS n_leaves, CAST(under.saved AS BIGINT) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM n JOIN under USING (path) LEFT JOIN kids ON kids.up = n.path
+  LEFT JOIN n u ON n.d > 0 AND u.path = n.up
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_url_filters": OP5, "op1_embedding_dedup": OP1, "op7_jaccard_join": OP7, "op4_quality_rules": OP4, "op9_line_dedup": OP9,
+                              "op12_conversation_trie": OP12}

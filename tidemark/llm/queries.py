@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, cotrain, langid, packing, toxicity
+from tidemark.llm.conv_trie import prefix_trie
 from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.html_density import extract
 from tidemark.llm.jaccard_join import JaccardParams, jaccard_components
@@ -72,6 +73,10 @@ def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(read_table(spark, sf_dir, "pages"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_packing": op2_packing,
@@ -84,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_line_dedup": op9_line_dedup,
     "op10_language_id": op10_language_id,
     "op11_html_extraction": op11_html_extraction,
+    "op12_conversation_trie": op12_conversation_trie,
 }
