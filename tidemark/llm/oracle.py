@@ -179,5 +179,93 @@ FROM n JOIN under USING (path) LEFT JOIN kids ON kids.up = n.path
   LEFT JOIN n u ON n.d > 0 AND u.path = n.up
 """
 
+# Damage, faults, then the least (cost, audit) of every state row by row; a state's value is the
+# cost in nine digits before the audit, so that the least text is the cheapest, ASCII-least audit.
+_FAR9 = "'900000000'"
+_EXTRA = "(CASE WHEN fault = 'truncated' THEN 3 ELSE 0 END)"
+
+
+def _dearer(value: str, price: str, edit: str) -> str:
+    return f"(lpad(CAST(CAST(left({value}, 9) AS INTEGER) + {price} AS VARCHAR), 9, '0') || substr({value}, 10) || '{edit}')"
+
+
+def _inserted(n: str, s: str, u: str, a: str) -> str:
+    """The four states' values after rows may have been inserted."""
+    user = f"least({u}, {_dearer(n, '3', 'I')}, {_dearer(s, '3', 'I')}, {_dearer(a, '3', 'I')})"
+    return f"SELECT * EXCLUDE (n, s, u, a), {n} AS n, {s} AS s, {user} AS u, least({a}, {_dearer(user, '3', 'I')}) AS a"
+
+
+def _read(state: str, kept: str, reroled: str) -> str:
+    """Value of a state behind a row: the row is deleted, kept or given another role."""
+    return f"least({_dearer(state, '4', 'D')}, CASE WHEN stays AND {kept} END, CASE WHEN stays THEN {reroled} END)"
+
+
+def _keep(initial: str, *states: str) -> str:
+    least = ", ".join(_dearer(x, _EXTRA, "K") for x in states)
+    return f"initial = '{initial}' THEN least({least})"
+
+
+def _rerole(*states: str) -> str:
+    return "least(" + ", ".join(_dearer(x, f"3 + {_EXTRA}", "R") for x in states) + ")"
+
+
+OP13 = rf"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS kind
+  FROM conversations, {_CRC_TABLE}),
+d AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+        unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+      FROM k),
+o AS (SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text), copy) AS i,
+        regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS last
+      FROM d),
+f AS (SELECT *, CASE WHEN last = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1
+                  THEN 'duplicate' WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+        count(*) OVER (PARTITION BY conv_id) AS rows_in_all
+      FROM o),
+g AS (SELECT *, fault NOT IN ('blank', 'duplicate') AS stays FROM f),
+path AS (
+  {_inserted("n", "s", "u", "a")}
+  FROM (SELECT conv_id, 0 AS i, '000000000' AS n, {_FAR9} AS s, {_FAR9} AS u, {_FAR9} AS a
+        FROM conversations GROUP BY conv_id)
+  UNION ALL
+  {_inserted("n", "s", "u", "a")}
+  FROM (SELECT path.conv_id, g.i,
+          {_dearer("n", "4", "D")} AS n,
+          least({_dearer("s", "4", "D")}, CASE WHEN stays AND {_keep("s", "n")} END) AS s,
+          {_read("u", _keep("u", "n", "s", "a"), _rerole("n", "s", "a"))} AS u,
+          {_read("a", _keep("a", "u"), _rerole("u"))} AS a
+        FROM path JOIN g ON g.conv_id IS NOT DISTINCT FROM path.conv_id AND g.i = path.i + 1)),
+done AS (SELECT conv_id, i, least(n, a) AS best FROM path
+         QUALIFY i = max(i) OVER (PARTITION BY conv_id)),
+e AS (SELECT conv_id, CAST(left(best, 9) AS BIGINT) AS cost, substr(best, 10) AS audit FROM done),
+steps AS (SELECT conv_id, audit, p, audit[p] AS edit,
+            p - len(replace(audit[1:p], 'I', '')) AS skipped
+          FROM (SELECT *, unnest(range(1, len(audit) + 1)) AS p FROM e)),
+lines AS (SELECT steps.conv_id, p, edit, g.role, g.text, g.initial,
+            row_number() OVER (PARTITION BY steps.conv_id ORDER BY p) AS pos,
+            max(CASE WHEN edit = 'K' AND g.initial = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY steps.conv_id) AS with_s
+          FROM steps LEFT JOIN g ON edit <> 'I' AND g.conv_id IS NOT DISTINCT FROM steps.conv_id AND g.i = p - skipped
+          WHERE edit <> 'D'),
+text AS (SELECT conv_id, string_agg(CASE edit WHEN 'K' THEN role
+             ELSE CASE WHEN (pos - with_s) % 2 = 1 THEN 'user' ELSE 'assistant' END END || ':'
+             || CASE edit WHEN 'I' THEN '' ELSE text END, chr(10) ORDER BY p) AS t
+         FROM lines GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+             count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+             count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+             count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+           FROM g GROUP BY conv_id)
+SELECT e.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, cost, audit,
+  sha256(coalesce(text.t, '')) AS repaired_sha256
+FROM e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
+  LEFT JOIN text ON text.conv_id IS NOT DISTINCT FROM e.conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {"op5_url_filters": OP5, "op1_embedding_dedup": OP1, "op7_jaccard_join": OP7, "op4_quality_rules": OP4, "op9_line_dedup": OP9,
-                              "op12_conversation_trie": OP12}
+                              "op12_conversation_trie": OP12, "op13_conversation_repair": OP13}

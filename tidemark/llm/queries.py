@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, cotrain, langid, packing, toxicity
+from tidemark.llm.conv_repair import repaired
 from tidemark.llm.conv_trie import prefix_trie
 from tidemark.llm.embedding_dedup import near_duplicates
 from tidemark.llm.html_density import extract
@@ -77,6 +78,10 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read_table(spark, sf_dir, "conversations"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(read_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_packing": op2_packing,
@@ -90,4 +95,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": op10_language_id,
     "op11_html_extraction": op11_html_extraction,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_conversation_repair": op13_conversation_repair,
 }
