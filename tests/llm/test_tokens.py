@@ -1,5 +1,6 @@
 """BPE codec against tiktoken, packing against the tokenizers library."""
 
+import hashlib
 import random
 import zlib
 
@@ -55,12 +56,26 @@ def test_long_texts_and_special_strings(encoder, reference):
 def test_json_tokenizer_by_pieces(encoder):
     with open(JSON, encoding="utf-8") as f:
         own = bpe.PieceEncoder(f.read())
-    whole = Tokenizer.from_file(JSON)
-    whole.encode_special_tokens = True
+    whole = Tokenizer.from_file(JSON)   # as it comes: an added token in a text is that token
     rng = random.Random(3)
-    for _ in range(300):
-        text = "".join(rng.choice(["a", "the", " ", " ", "\n", "'s", "12", ".", "é", "  ", "Zx"]) for _ in range(30))
-        assert ids_of(own, text) == whole.encode(text, add_special_tokens=False).ids
+    texts = ["".join(rng.choice(["a", "the", " ", " ", "\n", "'s", "12", ".", "é", "  ", "Zx", ",\nB"]) for _ in range(30))
+             for _ in range(400)] + ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|>\n<|endoftext|> y", "<|endoftext"]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in want[-4]
+    for many in (1, 7, len(texts)):   # alone, and with others in a batch
+        got = [e for at in range(0, len(texts), many) for e in own.encode(texts[at:at + many])]
+        assert [np.frombuffer(e, "<u4").tolist() for e in got] == want
+
+
+def test_word_store_is_bounded_and_harmless(reference, monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 50)
+    own = bpe.PieceEncoder(bpe.tokenizer_from_ranks(RANKS, public_tokenizers.PATTERN))
+    rng = random.Random(4)
+    for _ in range(30):
+        texts = [" ".join(rng.choice("abé") * rng.randint(1, 9) + rng.choice(["", ".", "\nDe", ",\nf!"]) for _ in range(20))
+                 for _ in range(3)]
+        assert [np.frombuffer(e, "<u4").tolist() for e in own.encode(texts)] == [reference.encode_ordinary(t) for t in texts]
+        assert all(len(k) <= 60 for k in own.known.values())
 
 
 @settings(max_examples=100, deadline=None)
@@ -87,8 +102,13 @@ def test_codec_on_odd_rows(spark, reference):
     rows = odd_documents()
     codec = bpe.Codec(spark, RANKS, public_tokenizers.PATTERN)
     docs = documents(spark, rows, clashing=True)
-    got = sorted(((r["doc_id"] or -1, r["n_tokens"]) for r in bpe.digests(docs, codec).collect()))
-    assert got == sorted((r[0] or -1, len(reference.encode_ordinary(r[1] or ""))) for r in rows)
+    got = sorted((r["doc_id"] or -1, r["n_tokens"], r["ids_sha256"], r["decoded_sha256"])
+                 for r in bpe.digests(docs, codec).collect())
+
+    def digests(text):
+        ids = np.array(reference.encode_ordinary(text), "<u4")
+        return len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+    assert got == sorted((r[0] or -1, *digests(r[1] or "")) for r in rows)
     encoded = bpe.encode(docs, codec)
     back = sorted((r["doc_id"] or -1, r["text"]) for r in bpe.decode(encoded, codec).collect())
     assert back == sorted((r[0] or -1, r[1] or "") for r in rows)
@@ -100,7 +120,6 @@ def check_pack(spark, rows, params=packing.PackingParams(), most_padding=None):
     docs = documents(spark, rows, clashing=True)
     pieces = packing.pack(docs, codec, params).collect()
     whole = Tokenizer.from_file(JSON)
-    whole.encode_special_tokens = True
     want = sorted((-1 if r[0] is None else r[0], tuple(whole.encode(r[1] or "", add_special_tokens=False).ids) + (1,)) for r in rows)
     windows = {}
     for p in pieces:
@@ -142,7 +161,7 @@ def test_packing_lengths_that_do_not_fit_together_are_cut(spark):
 
 
 def test_packing_odd_rows_and_sequences(spark):
-    check_pack(spark, odd_documents())
+    check_pack(spark, [*odd_documents(), (90, "a<|endoftext|>b", "en")])
     assert packing.pack(documents(spark, []), packing.JsonCodec(spark, JSON)).count() == 0
     rows = [(i, "the " * (40 * i)) for i in range(12)]
     docs, codec, pieces = check_pack(spark, rows, packing.PackingParams(window=256))

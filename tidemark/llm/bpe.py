@@ -6,9 +6,10 @@ what the ranks imply, and each match of the split pattern is encoded on its own.
 
 Encoding works on the distinct pieces of a batch. A text may be cut before a
 blank that stands alone between two other characters: every match of the pattern
-ends there, as a match takes at most the one blank before it. Pieces met before
-are looked up, so the merges run once for a piece in a worker, not once for
-each occurrence. Whole texts are covered, whatever their length.
+ends there, as a match takes at most the one blank before it. Arrow splits the texts
+and finds the distinct pieces, the library encodes these once a batch, and numpy
+gathers their ids. Texts with added tokens of the library go to it whole. Whole texts
+are covered, whatever their length.
 
 Decoding turns ids back into bytes through the reversed table. Tokens may split
 a character: offsets name the characters that a token touches, and text decoding
@@ -30,12 +31,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Python's white space holds all that the pattern has, so a cut is never made inside a run of it.
 CUT = re.compile(r"(?<=\S)(?= \S)")
-CACHE_PIECES = 800_000
 
 
 def byte_table() -> list[str]:
@@ -46,9 +47,10 @@ def byte_table() -> list[str]:
 
 
 TO_SHOWN = dict(enumerate(byte_table()))
-# Letters up to U+024F are letters for every library.
-PLAIN = re.compile("[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
-MARKED = re.compile("([A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+)([!-/:-@\\[-`{-~]+)")
+# A word, marks, and perhaps the first word of the next line: each is a match of the pattern, and so is the line
+# feed. Letters up to U+024F are letters for every library.
+_LETTERS, _MARKS = "[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+", "[!-/:-@\\[-`{-~]+"
+SHAPE = f"^(?P<head>{_LETTERS})(?P<marks>{_MARKS})?(?:\\n(?P<word>{_LETTERS})(?P<more>{_MARKS})?)?$"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -87,80 +89,145 @@ def tokenizer_from_ranks(path: str, pattern: str) -> str:
     return t.to_str()
 
 
+NOTHING = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+KNOWN_WORDS = 200_000
+
+
+def gather(values: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The entries ``index`` of a ragged array (values, offsets), one after the other, as a ragged array."""
+    lengths = offsets[index + 1] - offsets[index]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return values[np.repeat(offsets[index] - ends + lengths, lengths) + np.arange(total)], np.concatenate([[0], ends])
+
+
 class PieceEncoder:
-    """Texts to ids (as bytes of little-endian unsigned 32-bit integers), piece by piece."""
+    """Texts to ids (as bytes of little-endian unsigned 32-bit integers), by the distinct pieces of a batch.
+
+    From one batch to the next only plain words are kept, ``KNOWN_WORDS`` of them at most, so
+    memory is bounded by a batch.
+    """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         self.merges = Tokenizer(self.tokenizer.model)
-        self.blank = TO_SHOWN[32]
-        self.marks: dict[str, bytes] = {}          # runs of ASCII marks
-        self.inner: dict[str, bytes | None] = {}   # pieces after a blank, without it; None: not to be cut there
-        self.first: dict[str, bytes] = {}          # pieces at the start of a text, or cut the slow way
-
-    def _learn(self, cache: dict, pieces: set[str], prefix: str) -> None:
-        if len(cache) > CACHE_PIECES:
-            cache.clear()
-        if len(self.marks) > CACHE_PIECES:
-            self.marks.clear()
-        # A plain word is one match of the pattern as it stands, and so is a run of marks behind it:
-        # only the merges remain to be run, once for a word with whatever marks.
-        words, marked, rest = [], {}, []
-        for p in pieces:
-            if p not in cache:
-                if PLAIN.fullmatch(p):
-                    words.append(p)
-                elif m := MARKED.fullmatch(p):
-                    marked[p] = m.groups()
-                elif prefix and (not p or p[0].isspace() or p[-1].isspace()):
-                    cache[p] = None
-                else:
-                    rest.append(p)
-        words = {core for core, _ in marked.values() if core not in cache}.union(words)
-        words = list(words)
-        self._run(cache, self.merges, words, [self.blank + p if prefix and p.isascii() else
-                                              (prefix + p).encode().decode("latin-1").translate(TO_SHOWN)
-                                              for p in words])
-        marks = {tail for _, tail in marked.values() if tail not in self.marks}
-        self._run(self.marks, self.tokenizer, list(marks), list(marks))
-        cache.update((p, cache[core] + self.marks[tail]) for p, (core, tail) in marked.items())
-        self._run(cache, self.tokenizer, rest, [prefix + p for p in rest])
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.characters = np.zeros(max(vocabulary.values(), default=-1) + 1, np.int64)
+        self.characters[list(vocabulary.values())] = list(map(len, vocabulary))
+        self.known: dict[str, dict[str, int]] = {" ": {}, "": {}}   # words after a blank, and others: places in ``stored``
+        self.stored = {" ": NOTHING, "": NOTHING}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+
+    def _words(self, words: pa.Array, prefix: str) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words: one match of the pattern as they stand, so only the merges remain to be run."""
+        words = words.to_pylist()
+        known = self.known[prefix]
+        place = list(map(known.get, words))
+        new = [w for w, at in zip(words, place) if at is None] if None in place else []
+        if len(known) + len(new) > KNOWN_WORDS:
+            known.clear()
+            self.stored[prefix] = NOTHING
+            new = words
+        if new:
+            # Bytes as shown; raw blanks part the words, the character for a blank stands before them.
+            shown = " ".join(new).encode().decode("latin-1").translate(TO_SHOWN)
+            blank, values, offsets = TO_SHOWN[32], *self.stored[prefix]
+            given = ((prefix and blank) + shown.replace(blank, " " + (prefix and blank))).split(" ")
+            runs = [" ".join(given[at:at + 200]) for at in range(0, len(given), 200)]
+            ids = np.concatenate([np.array(e.ids, np.uint32)
+                                  for e in self.merges.encode_batch_fast(runs, add_special_tokens=False)])
+            # A word's tokens end where their characters have come to the word's.
+            ends = np.searchsorted(np.cumsum(self.characters[ids]), np.cumsum(np.fromiter(map(len, given), np.int64)), "left") + 1
+            self.stored[prefix] = np.concatenate([values, ids]), np.concatenate([offsets, offsets[-1] + ends])
+            known.update(zip(new, range(len(offsets) - 1, len(offsets) - 1 + len(new))))
+            place = list(map(known.__getitem__, words))
+        return gather(*self.stored[prefix], np.array(place, np.int64))
 
     @staticmethod
-    def _run(cache: dict, tokenizer, pieces: list[str], given: list[str]) -> None:
-        for at in range(0, len(pieces), 20_000):
-            part = pieces[at:at + 20_000]
-            e = tokenizer.encode(given[at:at + 20_000], is_pretokenized=True, add_special_tokens=False)
-            ids, word = np.array(e.ids, "<u4").tobytes(), np.array(e.word_ids, np.int64)
-            ends = (4 * np.searchsorted(word, np.arange(len(part)), "right")).tolist()
-            cache.update((p, ids[a:b]) for p, a, b in zip(part, [0, *ends], ends))
+    def _run(tokenizer, given: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of strings that are encoded each on its own, as a ragged array."""
+        ids, lengths = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        for at in range(0, len(given), 20_000):
+            part = given[at:at + 20_000]
+            e = tokenizer.encode(part, is_pretokenized=True, add_special_tokens=False)
+            ids.append(np.array(e.ids, np.uint32))
+            lengths.append(np.bincount(np.array(e.word_ids, np.int64), minlength=len(part)))
+        return np.concatenate(ids), np.cumsum(np.concatenate(lengths))
+
+    def _distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that stand after a blank, given without it."""
+        groups = pc.extract_regex(pieces, SHAPE)
+        regular = groups.is_valid().to_numpy(zero_copy_only=False)
+        head, marks, word, more = (pc.fill_null(pc.struct_field(groups, f), "") for f in ("head", "marks", "word", "more"))
+        has_word = pc.not_equal(word, "")
+        heads, words = head.filter(pa.array(regular)).dictionary_encode(), word.filter(has_word).dictionary_encode()
+        tails = pa.concat_arrays([marks, more]).dictionary_encode()
+        rest = pieces.filter(pa.array(~regular))
+        # One ragged array of all parts: heads, words, runs of marks, the line feed, irregular pieces.
+        parts = [self._words(heads.dictionary, " "), self._words(words.dictionary, ""),
+                 self._run(self.tokenizer, tails.dictionary.to_pylist()), self._run(self.tokenizer, ["\n"]),
+                 self._run(self.tokenizer, [" " + p for p in rest.to_pylist()])]
+        first = np.cumsum([0, *(len(o) - 1 for _, o in parts)])
+        ids = np.concatenate([i for i, _ in parts])
+        offsets = np.concatenate([[0], *(o[1:] + at for (_, o), at in zip(parts, np.cumsum([0, *(len(i) for i, _ in parts)])))])
+        n, tail = len(pieces), tails.indices.to_numpy()
+        table = np.full((n, 5), -1)
+        table[regular, 0] = first[0] + heads.indices.to_numpy()
+        table[~regular, 0] = first[4] + np.arange(len(rest))
+        table[:, 1] = first[2] + tail[:n]   # an empty run has no ids
+        has_word = has_word.to_numpy(zero_copy_only=False)
+        table[has_word, 2] = first[3]
+        table[has_word, 3] = first[1] + words.indices.to_numpy()
+        table[:, 4] = first[2] + tail[n:]
+        used = table >= 0
+        values, ends = gather(ids, offsets, table[used])
+        return values, ends[np.concatenate([[0], np.cumsum(used.sum(1))])]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        plain, need, known = {}, set(), self.inner.get
-        for i, t in enumerate(texts):
-            if t:
-                parts = t.split(" ")
-                ids = list(map(known, parts))
-                gaps = [k for k, x in enumerate(ids) if x is None] if None in ids else []
-                need.update([parts[k] for k in gaps])
-                plain[i] = parts, ids, gaps
-        self._learn(self.inner, need, " ")
-        self._learn(self.first, {p[0] for p, _, _ in plain.values() if not p[0][-1:].isspace()}, "")
-        out, slow = [b""] * len(texts), {}
-        for i, (parts, ids, gaps) in plain.items():
-            for k in gaps:
-                ids[k] = self.inner[parts[k]]
-            ids[0] = self.first.get(parts[0])
-            if None in ids:  # white space beside a blank
-                slow[i] = CUT.split(texts[i])
-            else:
-                out[i] = b"".join(ids)
-        self._learn(self.first, set().union(*slow.values()), "")
-        for i, parts in slow.items():
-            out[i] = b"".join(map(self.first.__getitem__, parts))
+        if not texts:
+            return []
+        given = pa.array([t or "" for t in texts], pa.large_string())
+        split = pc.split_pattern(given, " ")
+        at, flat = split.offsets.to_numpy() - split.offsets[0].as_py(), split.flatten().dictionary_encode()
+        index, pieces = flat.indices.to_numpy(), flat.dictionary
+        front = np.zeros(len(index), bool)
+        front[at[:-1]] = True
+        # A piece with white space at an end, or none at all between two blanks, is not a run of whole matches.
+        uneven = pc.not_equal(pc.utf8_trim_whitespace(pieces), pieces).to_numpy(zero_copy_only=False)
+        empty = pc.equal(pieces, "").to_numpy(zero_copy_only=False)
+        ends_blank = pc.not_equal(pc.utf8_rtrim_whitespace(pieces), pieces).to_numpy(zero_copy_only=False)
+        odd = np.where(front, ends_blank[index], (uneven | empty)[index])
+        slow = np.add.reduceat(odd, at[:-1]) > 0
+        special = np.zeros(len(texts), bool)
+        for token in self.added:
+            special |= pc.match_substring(given, token).to_numpy(zero_copy_only=False)
+        whole = ~(slow | special)
+        keep = np.repeat(whole, np.diff(at))
+        inner, where = np.unique(index[keep & ~front], return_inverse=True)
+        start, begin = np.unique(index[keep & front], return_inverse=True)
+        inner_ids, inner_at = self._distinct(pieces.take(pa.array(inner)))
+        # Pieces at the start of a text have no blank before them.
+        start_ids, start_at = self._run(self.tokenizer, pieces.take(pa.array(start)).to_pylist())
+        number = np.empty(int(keep.sum()), np.int64)
+        number[~front[keep]], number[front[keep]] = where, begin + len(inner)
+        ids, ends = gather(np.concatenate([inner_ids, start_ids]),
+                           np.concatenate([inner_at, start_at[1:] + inner_at[-1]]), number)
+        data = memoryview(ids.astype("<u4").tobytes())
+        cuts = (4 * ends[np.concatenate([[0], np.cumsum(np.diff(at)[whole])])]).tolist()
+        out: list[bytes] = [b""] * len(texts)
+        for i, a, b in zip(np.flatnonzero(whole).tolist(), cuts, cuts[1:]):
+            out[i] = bytes(data[a:b])
+        parts = {int(i): CUT.split(texts[i]) for i in np.flatnonzero(slow & ~special)}
+        distinct = list(set().union(*parts.values()))
+        ids, ends = self._run(self.tokenizer, distinct)
+        known = {p: ids[a:b].astype("<u4").tobytes() for p, a, b in zip(distinct, ends, ends[1:])}
+        for i, own in parts.items():
+            out[i] = b"".join(map(known.__getitem__, own))
+        for i in np.flatnonzero(special).tolist():  # the library knows its added tokens in a text
+            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, "<u4").tobytes()
         return out
 
 
@@ -175,7 +242,7 @@ def per_worker(key: str, make: Callable[[], object]) -> object:
 def small_batches(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about ``most`` characters, so that memory is bounded by a slice or one text."""
     at, size = 0, 0
-    for i, n in enumerate(pa.compute.fill_null(pa.compute.utf8_length(batch[column]), 0).to_pylist()):
+    for i, n in enumerate(pc.fill_null(pc.utf8_length(batch[column]), 0).to_pylist()):
         size += n
         if size > most and i > at:
             yield batch.slice(at, i - at)
