@@ -46,6 +46,7 @@ BLANK, DUPLICATE, TRUNCATED, SOUND, DROPPED = range(5)
 OTHER, SYSTEM, USER, ASSISTANT = range(4)          # role initials; also what came last, nothing being OTHER
 EDITS = "DIKR"                                     # ASCII order
 DELETE, INSERT, KEEP, REROLE = range(4)
+SHORT, KNOWN = 64, 50_000                          # rows of conversations whose audits a task remembers, and how many
 FAR = np.iinfo(np.int64).max // 4
 COUNTS = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
 SCHEMA = "conv_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", audit string"
@@ -219,8 +220,13 @@ class Conversation:
         self.count[(code if first else again) // 4] += 1
         self.count[again // 4] += copies - 1
 
-    def row(self, params: RepairParams) -> dict:
-        cost, audit = repair(bytes(self.codes), params)
+    def row(self, params: RepairParams, known: dict[bytes, tuple[int, str]]) -> dict:
+        codes = bytes(self.codes)
+        if (found := known.get(codes)) is None:
+            found = repair(codes, params)
+            if len(codes) <= SHORT and len(known) < KNOWN:   # most conversations are short and look alike
+                known[codes] = found
+        cost, audit = found
         gaps = 0 if self.lowest is None else min(self.highest - self.lowest + 1 - self.turns, 2 ** 63 - 1)
         return dict(zip(["conv_id", *COUNTS, "audit"], [
             self.conv_id, gaps, *(self.count[f] for f in (BLANK, DUPLICATE, TRUNCATED)), self.illegal, cost, audit]))
@@ -271,19 +277,19 @@ def audits(rows: DataFrame, params: RepairParams) -> DataFrame:
     n, schema = n_partitions(rows.sparkSession), arrow_schema(SCHEMA)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now = None
+        now, known = None, {}
         for b in batches:
             out = []
             for conv, turn, code, copies, first in zip(*(b[c].to_pylist() for c in ("conv_id", "turn", "code", "copies", "first"))):
                 if now is None or conv != now.conv_id:
                     if now is not None:
-                        out.append(now.row(params))
+                        out.append(now.row(params, known))
                     now = Conversation(conv)
                 now.add(turn, code, copies, first)
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema)
         if now is not None:
-            yield pa.RecordBatch.from_pylist([now.row(params)], schema)
+            yield pa.RecordBatch.from_pylist([now.row(params, known)], schema)
     return (faults(rows).repartition(n, "conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_first(), "digest")
             .mapInArrow(run, SCHEMA))
 
