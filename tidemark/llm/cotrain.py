@@ -8,12 +8,14 @@ to the other one's training set. Afterwards a fold that neither has seen
 calibrates each view and the weights of their combination, which scores every
 document.
 
-Fitting uses a bounded sample: at most ``labelled_rows`` and ``unlabelled_rows``
-rows, chosen by a hash of the id, whose feature vectors (not texts) come to the
-driver. Every document is scored on its whole text.
+Fitting uses a bounded sample of labelled rows: ``labelled_rows`` ids on average, chosen
+by a hash of the id, whose feature vectors (not texts) come to the driver. All
+unlabelled rows that are not held out are scored in the executors in every round, and
+those with the surest scores, a fixed number, are handed over. Every document is
+scored on its whole text.
 
 Defined results: null text counts as empty; null source or language is a value of
-its own. Rows without an id are held out. A document with several labels takes
+its own. Of labelled rows with one id, one is learned from, the least by hash. Rows without an id are held out. A document with several labels takes
 the least. Without labels of both kinds every score is 0.5. Repeated rows get
 equal results. Other columns are not read.
 """
@@ -21,16 +23,16 @@ equal results. Other columns are not read.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import small_batches
-from tidemark.llm.shared import fold_of, held_out, ship
+from tidemark.llm.shared import fold_of, held_out, ship, stage
 
 CALIBRATION_FOLD = 3
 
@@ -39,13 +41,12 @@ CALIBRATION_FOLD = 3
 class CoTrainParams:
     dims: int = 1024              # of the hashed trigrams
     labelled_rows: int = 4000
-    unlabelled_rows: int = 4000
     rounds: int = 4
     handed_over: int = 120        # pseudo-labels a view hands over in a round
     sure: float = 0.9             # least confidence of a pseudo-label
     ridge: float = 1.0
     steps: int = 150
-    broadcast_ids: int = 1_000_000
+    broadcast_ids: int = 300_000   # more labelled ids are joined by shuffle
 
 
 META = 64 + 16 + 12 + 12 + 12
@@ -134,75 +135,132 @@ class CoTrained:
                 np.array([metadata_features(s, g, t or "") for t, s, g in rows], np.float32).reshape(-1, META)]
 
 
-def co_train(x: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray], params: CoTrainParams) -> list[np.ndarray]:
-    """Weights of both views after the exchange of pseudo-labels."""
-    given: list[dict[int, int]] = [{}, {}]   # for each view: pool row -> label that the other one gave
-    weights = []
+def sure_rows(p: np.ndarray, keys: np.ndarray, taken: np.ndarray, most: tuple[int, int], sure: float) -> list[np.ndarray]:
+    """Places of the surest bad and good rows that were not handed over yet, the surest first, ties by key."""
+    free = ~np.isin(keys, taken)
+    out = []
+    for confidence, n in ((1 - p, most[0]), (p, most[1])):
+        at = np.flatnonzero(free & (confidence >= sure))
+        out.append(at[np.lexsort((keys[at], -confidence[at]))[:n]])
+    return out
+
+
+def co_train(x: list[np.ndarray], y: np.ndarray, hand_over: Callable, params: CoTrainParams) -> list[np.ndarray]:
+    """Weights of both views after the exchange of pseudo-labels.
+
+    ``hand_over(weights, taken, most)`` gives (view, label, key, features of both views) of the unlabelled
+    rows of which each view is surest, ``most`` (bad, good) of them, without those in ``taken[view]``.
+    """
+    more_x, more_y, taken = [[], []], [[], []], [np.zeros(0, np.int64)] * 2
     for turn in range(params.rounds + 1):
-        weights = []
-        for v in (0, 1):
-            rows = np.fromiter(given[v], int, len(given[v]))
-            labels = np.fromiter(given[v].values(), float, len(given[v]))
-            weights.append(logistic(np.concatenate([x[v], pool[v][rows]]), np.concatenate([y, labels]),
-                                    params.ridge, params.steps))
-        if turn == params.rounds or not len(pool[0]):
+        weights = [logistic(np.concatenate([x[v], *more_x[v]]), np.concatenate([y, more_y[v]]), params.ridge, params.steps)
+                   for v in (0, 1)]
+        if turn == params.rounds:
             break
         share = min(max(float(y.mean()), 0.1), 0.9)
-        for v in (0, 1):
-            p = sigmoid(pool[v] @ weights[v][:-1] + weights[v][-1])
-            order = np.argsort(-p, kind="stable")
-            good = [i for i in order if p[i] >= params.sure and i not in given[1 - v]]
-            bad = [i for i in order[::-1] if p[i] <= 1 - params.sure and i not in given[1 - v]]
-            given[1 - v].update((i, 1) for i in good[:int(params.handed_over * share)])
-            given[1 - v].update((i, 0) for i in bad[:int(params.handed_over * (1 - share)) + 1])
+        most = int(params.handed_over * (1 - share)) + 1, int(params.handed_over * share)
+        for v, label, key, features in hand_over(weights, taken, most):
+            more_x[1 - v].append(features[1 - v][None, :])
+            more_y[1 - v].append(label)
+            taken[v] = np.append(taken[v], key)
     return weights
 
 
-def sample(docs: DataFrame, labels: DataFrame, model: CoTrained) -> list[tuple]:
-    """(fold, quality or None, content, metadata) of the bounded sample; features are made in the executors."""
-    params = model.params
-    marks = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
-             .filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")))
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).filter(~held_out(F.col("doc_id"))).distinct()
-    ids = ids.join(marks, "doc_id", "left").withColumn("u", F.pmod(F.xxhash64("doc_id", F.lit("cotrain")), F.lit(1 << 30)))
-    sizes = {r["known"]: r["n"] for r in ids.groupBy(F.col("quality").isNotNull().alias("known"))
-             .agg(F.count("*").alias("n")).collect()}
-    most = {True: params.labelled_rows, False: params.unlabelled_rows}
-    share = {k: min(1.0, most[k] / max(sizes.get(k, 0), 1)) for k in most}
-    limit = F.when(F.col("quality").isNotNull(), share[True]).otherwise(share[False]) * (1 << 30)
-    chosen = ids.filter(F.col("u") < limit).select("doc_id", "quality", fold_of(F.col("doc_id")).alias("fold"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *[F.col(c).cast("string").alias(c)
-                                                                       for c in ("text", "source", "lang")])
-    picked = rows.join(F.broadcast(chosen), "doc_id")
+def label_marks(labels: DataFrame) -> DataFrame:
+    """(doc_id, quality) of the labelled ids."""
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
+            .filter("doc_id IS NOT NULL AND quality IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality")))
+
+
+def document_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, source, lang, key) of the rows that are not held out; key is a hash of the row."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+                       *[F.col(c).cast("string").alias(c) for c in ("text", "source", "lang")])
+    return rows.filter(~held_out(F.col("doc_id"))).withColumn("key", F.xxhash64("doc_id", "text", "source", "lang"))
+
+
+def labelled_sample(docs: DataFrame, marks: DataFrame, model: CoTrained) -> list[tuple]:
+    """(fold, quality, content, metadata) of the bounded sample of labelled ids; features are made in the executors."""
+    params, rows = model.params, document_rows(docs)
+    ids = rows.select("doc_id").join(marks, "doc_id").distinct().withColumn(
+        "u", F.pmod(F.xxhash64("doc_id", F.lit("cotrain")), F.lit(1 << 30)))
+    share = min(1.0, params.labelled_rows / max(ids.count(), 1))
+    chosen = ids.filter(F.col("u") < share * (1 << 30)).select("doc_id", "quality")
+    # One row an id, as rows may be repeated without bound.
+    picked = (rows.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality")
+              .agg(F.min_by(F.struct("text", "source", "lang"), "key").alias("x"))
+              .select(fold_of(F.col("doc_id")).alias("fold"), "quality", "x.*", "doc_id"))
     load = ship(docs.sparkSession, model)
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
-        for b in batches:
-            x = m.features(list(zip(*(b[c].to_pylist() for c in ("text", "source", "lang")))))
-            yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], b["fold"], b["quality"], *(pa.array([r.tobytes() for r in v], pa.binary()) for v in x)],
-                ["doc_id", "fold", "quality", "content", "metadata"])
+        for whole in batches:
+            for b in small_batches(whole, "text", 1 << 20):
+                x = m.features(list(zip(*(b[c].to_pylist() for c in ("text", "source", "lang")))))
+                yield pa.RecordBatch.from_arrays(
+                    [b["doc_id"], b["fold"], b["quality"], *(pa.array([r.tobytes() for r in v], pa.binary()) for v in x)],
+                    ["doc_id", "fold", "quality", "content", "metadata"])
     found = picked.mapInArrow(features, "doc_id long, fold long, quality int, content binary, metadata binary").collect()
     return sorted(found, key=lambda r: (r["doc_id"], bytes(r["content"])))
 
 
+def pool_hand_over(pool: DataFrame, model: CoTrained) -> Callable:
+    """The ``hand_over`` of :func:`co_train` over a table of any size: every row is scored in the executors, each
+    task keeps its surest rows, and the surest of these come to the driver, a fixed number with their features."""
+    spark, sure = pool.sparkSession, model.params.sure
+
+    def hand_over(weights: list[np.ndarray], taken: list[np.ndarray], most: tuple[int, int]) -> list[tuple]:
+        load = ship(spark, (model, weights, taken))
+
+        def surest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            m, weights, taken = load()
+            best: list[list] = [[], []]   # of each view: (confidence, label, key, features)
+            for whole in batches:
+                for b in small_batches(whole, "text", 1 << 20):
+                    x = m.features(list(zip(*(b[c].to_pylist() for c in ("text", "source", "lang")))))
+                    keys = b["key"].to_numpy()
+                    for v in (0, 1):
+                        p = sigmoid(x[v] @ weights[v][:-1] + weights[v][-1])
+                        for label, at in enumerate(sure_rows(p, keys, taken[v], most, sure)):
+                            own = {r[2]: r for r in best[v] if r[1] == label}
+                            own |= {int(keys[i]): (float(p[i] if label else 1 - p[i]), label, int(keys[i]),
+                                                   [y[i].tobytes() for y in x]) for i in at}
+                            kept = sorted(own.values(), key=lambda r: (-r[0], r[2]))[:most[label]]
+                            best[v] = [r for r in best[v] if r[1] != label] + kept
+            for v in (0, 1):
+                for c, label, key, (content, metadata) in best[v]:
+                    yield pa.RecordBatch.from_pylist([{"view": v, "label": label, "confidence": c, "key": key,
+                                                       "content": content, "metadata": metadata}], schema)
+        ddl = "view int, label int, confidence double, key long, content binary, metadata binary"
+        schema = pa.schema([("view", pa.int32()), ("label", pa.int32()), ("confidence", pa.float64()), ("key", pa.int64()),
+                            ("content", pa.binary()), ("metadata", pa.binary())])
+        rows = pool.mapInArrow(surest, ddl).dropDuplicates(["view", "label", "key"])
+        rank = F.row_number().over(Window.partitionBy("view", "label").orderBy(F.desc("confidence"), "key"))
+        found = rows.withColumn("rank", rank).filter(
+            F.col("rank") <= F.when(F.col("label") == 1, most[1]).otherwise(most[0])).collect()
+        return [(r["view"], r["label"], r["key"], [np.frombuffer(r[c], np.float32) for c in ("content", "metadata")])
+                for r in sorted(found, key=lambda r: (r["view"], -r["label"], r["rank"]))]
+    return hand_over
+
+
 def fit(docs: DataFrame, labels: DataFrame, params: CoTrainParams = CoTrainParams()) -> CoTrained:
     model = CoTrained(params)
-    rows = sample(docs, labels, model)
+    marks = stage(label_marks(labels), "cotrain-marks")
+    if marks.count() <= params.broadcast_ids:
+        marks = F.broadcast(marks)
+    rows = labelled_sample(docs, marks, model)
 
     def part(test) -> tuple[list[np.ndarray], np.ndarray]:
         some = [r for r in rows if test(r)]
         widths = (params.dims + 3, META)
         return ([np.frombuffer(b"".join(r[c] for r in some), np.float32).reshape(len(some), w)
-                 for c, w in zip(("content", "metadata"), widths)],
-                np.array([r["quality"] if r["quality"] is not None else -1 for r in some], float))
-    x, y = part(lambda r: r["quality"] is not None and r["fold"] != CALIBRATION_FOLD)
-    cx, cy = part(lambda r: r["quality"] is not None and r["fold"] == CALIBRATION_FOLD)
-    pool, _ = part(lambda r: r["quality"] is None)
+                 for c, w in zip(("content", "metadata"), widths)], np.array([r["quality"] for r in some], float))
+    x, y = part(lambda r: r["fold"] != CALIBRATION_FOLD)
+    cx, cy = part(lambda r: r["fold"] == CALIBRATION_FOLD)
     if len(set(y.tolist())) < 2 or len(set(cy.tolist())) < 2:
         return model
-    model.views = co_train(x, y, pool, params)
+    pool = document_rows(docs).join(marks.select("doc_id"), "doc_id", "left_anti")
+    model.views = co_train(x, y, pool_hand_over(pool, model), params)
     model.curves = [platt((a @ w[:-1] + w[-1])[:, None], cy) for a, w in zip(cx, model.views)]
     model.join = platt(model.logits(cx), cy)
     return model
