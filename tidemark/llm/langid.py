@@ -16,7 +16,6 @@ cosines go to the language first in order. Other columns are not read.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,7 +27,6 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import held_out, ship
 
 UND = "und"
-LETTER = re.compile(r"[^\W\d_]")
 CHUNK = 1 << 20  # characters handled at once, so that a very long text needs no more memory
 
 
@@ -40,6 +38,7 @@ class LangIdParams:
     clusters: int = 3
     rounds: int = 12
     radius_quantile: float = 0.01   # share of a centroid's own sample outside its radius
+    broadcast_langs: int = 10_000
 
 
 ASCII_LETTERS = np.array([chr(i).isalpha() for i in range(128)])
@@ -87,7 +86,7 @@ class CentroidModel:
         return v / np.maximum(np.linalg.norm(v, axis=-1, keepdims=True), 1e-12)
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
-        if not text or not self.langs or not LETTER.search(text):
+        if not text or not self.langs or not any(map(str.isalpha, text)):
             return UND, 0.0, True
         cos = self.centroids @ self.vectors(ngram_counts(text, self.params.dims))
         best = int(np.argmax(cos))
@@ -116,17 +115,21 @@ def sample_vectors(docs: DataFrame, params: LangIdParams) -> DataFrame:
     # A share of each language by hash, about twice what is wanted, so that the exact rank sees few rows.
     ids = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)).alias("h"))
     sizes = ids.groupBy("lang").agg(F.count("*").alias("n"))
+    if sizes.count() <= params.broadcast_langs:
+        sizes = F.broadcast(sizes)   # else a shuffle would deal all ids out by language
     near = ids.join(sizes, "lang").filter((F.col("n") < 20) | (F.col("h") * F.col("n") < 2 * params.per_lang * (1 << 30)))
     ranked = near.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
     ranked = ranked.filter(F.col("r") <= params.per_lang)
     chosen = ranked.orderBy("r", "lang").limit(params.max_sample).select("doc_id", "lang").distinct()
-    picked = rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    # One row an id, as rows may be repeated without bound.
+    picked = (rows.join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi").groupBy("doc_id", "lang")
+              .agg(F.min_by("text", F.xxhash64("text")).alias("text")))
     dims = params.dims
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lang, text in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
-                if LETTER.search(text):
+            for lang, text in zip(b["lang"].to_pylist(), (t.as_py() for t in b["text"])):
+                if any(map(str.isalpha, text)):
                     v = ngram_counts(text, dims).astype(np.uint32).tobytes()
                     yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([v], pa.binary())], ["lang", "v"])
     return picked.select("lang", "text").mapInArrow(vectors, "lang string, v binary")
@@ -161,7 +164,7 @@ def identify(docs: DataFrame, model: CentroidModel) -> DataFrame:
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = load()
         for b in batches:
-            found = [m.predict(t) for t in b["text"].to_pylist()]
+            found = [m.predict(t.as_py()) for t in b["text"]]
             yield pa.RecordBatch.from_arrays(
                 [b["doc_id"], b["held_out"], pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64()), pa.array([f[2] for f in found], pa.bool_())],
