@@ -46,7 +46,9 @@ class NeighbourParams:
     settled: float = 0.002      # share of list entries whose change ends the descent
     chunk: int = 512            # vectors compared at once in a bucket
     block: int = 1024           # vectors of a component's block
-    audit: int = 400            # sampled vectors
+    audit: int = 400            # sampled vectors, at first
+    audit_links: int = 100      # the sample grows until so many vectors with links were seen,
+    audit_most: int = 6400      # or it has so many
     target_recall: float = 0.98
     attempts: int = 3
     small_rows: int = 100_000   # tables up to this size are broadcast
@@ -119,6 +121,9 @@ def nearest(table: pa.Table, ids: str, params: NeighbourParams) -> pa.RecordBatc
     keep = s >= params.floor
     if len(i) > params.k:
         keep &= s >= -np.partition(-s, params.k - 1, axis=1)[:, params.k - 1:params.k]
+        for row in np.flatnonzero(keep.sum(axis=1) > params.k):   # ties: the smallest ids
+            own = np.flatnonzero(keep[row])
+            keep[row, own[np.lexsort((i[own], -s[row, own]))[params.k:]]] = False
         near = s >= params.threshold
         near |= near.T
         if (near & ~keep & ~keep.T).any():
@@ -305,10 +310,27 @@ def compare_all(vectors: DataFrame, params: NeighbourParams) -> tuple[DataFrame,
     return rows.filter("b IS NOT NULL").select(F.col("vec_id").alias("a"), "b"), stage(counts, "nn-counts")
 
 
-def audit(vectors: DataFrame, counts: DataFrame, parts: DataFrame, params: NeighbourParams) -> float:
+def audit(vectors: DataFrame, counts: DataFrame, parts: DataFrame, params: NeighbourParams) -> float | None:
+    """Recall of links, by a sample that grows until enough vectors with links are in it.
+
+    None if it has not one: then recall is unknown, unless the sample is all there is.
+    """
+    total, size = vectors.count(), params.audit
+    while True:
+        recall, linked = sampled_recall(vectors, counts, parts, params, size)
+        if size >= total:
+            return 1.0 if recall is None else recall
+        if linked >= params.audit_links or size >= params.audit_most:
+            return recall
+        size *= 4
+
+
+def sampled_recall(vectors: DataFrame, counts: DataFrame, parts: DataFrame, params: NeighbourParams,
+                   size: int) -> tuple[float | None, int]:
     """Recall of the sampled vectors' links, against a comparison of the sample with all vectors: the lower
-    of the averages over vectors and over components, so that one large group does not hide the others."""
-    sample = vectors.orderBy(F.xxhash64("vec_id", F.lit(params.seed))).limit(params.audit).select("vec_id", "g", "v")
+    of the averages over vectors and over components, so that one large group does not hide the others;
+    and how many of the sample have links."""
+    sample = vectors.orderBy(F.xxhash64("vec_id", F.lit(params.seed))).limit(size).select("vec_id", "g", "v")
     rows = sample.collect()
     by_group: dict[str, tuple[list[int], list[bytes]]] = {}
     for r in rows:
@@ -334,8 +356,8 @@ def audit(vectors: DataFrame, counts: DataFrame, parts: DataFrame, params: Neigh
     seen = (true.join(counts, "vec_id", "left").join(parts, F.col("vec_id") == F.col("node"), "left")
             .select(recall, F.coalesce("component", "vec_id").alias("c"))
             .groupBy("c").agg(F.sum("r").alias("r"), F.count("*").alias("m")))
-    r = seen.agg(F.sum("r") / F.sum("m"), F.avg(F.col("r") / F.col("m"))).first()
-    return 1.0 if r[0] is None else min(r)
+    r = seen.agg(F.sum("r") / F.sum("m"), F.avg(F.col("r") / F.col("m")), F.sum("m")).first()
+    return (None, 0) if r[0] is None else (min(r[0], r[1]), r[2])
 
 
 def near_duplicates(embeddings: DataFrame, params: NeighbourParams = NeighbourParams()) -> DataFrame:
@@ -365,9 +387,10 @@ def near_duplicates(embeddings: DataFrame, params: NeighbourParams = NeighbourPa
         counted = (ends.join(vectors.select(F.col("vec_id").alias("b"), "w"), "b")
                    .groupBy(F.col("a").alias("vec_id")).agg(F.sum("w").alias("n")))
         counts = stage(block_counts(members, params).union(counted), "nn-counts")
-        if audit(vectors, counts, parts, params) >= params.target_recall:
+        recall = audit(vectors, counts, parts, params)
+        if recall is not None and recall >= params.target_recall:
             break
-    else:
+    if recall is not None and recall < params.target_recall:
         links, counts = compare_all(vectors, params)
         parts = stage(connected_components(links), "nn-parts")
 
