@@ -206,3 +206,36 @@ def test_connected_components_of_random_graphs(spark):
         want = components({x for e in links if e[0] != e[1] for x in e}, [e for e in links if e[0] != e[1]])
         got = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
         assert {r["node"]: r["component"] for r in got} == want and len(got) == len(want)
+
+
+def test_audit_sees_links_or_says_so(spark):
+    """Rare pairs: the sample grows until it has seen links; without any, recall is unknown."""
+    from tidemark.llm.embedding_dedup import audit
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1200, 16))
+    x[600:612] = x[:12] + rng.normal(size=(12, 16)) * 0.01
+    rows = [(i, "l", [float(c) for c in v]) for i, v in enumerate(x)]
+    from tidemark.llm.embedding_dedup import valid_vectors
+    vectors = valid_vectors(spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")).select(
+        "vec_id", "g", "v", F.lit(1).cast("long").alias("w")).cache()
+    linked = [*range(12), *range(600, 612)]
+    parts = spark.createDataFrame([(i, i % 600) for i in linked], "node long, component long")
+    found = spark.createDataFrame([(i, 1) for i in linked if i % 600 < 6], "vec_id long, n long")
+    params = NeighbourParams(audit=20, audit_links=20, audit_most=5000)
+    assert audit(vectors, found, parts, params) == pytest.approx(0.5)
+    alone = vectors.filter("vec_id < 600")
+    assert audit(alone, found.limit(0), parts.limit(0), NeighbourParams(audit=10, audit_most=40)) is None
+    assert audit(alone, found.limit(0), parts.limit(0), params) == 1.0   # all compared
+
+
+def test_tied_neighbours_make_no_pairs_of_all(spark):
+    """Scaled copies are ties at the same similarity: lists hold k of them, and the result counts all."""
+    import pyarrow as pa
+    from tidemark.llm.embedding_dedup import nearest
+    v = np.random.default_rng(2).normal(size=8)
+    n, params = 300, NeighbourParams()
+    table = pa.table({"i": list(range(n)), "c": list(range(n)), "v": pa.array([(v * 2.0 ** (k % 40)).tobytes() for k in range(n)])})
+    assert nearest(table, "i", params).num_rows <= (params.k + 2) * n
+    rows = [(i, "l", [float(c) for c in v * (1 + i / 7)]) for i in range(n)]
+    got = near_duplicates(spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(n - 1, 0)}

@@ -155,6 +155,15 @@ def test_toxicity_counts_every_gram(spark):
     assert kept[1].columns == docs.columns and kept[0].count() == kept[1].count() < len(rows)
 
 
+def test_toxicity_learns_the_words_that_it_scores(spark):
+    texts = ["self-made don't", "İstanbul² ½x e\u0301a", "a\u00a0b\u2003c\x1cd", "Ünïcode—dash", "日本 x_y 4th"]
+    scored = sorted({w for t in texts for w in (toxicity.NOT_LETTERS.sub("", w) for w in t.lower().split()) if w})
+    rows = spark.createDataFrame([(t, 1, 0) for t in texts], "text string, toxic int, fold int")
+    got = toxicity.gram_counts(rows).collect()
+    grams, _ = toxicity.word_grams(scored)
+    assert {r["gram"] for r in got} == set(grams.tolist())
+
+
 def test_kneser_ney_probabilities_sum_to_one():
     grams, counts = np.unique(toxicity.word_grams(["abra", "cadabra", "abba", "cab"])[0], return_counts=True)
     keys = np.unique(grams & ((1 << 48) - 1))
@@ -179,6 +188,8 @@ def test_language_on_odd_rows(spark):
             for i in range(100, 160)] + odd_documents()
     docs = documents(spark, rows, clashing=True)
     model = langid.fit(docs)
+    for mark in ("²", "½ ①", "Ⅷ", "١٢", "ː"):   # no letters but the last
+        assert (langid.CentroidModel.predict(model, mark)[0] == "und") == (mark != "ː")
     got = langid.identify(docs, model).collect()
     assert len(got) == len(rows)
     texts = {}
@@ -229,10 +240,55 @@ def test_pseudo_labels_help_the_other_view():
     x = views(y, np.where(y == 1, 0, 1))
     z = rng.integers(0, 2, 300).astype(float)
     pool = views(z, np.where(z == 1, 2, 3))
-    _, meta = cotrain.co_train(x, y, pool, params)
+    keys = np.arange(len(z))
+
+    def hand_over(weights, taken, most):
+        for v in (0, 1):
+            p = cotrain.sigmoid(pool[v] @ weights[v][:-1] + weights[v][-1])
+            for label, at in enumerate(cotrain.sure_rows(p, keys, taken[v], most, params.sure)):
+                yield from ((v, label, keys[i], [a[i] for a in pool]) for i in at)
+    _, meta = cotrain.co_train(x, y, hand_over, params)
     assert meta[2] > 0.1 > -0.1 > meta[3]
 
 
+def test_hand_over_finds_the_surest_rows_of_the_whole_table(spark):
+    """Against scores of all rows at once; repeated rows count once, rows handed over before do not come again."""
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice(["fine", "words", "spam", "x" * rng.randint(1, 9)]) for _ in range(30)), "en", f"s{i % 5}")
+            for i in range(300)]
+    rows += rows[:40] + odd_documents()
+    docs = documents(spark, rows, clashing=True)
+    model = cotrain.CoTrained(cotrain.CoTrainParams(dims=64, sure=0.52))
+    r = np.random.default_rng(5)
+    weights = [r.normal(0, 1, 68).astype(np.float32), r.normal(0, 1, cotrain.META + 1).astype(np.float32)]
+    pool = cotrain.document_rows(docs)
+    taken = [np.zeros(0, np.int64)] * 2
+    for _ in range(2):
+        got = cotrain.pool_hand_over(pool.repartition(5), model)(weights, taken, (7, 4))
+        every = {x["key"]: (x["text"], x["source"], x["lang"]) for x in pool.collect()}
+        x = model.features(list(every.values()))
+        for v in (0, 1):
+            p = cotrain.sigmoid(x[v] @ weights[v][:-1] + weights[v][-1])
+            bad, good = cotrain.sure_rows(p, np.array(list(every)), taken[v], (7, 4), 0.52)
+            want = [(1, list(every)[i]) for i in good] + [(0, list(every)[i]) for i in bad]
+            assert want and [(g[1], g[2]) for g in got if g[0] == v] == want
+        taken = [np.array([g[2] for g in got if g[0] == v]) for v in (0, 1)]
+
+
+def test_co_training_with_repeated_ids_and_odd_rows(spark):
+    rows = [(i, ("good clear prose of some length " if i % 2 else "buy now !!! $$$ ") * 20, None if i % 3 else "en",
+             None if i % 5 == 0 else "s") for i in range(400)]
+    rows += [rows[1]] * 300 + odd_documents()
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(150)] + [(1, 1, 0), (2, 1, 0), (None, 1, 1), (3, None, 1)],
+                                   "doc_id long, quality int, toxic int")
+    docs = documents(spark, rows, clashing=True)
+    model = cotrain.fit(docs, labels)
+    got = cotrain.score(docs, model).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 for r in got)
+    assert all(r["predicted"] == r["doc_id"] % 2 for r in got if (r["doc_id"] or 0) >= 20)
+    assert len(cotrain.labelled_sample(docs, cotrain.label_marks(labels), model)) <= 150
+
+
 def test_held_out_rows_are_never_learned_from(spark):
     ids = spark.range(50).select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("x")).collect()
     assert all(r["x"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in ids)

@@ -239,7 +239,7 @@ def per_worker(key: str, make: Callable[[], object]) -> object:
     return kept[key]
 
 
-def small_batches(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about ``most`` characters, so that memory is bounded by a slice or one text."""
     at, size = 0, 0
     for i, n in enumerate(pc.fill_null(pc.utf8_length(batch[column]), 0).to_pylist()):

@@ -20,6 +20,8 @@ def scratch_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         import tempfile
         root = tempfile.mkdtemp(prefix="tidemark-llm-")
         sc.setCheckpointDir(root)

@@ -23,23 +23,25 @@ Only doc_id and text are read from documents.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import small_batches
 from tidemark.llm.shared import fold_of, held_out, n_partitions, ship, stage
 
 BITS = 12                      # a character code; larger code points are folded
 TOP = (1 << BITS) - 1
 ORDER = 5
 CALIBRATION_FOLD = 3
+CHUNK = 20_000                 # words scored at once
 COUNTS = ("toxic", "ordinary", "early_toxic", "early_ordinary")
-NOT_LETTERS = re.compile(r"[\W\d_]+")
+NOT_LETTERS = regex.compile(r"\P{L}+")
 
 
 @dataclass(frozen=True)
@@ -51,7 +53,7 @@ class ToxicityParams:
     calibration_rows: int = 20_000   # of the fold that calibrates, at most
     broadcast_labels: int = 1_000_000  # more labels than this are joined by shuffle
     threshold: float = 0.3
-    cache_words: int = 400_000
+    cache_words: int = 150_000
 
 
 def word_grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,10 +136,10 @@ class KneserNeyRatio:
                 cache.clear()
             new = list(set().union(*split).difference(cache))
             bare = [NOT_LETTERS.sub("", w) for w in new]
-            for at in range(0, len(new), 100_000):
-                found = self.words([b or "." for b in bare[at:at + 100_000]])
-                cache.update(zip(new[at:at + 100_000], np.where(
-                    [bool(b) for b in bare[at:at + 100_000]], found, 0.0).tolist()))
+            for at in range(0, len(new), CHUNK):
+                found = self.words([b or "." for b in bare[at:at + CHUNK]])
+                cache.update(zip(new[at:at + CHUNK], np.where(
+                    [bool(b) for b in bare[at:at + CHUNK]], found, 0.0).tolist()))
         out = np.zeros((len(texts), 2))
         for i, tokens in enumerate(split):
             if not tokens or not len(self.grams):
@@ -300,8 +302,9 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     """(gram, COUNTS) summed over the rows: by word first, so grams are made of distinct words."""
     early = (F.col("fold") != CALIBRATION_FOLD).cast("int")
     sums = dict(zip(COUNTS, (F.col("toxic"), 1 - F.col("toxic"), F.col("toxic") * early, (1 - F.col("toxic")) * early)))
-    words = (rows.select("toxic", "fold", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("w"))
-             .filter("w <> ''").groupBy("w").agg(*[F.sum(v).alias(c) for c, v in sums.items()]))
+    # The same words as those that are scored: between white space, without what is no letter.
+    words = (rows.select("toxic", "fold", F.explode(F.split(F.lower("text"), r"(?U)[\s\x1c-\x1f]+")).alias("w"))
+             .withColumn("w", F.regexp_replace("w", r"\P{L}+", "")).filter("w <> ''").groupBy("w").agg(*[F.sum(v).alias(c) for c, v in sums.items()]))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -359,10 +362,8 @@ def evidence(rows: DataFrame, model: KneserNeyRatio | RatioTables, carry: str) -
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, cache = load(), {}
         for b in batches:
-            texts = b["text"].to_pylist()
-            for at in range(0, len(texts), 500):
-                e = m.evidence(texts[at:at + 500], cache)
-                part = b.slice(at, 500)
+            for part in small_batches(b, "text", 1 << 20):
+                e = m.evidence(part["text"].to_pylist(), cache)
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part[carried], pa.array(e[:, 0]), pa.array(e[:, 1]), pa.array(m.scores(e))],
                     ["doc_id", carried, "mean_ratio", "peak_ratio", "score"])
@@ -389,8 +390,7 @@ def reject_toxic(docs: DataFrame, model: KneserNeyRatio | RatioTables) -> DataFr
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, cache = load(), {}
         for b in batches:
-            texts = b["text"].to_pylist()
-            scores = [m.scores(m.evidence(texts[at:at + 500], cache)) for at in range(0, len(texts), 500)]
-            if scores:
-                yield b.filter(pa.array(np.concatenate(scores) < m.params.threshold))
+            for part in small_batches(b, "text", 1 << 20):
+                scores = m.scores(m.evidence(part["text"].to_pylist(), cache))
+                yield part.filter(pa.array(scores < m.params.threshold))
     return docs.mapInArrow(keep, docs.schema)
