@@ -8,6 +8,12 @@ Semantics (hazard H3 of the design notes): a *scalar* read of a path yields the
 text of a string/number/boolean and NULL for an object, an array, JSON null,
 an absent path or a malformed document. Plain ``get_json_object`` returns the
 text of objects and arrays instead, which changes which fallback wins.
+
+The VARIANT parser refuses valid documents that repeat a key, or hold a string of
+over 20 M characters. These are read from their text instead, row by row and only
+where the parser refused: **of a repeated key the first value that is not null
+counts**, at every level. A string in such a document that is itself the text of
+an object or array is taken for one.
 """
 
 from __future__ import annotations
@@ -48,18 +54,89 @@ def json_scalar(doc, path: str = "$") -> Column:
     return F.when(~is_container(sub), sub.cast("string"))
 
 
+# No limit on strings; the default parser gives up at 20 M characters.
+WHOLE = {"maxStringLen": "2147483647", "maxNestingDepth": "100000"}
+VARIANT_STRING_LIMIT = 20_000_000
+
+
+def object_fields(text) -> Column:
+    """``map<string,string>`` of a JSON object's text; NULL for anything else."""
+    return F.from_json(_c(text), "map<string,string>", WHOLE)
+
+
+def array_texts(text) -> Column:
+    """``array<string>`` of a JSON array's elements: strings bare, other values as JSON text."""
+    return F.from_json(_c(text), "array<string>", WHOLE)
+
+
+def text_scalar(text, path: str) -> Column:
+    """Text of the scalar at ``path`` of a JSON text, read without parsing it into a VARIANT."""
+    raw = F.get_json_object(_c(text), path)
+    first = F.substring(raw, 1, 1)
+    container = (F.when(first == "{", object_fields(raw).isNotNull())
+                 .when(first == "[", array_texts(raw).isNotNull()).otherwise(F.lit(False)))
+    return F.when(~container, raw)
+
+
 def object_scalar(text, path: str) -> Column:
-    """Text of the scalar at ``path`` of a JSON object's text, else NULL.
+    """Text of the scalar at ``path`` of a JSON object's text, else NULL: ``json_scalar`` of the parsed
+    text, or ``text_scalar`` of a valid object that the VARIANT parser refuses."""
+    text = _c(text)
+    doc = parse_doc(text)
+    return (F.when(doc.isNotNull(), json_scalar(doc, path))
+            .when(object_fields(text).isNotNull(), text_scalar(text, path)))
+
 
-    As ``json_scalar`` of the parsed text. A valid object that the VARIANT parser
-    refuses (a repeated key, a very long string) is read by path from its text;
-    of a repeated key the first value counts.
+def array_scalars(text, doc, path: str) -> Column:
+    """``array<string>``: the scalar at ``path`` of every element of a JSON array, NULL where there is none.
+
+    ``doc`` is the parsed ``text``; where the parser refused it, the elements are read from the text.
+    NULL when the text is no array.
+    """
+    doc = _c(doc)
+    return (F.when(doc.isNotNull(), F.transform(json_array(doc), lambda e: json_scalar(e, path)))
+            .otherwise(F.transform(array_texts(text), lambda e: text_scalar(e, path))))
+
+
+def rebuilt_object(text, paths: Sequence[str]) -> Column:
+    """JSON text of an object of the values at ``paths`` of a valid object, with no key twice; else NULL.
+
+    For documents that the VARIANT parser refuses. Paths have one or two levels. The object is put together from the text of the values, each read by
+    its path; it is one expression over an array of paths, however many there are. A value that is a
+    string beyond the parser's limit is left out.
     """
     text = _c(text)
-    doc = parse_doc(text)
-    raw = F.get_json_object(text, path)
-    by_path = F.when(F.json_object_keys(text).isNotNull() & ~F.substring(raw, 1, 1).isin("{", "["), raw)
-    return F.when(doc.isNotNull(), json_scalar(doc, path)).otherwise(by_path)
+    below: dict[str, list[str]] = {}
+    for p in paths:
+        head, _, rest = p[2:].partition(".")
+        below.setdefault(head, []).extend([rest] if rest else [])
+    wrapped = F.concat(F.lit("["), text, F.lit("]"))   # strings stay quoted behind a wildcard
+
+    def read(names: Column, path) -> Column:
+        """The names with the text of the value at ``path(name)``, each read once; without those that have none."""
+        pairs = F.transform(names, lambda x: F.struct(x.alias("x"), F.call_function(
+            "get_json_object", wrapped, F.concat(F.lit("$[*]."), path(x))).alias("raw")))
+        return F.filter(pairs, lambda p: p["raw"].isNotNull() & (
+            (F.length(p["raw"]) <= VARIANT_STRING_LIMIT) | F.substring(p["raw"], 1, 1).isin("{", "[")))
+
+    def together(pairs: Column, name, value) -> Column:
+        members = F.transform(pairs, lambda p: F.concat(F.lit('"'), name(p["x"]), F.lit('":'), value(p["x"], p["raw"])))
+        return F.concat(F.lit("{"), F.array_join(members, ","), F.lit("}"))
+
+    def leaf(raw: Column) -> Column:
+        """What the parser refuses is a container: its kind, and an array's length, are all that is read from it."""
+        first = F.substring(raw, 1, 1)
+        return (F.when(F.try_parse_json(raw).isNotNull(), raw)
+                .when(first == "[", F.to_json(F.transform(array_texts(raw), lambda e: F.substring(e, 1, 1))))
+                .when(first == "{", "{}").otherwise("null"))
+
+    def field(x: Column, raw: Column) -> Column:
+        nested = together(read(x["below"], lambda c: F.concat(x["name"], F.lit("."), c)), lambda c: c, lambda _, r: leaf(r))
+        return F.when((F.substring(raw, 1, 1) == "{") & F.try_parse_json(raw).isNull(), nested).otherwise(leaf(raw))
+    known = F.array(*[F.struct(F.lit(h).alias("name"), F.array(*map(F.lit, c)).cast("array<string>").alias("below"))
+                      for h, c in below.items()])
+    whole = together(read(known, lambda x: x["name"]), lambda x: x["name"], field)
+    return F.when(object_fields(text).isNotNull(), whole)
 
 
 def json_subtree(text, path: str, doc=None) -> Column:
@@ -105,7 +182,7 @@ class JsonRecord:
     """
 
     def __init__(self, text, paths: Sequence[str]):
-        self.text = _c(text)
+        self.text, self.paths = _c(text), list(paths)
         tops = []
         for p in paths:
             head, _ = _split(p)
@@ -117,7 +194,9 @@ class JsonRecord:
         self._doc: Column | None = None
 
     def struct(self) -> Column:
-        return F.try_variant_get(parse_doc(self.text), F.lit("$"), self._struct_type)
+        # The second argument is worked out only where the first is NULL.
+        return F.coalesce(*[F.try_variant_get(parse_doc(t), F.lit("$"), self._struct_type)
+                            for t in (self.text, rebuilt_object(self.text, self.paths))])
 
     def bind(self, struct_col, text=None) -> JsonRecord:
         self._bound = _c(struct_col)

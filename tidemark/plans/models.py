@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.casts import safe_bigint, safe_bool, safe_decimal, safe_timestamp
 from tidemark.functions.ids import key_uuid
-from tidemark.functions.jsonx import JsonRecord, json_array, json_scalar, object_scalar, parse_doc
+from tidemark.functions.jsonx import JsonRecord, array_scalars, object_scalar, parse_doc
 from tidemark.operators.incremental import RunContext, changed_keys, incremental_filter, keep_keys
 from tidemark.operators.latest import latest_per_key, latest_value
 from tidemark.operators.links import HOT_SALTS, link_on_any, salted_equi_join
@@ -265,26 +265,22 @@ def _sum_decimals(arr: Column) -> Column:
         x.isNull(), acc).otherwise((narrow(acc) + narrow(x)).cast(NUMERIC)))
 
 
-def line_item_skus(line_items_doc: Column) -> Column:
-    """JSON array of the non-NULL ``sku`` scalars of the line items, in order."""
-    skus = F.filter(F.transform(json_array(line_items_doc), lambda e: json_scalar(e, "$.sku")),
-                    lambda s: s.isNotNull())
+def line_item_skus(line_items: Column, doc: Column) -> Column:
+    """JSON array of the non-NULL ``sku`` scalars of the line items (text and parsed ``doc``), in order."""
+    skus = F.filter(array_scalars(line_items, doc, "$.sku"), lambda s: s.isNotNull())
     return F.to_json(F.coalesce(skus, F.array().cast("array<string>")))
 
 
-def line_item_products(line_items_doc: Column) -> Column:
+def line_item_products(line_items: Column, doc: Column) -> Column:
     """JSON array of product ids; a present but non-integer id becomes null."""
-    texts = F.filter(F.transform(json_array(line_items_doc), lambda e: json_scalar(e, "$.product_id")),
-                     lambda s: s.isNotNull())
+    texts = F.filter(array_scalars(line_items, doc, "$.product_id"), lambda s: s.isNotNull())
     ids = F.transform(texts, lambda s: safe_bigint(s))
     return F.to_json(F.coalesce(ids, F.array().cast("array<bigint>")))
 
 
-def shipping_total(shipping_doc: Column) -> Column:
+def shipping_total(shipping_lines: Column, doc: Column) -> Column:
     """Sum of ``discounted_price`` over the shipping lines as decimal(38,9)."""
-    prices = F.transform(json_array(shipping_doc),
-                         lambda e: safe_decimal(json_scalar(e, "$.discounted_price")))
-    return _sum_decimals(prices)
+    return _sum_decimals(F.transform(array_scalars(shipping_lines, doc, "$.discounted_price"), lambda p: safe_decimal(p)))
 
 
 def orders_mart_updates(orders: DataFrame, shop_map: DataFrame, ctx: RunContext,
@@ -316,10 +312,10 @@ def orders_mart_updates(orders: DataFrame, shop_map: DataFrame, ctx: RunContext,
         "order_name": _blank(F.col("order_name")),
         "email": _blank(F.col("email")),
         "order_created_at": F.coalesce(F.col("order_created_at"), now),
-        "sku": line_item_skus(F.col("_li")),
-        "shopify_product_id": line_item_products(F.col("_li")),
+        "sku": line_item_skus(F.col("line_items"), F.col("_li")),
+        "shopify_product_id": line_item_products(F.col("line_items"), F.col("_li")),
         "total_price": F.coalesce(F.col("total_price"), F.lit(0).cast(NUMERIC)),
-        "shipping_price": shipping_total(F.col("_sl")),
+        "shipping_price": shipping_total(F.col("shipping_lines"), F.col("_sl")),
     }
     src = src.select("*", *[v.alias(f"_d_{k}") for k, v in derived.items()])
     return src.selectExpr(*[f"`_d_{c}` AS `{c}`" if c in derived else f"`{c}`" for c in ORDERS_MART_COLUMNS])

@@ -83,24 +83,24 @@ def q_shop_latest_customer(spark, sf_dir):
 
 def _raw_orders_doc(spark, sf_dir):
     o = _inputs(spark, sf_dir)["orders"]
-    return o.select(F.col("id").alias("order_id"), FIXTURE_EXTRACTED_COL,
+    return o.select(F.col("id").alias("order_id"), FIXTURE_EXTRACTED_COL, "line_items", "shipping_lines",
                     parse_doc("line_items").alias("_li"), parse_doc("shipping_lines").alias("_sl"))
 
 
 def q_line_item_skus(spark, sf_dir):
     return _raw_orders_doc(spark, sf_dir).select(
-        "order_id", FIXTURE_EXTRACTED_COL, models.line_item_skus(F.col("_li")).alias("sku"))
+        "order_id", FIXTURE_EXTRACTED_COL, models.line_item_skus(F.col("line_items"), F.col("_li")).alias("sku"))
 
 
 def q_line_item_products(spark, sf_dir):
     return _raw_orders_doc(spark, sf_dir).select(
         "order_id", FIXTURE_EXTRACTED_COL,
-        models.line_item_products(F.col("_li")).alias("shopify_product_id"))
+        models.line_item_products(F.col("line_items"), F.col("_li")).alias("shopify_product_id"))
 
 
 def q_shipping_totals(spark, sf_dir):
     return _raw_orders_doc(spark, sf_dir).select(
-        "order_id", FIXTURE_EXTRACTED_COL, models.shipping_total(F.col("_sl")).alias("shipping_price"))
+        "order_id", FIXTURE_EXTRACTED_COL, models.shipping_total(F.col("shipping_lines"), F.col("_sl")).alias("shipping_price"))
 
 
 def q_journey_moments(spark, sf_dir):
