@@ -9,8 +9,8 @@ a row older than the window is skipped once a run has happened (H1).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -27,13 +27,18 @@ class RunContext:
     """One build of one mart: the run time and the mart's current snapshot.
 
     ``target`` is None on a first (or full-refresh) run; the run is then not
-    incremental and no high-water filter applies.
+    incremental and no high-water filter applies. ``marks`` holds the maxima of target columns that
+    are known already (recorded when the snapshot was committed), so that the target need not be read
+    for them. ``source_ts`` is the column of the raw sources that is compared with the mark; an
+    ingestion time catches rows that arrive late.
     """
 
     now: datetime | str
     target: DataFrame | None = None
     window_hours: int = SAFETY_WINDOW_HOURS
     ts_type: T.DataType = T.TimestampNTZType()
+    marks: Mapping[str, Column] = field(default_factory=dict)
+    source_ts: str = "updated_at"
 
     @property
     def incremental(self) -> bool:
@@ -56,10 +61,30 @@ def high_water_mark(target: DataFrame, target_col: str = "updated_at",
 
 def incremental_filter(df: DataFrame, ts_col: str, ctx: RunContext,
                        target_col: str = "updated_at") -> DataFrame:
-    """Rows of ``df`` newer than the target's high-water mark; all rows on a first run."""
+    """Rows of ``df`` newer than the target's high-water mark; all rows on a first run.
+
+    A mark recorded at commit is a literal (pushed into the scan, and good for partition pruning);
+    else it is a scalar subquery over the target.
+    """
     if not ctx.incremental:
         return df
-    return df.filter(F.col(ts_col) > high_water_mark(ctx.target, target_col, ctx.window_hours))
+    if target_col in ctx.marks:
+        mark = hours_before(ctx.marks[target_col], ctx.window_hours)
+    else:
+        mark = high_water_mark(ctx.target, target_col, ctx.window_hours)
+    return df.filter(F.col(ts_col) > mark)
+
+
+def fresh_versions(df: DataFrame, key: str, ctx: RunContext) -> DataFrame:
+    """Versions of a raw source that decide the latest version of every key touched since the mark.
+
+    By ``updated_at`` these are the rows beyond the mark: a key's latest version carries its maximum,
+    so an older one below the mark can never win. By another column a late row may be older than
+    versions below the mark, so all versions of the keys touched are kept.
+    """
+    if not ctx.incremental or ctx.source_ts == "updated_at":
+        return incremental_filter(df, ctx.source_ts, ctx)
+    return keep_keys(df, incremental_filter(df, ctx.source_ts, ctx).select(key).distinct(), key)
 
 
 def changed_keys(key: str, *frames: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,9 +40,21 @@ def dedupe_snapshot(spec: MartSpec, df: DataFrame, keys_checked: bool = False) -
     return latest_per_key(df, list(spec.keys), list(spec.dedupe_order))
 
 
+def recorded_marks(known: Mapping) -> dict[str, Column]:
+    """Literal columns of the maxima recorded with a snapshot."""
+    marks = {}
+    for name, mark in known.get("maxima", {}).items():
+        value = F.lit(mark["value"])
+        marks[name] = (F.timestamp_micros(value.cast("long")) if mark["type"] == "timestamp" else value.cast(mark["type"]))
+    return marks
+
+
 def merge_into(spec: MartSpec, target: DataFrame | None, updates: DataFrame) -> DataFrame:
     """M1 + M3: the mart after merging ``updates`` (target already deduped)."""
-    return upsert(target, updates, spec.keys, spec.exclude_on_update)
+    return upsert(target, updates, spec.keys, spec.exclude_on_update, spec.carry_on_update)
+
+
+Facts = Callable[[MartSpec], Mapping]
 
 
 @dataclass(frozen=True)
@@ -56,6 +68,8 @@ class SyncOptions:
     full_refresh: bool = False
     snapshot_keys_checked: bool = False
     hot_key_salts: int = HOT_SALTS
+    source_ts: str = "updated_at"   # column of the raw sources that the mark is compared with
+    facts: Facts | None = None      # what was recorded when a mart's current snapshot was committed
 
 
 Current = Callable[[MartSpec], DataFrame | None]
@@ -90,22 +104,24 @@ class LazyTables(Mapping):
 
 
 def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptions,
-              materialize: Materialize = _lazy) -> LazyTables:
+              materialize: Materialize = _lazy, upstream: Current | None = None) -> LazyTables:
     """The six marts in dependency order, as a lazy {mart name: table} mapping.
 
     ``inputs``: raw ``customers``, ``orders``, ``journey``. ``current(spec)``
     gives the mart's current snapshot or None. Iterating the result in order
-    (as :func:`tidemark.plans.sync.run_sync` does) builds every mart.
+    (as :func:`tidemark.plans.sync.run_sync` does) builds every mart. With ``upstream``, a mart
+    is planned on the tables that this gives for the marts before it, instead of on their plans.
     """
     def run(spec: MartSpec, make: Callable[[RunContext], DataFrame]) -> DataFrame:
         snapshot = None if opts.full_refresh else current(spec)
-        target = (dedupe_snapshot(spec, snapshot, opts.snapshot_keys_checked)
+        known = opts.facts(spec) if opts.facts and snapshot is not None else {}
+        target = (dedupe_snapshot(spec, snapshot, opts.snapshot_keys_checked or known.get("checked", False))
                   if snapshot is not None else None)
-        ctx = RunContext(opts.now, target, opts.window_hours, opts.ts_type)
+        ctx = RunContext(opts.now, target, opts.window_hours, opts.ts_type, recorded_marks(known), opts.source_ts)
         return materialize(spec, merge_into(spec, target, make(ctx)))
 
     def t(spec):
-        return lambda: out[spec.name]
+        return lambda: out[spec.name] if upstream is None else upstream(spec)
 
     idmap, shop, orders_mart = t(IDENTITY_MAP), t(SHOP_MAP), t(ORDERS)
     builders = {

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.casts import safe_bigint, safe_bool, safe_decimal, safe_timestamp
 from tidemark.functions.ids import key_uuid
 from tidemark.functions.jsonx import JsonRecord, array_scalars, object_scalar, parse_doc
-from tidemark.operators.incremental import RunContext, changed_keys, incremental_filter, keep_keys
+from tidemark.operators.incremental import RunContext, changed_keys, fresh_versions, incremental_filter, keep_keys
 from tidemark.operators.latest import latest_per_key, latest_value
 from tidemark.operators.links import HOT_SALTS, link_on_any, salted_equi_join
 from tidemark.schemas import (
@@ -108,39 +108,21 @@ def shop_links(customers: DataFrame, identity_map: DataFrame, ignore_blank: bool
 # ------------------------------------------------------------------ D5-D7
 
 def identity_map_updates(customers: DataFrame, ctx: RunContext) -> DataFrame:
-    """One row per (email, phone); the id is reused when known, else derived from the pair."""
+    """One row per (email, phone), with the id derived from the pair; the merge keeps an id known before."""
     now = ctx.now_col()
     src = customers.filter(_present(F.col("email")) | _present(F.col("phone")))
-    src = incremental_filter(src, "updated_at", ctx)
+    src = incremental_filter(src, ctx.source_ts, ctx)
     pairs = src.groupBy(_blank(F.col("email")).alias("email"),
                         _blank(F.col("phone")).alias("phone")).agg(F.max("updated_at").alias("_max_ts"))
-    if ctx.incremental:
-        existing = ctx.target.select(
-            F.col("customer_id").alias("_e_customer_id"), _blank(F.col("email")).alias("email"),
-            _blank(F.col("phone")).alias("phone"), F.col("created_at").alias("_e_created_at"))
-        pairs = pairs.join(existing, ["email", "phone"], "left")
-        cid = F.coalesce(F.col("_e_customer_id"), key_uuid(F.col("email"), F.col("phone")))
-        created = F.coalesce(F.col("_e_created_at"), now)
-    else:
-        cid, created = key_uuid(F.col("email"), F.col("phone")), now
-    return pairs.select(cid.alias("customer_id"), "email", "phone", created.alias("created_at"),
-                        now.alias("updated_at"))
+    return pairs.select(key_uuid(F.col("email"), F.col("phone")).alias("customer_id"), "email", "phone",
+                        now.alias("created_at"), now.alias("updated_at"))
 
 
 def id_registry_updates(identity_map: DataFrame, ctx: RunContext) -> DataFrame:
-    """Every customer id of the identity map; merge_record carried forward, else '{}'."""
+    """Every customer id of the identity map; the merge carries a known merge_record forward."""
     now = ctx.now_col()
-    ids = identity_map.select("customer_id").distinct()
-    if ctx.incremental:
-        existing = ctx.target.select("customer_id", F.col("merge_record").alias("_e_merge"),
-                                     F.col("created_at").alias("_e_created_at"))
-        ids = ids.join(existing, "customer_id", "left")
-        merge = F.coalesce(F.col("_e_merge"), F.lit(EMPTY_JSON_OBJECT))
-        created = F.coalesce(F.col("_e_created_at"), now)
-    else:
-        merge, created = F.lit(EMPTY_JSON_OBJECT), now
-    return ids.select("customer_id", merge.alias("merge_record"), created.alias("created_at"),
-                      now.alias("updated_at"))
+    return identity_map.select("customer_id").distinct().select(
+        "customer_id", F.lit(EMPTY_JSON_OBJECT).alias("merge_record"), now.alias("created_at"), now.alias("updated_at"))
 
 
 def shop_map_updates(customers: DataFrame, identity_map: DataFrame, ctx: RunContext,
@@ -151,7 +133,7 @@ def shop_map_updates(customers: DataFrame, identity_map: DataFrame, ctx: RunCont
     but each contact arm is first reduced to one row per (shop id, value).
     """
     now = ctx.now_col()
-    src = incremental_filter(customers.filter(F.col("id").isNotNull()), "updated_at", ctx)
+    src = incremental_filter(customers.filter(F.col("id").isNotNull()), ctx.source_ts, ctx)
     ids = _identity_keys(identity_map)
     arms = []
     for c in ("email", "phone"):
@@ -166,15 +148,7 @@ def shop_map_updates(customers: DataFrame, identity_map: DataFrame, ctx: RunCont
                     .select("customer_id", "shopify_id", "updated_at"))
     links = (arms[0].unionByName(arms[1]).groupBy("customer_id", "shopify_id")
              .agg(F.max("updated_at").alias("_max_ts")))
-    if ctx.incremental:
-        existing = ctx.target.select("customer_id", "shopify_id",
-                                     F.col("created_at").alias("_e_created_at"))
-        links = links.join(existing, ["customer_id", "shopify_id"], "left")
-        created = F.coalesce(F.col("_e_created_at"), now)
-    else:
-        created = now
-    return links.select(created.alias("created_at"), now.alias("updated_at"), "customer_id",
-                        "shopify_id")
+    return links.select(now.alias("created_at"), now.alias("updated_at"), "customer_id", "shopify_id")
 
 
 def shop_latest_customer(shop_map: DataFrame) -> DataFrame:
@@ -193,7 +167,7 @@ PROFILE_LATEST = (("currency", "currency"), ("addresses", "addresses"),
 def changed_customer_ids(customers: DataFrame, identity_map: DataFrame, shop_map: DataFrame,
                          ctx: RunContext) -> DataFrame:
     """I4: ids touched since the customer mart's mark in the maps or the raw customers."""
-    touched_raw = (incremental_filter(customers, "updated_at", ctx).select(F.col("id").alias("shopify_id"))
+    touched_raw = (incremental_filter(customers, ctx.source_ts, ctx).select(F.col("id").alias("shopify_id"))
                    .join(shop_map.select("customer_id", "shopify_id"), "shopify_id", "inner"))
     return changed_keys("customer_id",
                         incremental_filter(identity_map, "updated_at", ctx),
@@ -236,12 +210,7 @@ def customer_profile_updates(customers: DataFrame, identity_map: DataFrame, shop
         *[F.max(f"_l_{out}").getField("v").alias(out) for _, out in PROFILE_LATEST],
         F.min("_min_created").alias("shopify_created_at"))
     src = idmap.join(per_customer, "customer_id", "left").join(tag_lists, "customer_id", "left")
-    if ctx.incremental:
-        existing = ctx.target.select("customer_id", F.col("created_at").alias("_e_created_at"))
-        src = src.join(existing, "customer_id", "left")
-        created = F.coalesce(F.col("_e_created_at"), F.col("_map_created"), now)
-    else:
-        created = F.coalesce(F.col("_map_created"), now)
+    created = F.coalesce(F.col("_map_created"), now)
     shop_tags = F.when(F.size("_tag_list") > 0, F.to_json("_tag_list"))
     return src.select(created.alias("created_at"), now.alias("updated_at"), "customer_id", "email",
                       "phone", "currency", "addresses", "firstname", "lastname", "shopify_created_at",
@@ -288,25 +257,18 @@ def orders_mart_updates(orders: DataFrame, shop_map: DataFrame, ctx: RunContext,
     """Latest orders with a shop customer id, resolved to a customer id ('unknown' if none).
 
     The high-water filter is applied to the raw versions *before* the
-    latest-per-id window. That is exact: an id's latest version carries its
-    maximum updated_at, so the id passes the mark iff its latest version does,
-    and older versions below the mark can never be the latest. The window
-    then only sees rows newer than the mark, and the filter reaches the scan.
+    latest-per-id window (:func:`fresh_versions`), so the window only sees rows
+    newer than the mark, and the filter reaches the scan. No look at the target
+    is needed: the merge keeps ``created_at``.
     """
     now = ctx.now_col()
-    latest = orders_latest(incremental_filter(orders, "updated_at", ctx), extracted_col)
+    latest = orders_latest(fresh_versions(orders, "id", ctx), extracted_col)
     src = latest.filter(F.col("shopify_id").isNotNull())
     src = src.join(shop_latest_customer(shop_map).withColumnRenamed("customer_id", "_map_customer"),
                    "shopify_id", "left")
-    if ctx.incremental:
-        src = src.join(ctx.target.select("order_id", F.col("created_at").alias("_e_created_at")),
-                       "order_id", "left")
-        created = F.coalesce(F.col("_e_created_at"), now)
-    else:
-        created = now
     src = src.select("*", parse_doc("line_items").alias("_li"), parse_doc("shipping_lines").alias("_sl"))
     derived = {
-        "created_at": created,
+        "created_at": now,
         "updated_at": now,
         "customer_id": F.coalesce(F.col("_map_customer"), F.lit(UNKNOWN_CUSTOMER)),
         "order_name": _blank(F.col("order_name")),
@@ -398,19 +360,13 @@ def journey_mart_updates(journey: DataFrame, orders_mart: DataFrame, ctx: RunCon
         F.col("customer_id").isNotNull() & (F.col("customer_id") != UNKNOWN_CUSTOMER)
         & F.col("shopify_id").isNotNull()
     ).select(F.col("order_id").alias("shopify_order_id"), "customer_id", "shopify_id")
-    latest = journey_latest(incremental_filter(journey, "updated_at", ctx), extracted_col)
+    latest = journey_latest(fresh_versions(journey, "order_id", ctx), extracted_col)
     src = latest.join(resolved, "shopify_order_id", "inner")
-    if ctx.incremental:
-        src = src.join(ctx.target.select("shopify_order_id", F.col("created_at").alias("_e_created_at")),
-                       "shopify_order_id", "left")
-        created = F.coalesce(F.col("_e_created_at"), now)
-    else:
-        created = now
     rec = journey_record("customer_journey_summary")
     src = src.select("*", rec.struct().alias("_rec"))
     derived = journey_fields(rec.bind("_rec"))
     derived.update({
-        "created_at": created, "updated_at": now,
+        "created_at": now, "updated_at": now,
         "shop_url": _blank(F.col("shop_url")),
     })
     return src.select(*[(derived[c] if c in derived else F.col(c)).alias(c) for c in JOURNEY_MART_COLUMNS])

@@ -2,12 +2,18 @@
 
 Inputs are the raw-shaped frames derived from ``orders`` and ``customer``
 (:mod:`tidemark.sources.fixtures`) and the ``events`` table. Incremental
-queries build run 1 (rows before 2001-01-01, run time 2001-01-01) and then
-run 2 (all rows, run time 2002-01-01) on top of it, lazily.
+queries write run 1 (rows before 2001-01-01, run time 2001-01-01) and run 2 (all rows,
+run time 2002-01-01) with ``run_sync``, once a session, and plan their mart's run 2
+on the stored tables.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Mapping
+from dataclasses import replace
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +24,12 @@ from tidemark.operators.checks import check_summary, not_null, unique, unique_co
 from tidemark.operators.incremental import RunContext, incremental_filter
 from tidemark.operators.upsert import upsert
 from tidemark.plans import models
-from tidemark.plans.marts import SyncOptions, build_all, dedupe_snapshot
+from tidemark.plans.marts import LazyTables, SyncOptions, build_all, dedupe_snapshot
+from tidemark.plans.sync import run_sync
 from tidemark.schemas import CUSTOMER, ID_REGISTRY, IDENTITY_MAP, JOURNEY, MARTS, ORDERS, SHOP_MAP
+from tidemark.session import scratch_dir
 from tidemark.sources.fixtures import FIXTURE_EXTRACTED_COL, fixture_inputs
+from tidemark.sources.snapshots import SnapshotStore
 
 RUN1_NOW = "2001-01-01 00:00:00"
 RUN2_NOW = "2002-01-01 00:00:00"
@@ -44,10 +53,30 @@ def full_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return build_all(_inputs(spark, sf_dir), lambda spec: None, _opts(RUN2_NOW))
 
 
-def two_runs(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    r1 = build_all(_inputs(spark, sf_dir, 1), lambda spec: None, _opts(RUN1_NOW))
-    r2 = build_all(_inputs(spark, sf_dir, 2), lambda spec: r1[spec.name], _opts(RUN2_NOW))
-    return r1, r2
+_STORED: dict[tuple[str, str], SnapshotStore] = {}
+
+
+def stored_runs(spark: SparkSession, sf_dir: str, runs: int = 2) -> SnapshotStore:
+    """The store of run 1, or of both runs: written, checked and committed by ``run_sync``, once a
+    session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        _STORED[key] = SnapshotStore(spark, f"{scratch_dir(spark)}/runs/{uuid.uuid4().hex}")
+    store = _STORED[key]
+    for run in range((store.current_version(MARTS[-1].name) or 0) + 1, runs + 1):
+        run_sync(spark, _inputs(spark, sf_dir, run), store.root, (RUN1_NOW, RUN2_NOW)[run - 1], bucketed=False,
+                 extracted_col=FIXTURE_EXTRACTED_COL, customer_tiebreak=FIXTURE_EXTRACTED_COL)
+    return store
+
+
+def two_runs(spark: SparkSession, sf_dir: str) -> tuple[Mapping[str, DataFrame], Mapping[str, DataFrame]]:
+    """Run 1 as stored, and the plans of run 2: each mart merges into its stored run 1, from the raw
+    inputs and the stored run-2 tables of the marts before it."""
+    store = stored_runs(spark, sf_dir)
+    r1 = LazyTables({s.name: (lambda s=s: store.read(s.name, version=1)) for s in MARTS})
+    opts = replace(_opts(RUN2_NOW), facts=lambda spec: store.facts(spec.name, 1))
+    return r1, build_all(_inputs(spark, sf_dir, 2), lambda spec: r1[spec.name], opts,
+                         upstream=lambda spec: store.read(spec.name, version=2))
 
 
 def _orders_latest(spark, sf_dir):
@@ -120,8 +149,7 @@ def q_json_scalar_events(spark, sf_dir):
 
 def q_high_water_filter(spark, sf_dir):
     """Latest orders newer than the run-1 orders mart's mark (run-2 time window)."""
-    r1 = build_all(_inputs(spark, sf_dir, 1), lambda spec: None, _opts(RUN1_NOW))
-    ctx = RunContext(RUN2_NOW, r1[ORDERS.name])
+    ctx = RunContext(RUN2_NOW, stored_runs(spark, sf_dir, 1).read(ORDERS.name, version=1))
     return incremental_filter(_orders_latest(spark, sf_dir), "updated_at", ctx).select(
         "order_id", "updated_at")
 
@@ -203,16 +231,15 @@ def q_mart_checks(spark, sf_dir):
 
 
 def q_run_sync_summary(spark, sf_dir):
-    r1, r2 = two_runs(spark, sf_dir)
+    """Rows of every mart after each of two written runs, counted in the committed files."""
+    store = stored_runs(spark, sf_dir)
     parts = []
-    for run, marts in ((1, r1), (2, r2)):
+    for run in (1, 2):
         for s in MARTS:
-            parts.append(marts[s.name].agg(F.count(F.lit(1)).alias("row_count")).select(
+            table = store.read(s.name, version=run)
+            parts.append(table.agg(F.count(F.lit(1)).alias("row_count")).select(
                 F.lit(s.name).alias("mart"), F.lit(run).alias("run"), "row_count"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return reduce(DataFrame.unionByName, parts)
 
 
 QUERIES = {

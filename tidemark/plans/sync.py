@@ -65,12 +65,21 @@ def validate(spec: MartSpec, table: DataFrame) -> list[str]:
     return problems
 
 
+def snapshot_facts(table: DataFrame, checked: bool, mark: str = "updated_at") -> dict:
+    """Rows and greatest ``mark`` of a written mart (one column is read), for its commit marker."""
+    kind = table.schema[mark].dataType.simpleString()
+    top = F.unix_micros(F.max(mark)) if kind == "timestamp" else F.max(mark).cast("string")
+    row = table.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
+    maxima = {} if row["top"] is None else {mark: {"type": kind, "value": row["top"]}}
+    return {"rows": row["n"], "checked": checked, "maxima": maxima}
+
+
 def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
              now: datetime | str, full_refresh: bool = False, window_hours: int = 24,
              ts_type: T.DataType = T.TimestampNTZType(), extracted_col: str = "_airbyte_extracted_at",
              customer_tiebreak: str | None = None, ignore_blank: bool = False,
              check: bool = True, bucketed: bool = True, buckets: int | None = None,
-             hot_key_salts: int = HOT_SALTS) -> dict[str, int]:
+             hot_key_salts: int = HOT_SALTS, source_ts: str = "updated_at") -> dict[str, int]:
     """Build all marts into ``warehouse``; returns {mart: committed version}.
 
     ``inputs`` holds the raw ``customers``, ``orders`` and ``journey`` frames.
@@ -78,7 +87,12 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
     ``bucketed`` writes every mart bucketed on its merge key (``buckets``
     defaults to ``spark.sql.shuffle.partitions`` at a table's first write).
     ``hot_key_salts``: tasks a blank contact value is spread over in the
-    email/phone link joins (raise it with the cluster size).
+    email/phone link joins (raise it with the cluster size). ``source_ts``: the
+    column of the raw sources compared with a mart's high-water mark; name an
+    ingestion time there to catch rows that arrive more than ``window_hours`` late.
+
+    A mart's row count and greatest ``updated_at`` are stored with its commit marker, so
+    that the next run takes its mark from there and does not scan the mart for it.
     """
     store = SnapshotStore(spark, warehouse, buckets)
 
@@ -96,6 +110,7 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
             problems = validate(spec, written)
             if problems:
                 raise MartCheckError("; ".join(problems))
+        store.record(spec.name, version, snapshot_facts(written, check))
         store.commit(spec.name, version)
         versions[spec.name] = version
         return written
@@ -103,7 +118,7 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
     opts = SyncOptions(now=now, window_hours=window_hours, ts_type=ts_type,
                        extracted_col=extracted_col, customer_tiebreak=customer_tiebreak,
                        ignore_blank=ignore_blank, full_refresh=full_refresh,
-                       snapshot_keys_checked=check, hot_key_salts=hot_key_salts)
+                       hot_key_salts=hot_key_salts, source_ts=source_ts, facts=lambda spec: store.facts(spec.name))
     marts = build_all(inputs, current, opts, materialize)
     for name in marts:  # dependency order; each access writes and commits one mart
         marts[name]

@@ -128,7 +128,7 @@ class MartSpec:
     """Configuration of one incremental, keyed mart.
 
     ``keys``: merge key. ``exclude_on_update``: columns an update keeps from the
-    existing row. ``dedupe_order``: recency order used by the pre-merge dedupe
+    existing row; ``carry_on_update``: those it keeps unless they are NULL. ``dedupe_order``: recency order used by the pre-merge dedupe
     of the current snapshot (empty = no dedupe). ``dedupe_normalise``: key
     columns coalesced to '' before the dedupe.
     """
@@ -136,6 +136,7 @@ class MartSpec:
     name: str
     keys: tuple[str, ...]
     exclude_on_update: tuple[str, ...] = ("created_at",)
+    carry_on_update: tuple[str, ...] = ()
     dedupe_order: tuple[str, ...] = ()
     dedupe_normalise: tuple[str, ...] = ()
     not_null: tuple[str, ...] = ()
@@ -144,12 +145,12 @@ class MartSpec:
 
 
 IDENTITY_MAP = MartSpec(
-    "dwd_customer_email_phone_map", ("email", "phone"),
+    "dwd_customer_email_phone_map", ("email", "phone"), carry_on_update=("customer_id",),
     dedupe_order=("updated_at", "created_at", "customer_id"),
     dedupe_normalise=("email", "phone"),
     not_null=("customer_id",), unique_combos=(("email", "phone"),))
 ID_REGISTRY = MartSpec(
-    "dwd_customer_id", ("customer_id",),
+    "dwd_customer_id", ("customer_id",), carry_on_update=("merge_record",),
     dedupe_order=("updated_at", "created_at", "merge_record"),
     not_null=("customer_id",), unique=("customer_id",))
 SHOP_MAP = MartSpec(

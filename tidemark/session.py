@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -51,3 +53,11 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     os.makedirs(fallback, exist_ok=True)
     sc.setCheckpointDir(fallback)
     return sc.getCheckpointDir() or fallback
+
+
+def scratch_dir(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a fresh local folder only on a local master without one (tests)."""
+    fallback = None
+    if spark.sparkContext.master.startswith("local"):
+        fallback = os.path.join(tempfile.gettempdir(), f"tidemark-{uuid.uuid4().hex}")
+    return checkpoint_dir(spark, fallback).rstrip("/")

@@ -4,6 +4,7 @@ Layout under a shared warehouse root (HDFS, object store or a local folder in
 tests)::
 
     <root>/<mart>/v=000001/part-*.parquet     written by one Spark job
+    <root>/<mart>/_facts/000001.json          what is known of the version: rows, maxima, whether checked
     <root>/<mart>/_commits/000001             empty marker = version committed
 
 A new version is written next to the old ones, checked, and only then
@@ -28,7 +29,8 @@ table's partitioning instead of re-shuffling it.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -129,10 +131,36 @@ class SnapshotStore:
             df.write.mode("errorifexists").parquet(path)
         return version
 
+    def record(self, name: str, version: int, facts: Mapping) -> None:
+        """Store what is known of a written version; call it before :meth:`commit`."""
+        fs, p = self._fs(self._facts_file(name, version))
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(json.dumps(facts).encode()))
+        finally:
+            out.close()
+
     def commit(self, name: str, version: int) -> None:
         fs, p = self._fs(f"{self._commit_dir(name)}/{version:06d}")
         fs.mkdirs(p)
 
+    def _facts_file(self, name: str, version: int) -> str:
+        return f"{self.table_dir(name)}/_facts/{version:06d}.json"
+
+    def facts(self, name: str, version: int | None = None) -> dict:
+        """What was stored with a version (the current one by default); empty if nothing was."""
+        version = self.current_version(name) if version is None else version
+        if version is None:
+            return {}
+        fs, p = self._fs(self._facts_file(name, version))
+        if not fs.exists(p):
+            return {}
+        stream = fs.open(p)
+        try:
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+        finally:
+            stream.close()
+
     def prune(self, name: str, keep: int = 2) -> list[int]:
         """Delete all but the ``keep`` newest committed versions; returns the deleted ones.
 
@@ -145,6 +173,7 @@ class SnapshotStore:
             fs, p = self._fs(f"{self._commit_dir(name)}/{v:06d}")
             fs.delete(p, True)
             self.spark.sql(f"DROP TABLE IF EXISTS {self._table_name(name, v)}")
-            fs, p = self._fs(self.version_dir(name, v))
-            fs.delete(p, True)
+            for path in (self.version_dir(name, v), self._facts_file(name, v)):
+                fs, p = self._fs(path)
+                fs.delete(p, True)
         return gone
