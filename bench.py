@@ -12,7 +12,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from tidemark.functions.timex import ts_literal  # noqa: E402
 from tidemark.plans.queries import QUERIES  # noqa: E402
 from tidemark.plans.sync import run_sync  # noqa: E402
-from tidemark.session import build_session  # noqa: E402
+from tidemark.session import build_session, scratch_dir  # noqa: E402
 from tidemark.sources.fixtures import FIXTURE_EXTRACTED_COL, fixture_inputs  # noqa: E402
 
 HEADLINE = ["orders_latest", "identity_map_full", "shop_links", "shop_map", "customer_profile",
@@ -54,8 +53,7 @@ def main() -> None:
     base = fixture_inputs(spark, sf_dir)
     run1 = fixture_inputs(spark, sf_dir, F.col("updated_at") < ts_literal("2001-01-01 00:00:00"))
     kw = dict(extracted_col=FIXTURE_EXTRACTED_COL, customer_tiebreak=FIXTURE_EXTRACTED_COL)
-    warehouse = spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="tidemark-bench-")
-    warehouse = f"{warehouse.rstrip('/')}/bench-{int(time.time() * 1000)}"
+    warehouse = f"{scratch_dir(spark)}/bench-{int(time.time() * 1000)}"
     t = time.perf_counter()
     run_sync(spark, run1, warehouse, "2001-01-01 00:00:00", **kw)
     results["sync_run1_written"] = round(time.perf_counter() - t, 3)

@@ -2,9 +2,9 @@
 
 Inputs are the raw-shaped frames derived from ``orders`` and ``customer``
 (:mod:`tidemark.sources.fixtures`) and the ``events`` table. Incremental
-queries write run 1 (rows before 2001-01-01, run time 2001-01-01) and run 2 (all rows,
-run time 2002-01-01) with ``run_sync``, once a session, and plan their mart's run 2
-on the stored tables.
+queries have run 1 (rows before 2001-01-01, run time 2001-01-01) and what they need
+of run 2 (all rows, run time 2002-01-01) written as ``run_sync`` does, once a session,
+and plan their mart's run 2 on the stored tables.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from tidemark.operators.incremental import RunContext, incremental_filter
 from tidemark.operators.upsert import upsert
 from tidemark.plans import models
 from tidemark.plans.marts import LazyTables, SyncOptions, build_all, dedupe_snapshot
-from tidemark.plans.sync import run_sync
+from tidemark.plans.sync import written_marts
 from tidemark.schemas import CUSTOMER, ID_REGISTRY, IDENTITY_MAP, JOURNEY, MARTS, ORDERS, SHOP_MAP
 from tidemark.session import scratch_dir
 from tidemark.sources.fixtures import FIXTURE_EXTRACTED_COL, fixture_inputs
@@ -53,30 +53,35 @@ def full_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return build_all(_inputs(spark, sf_dir), lambda spec: None, _opts(RUN2_NOW))
 
 
-_STORED: dict[tuple[str, str], SnapshotStore] = {}
+_STORED: dict[tuple[str, str], tuple[SnapshotStore, Mapping[str, DataFrame], Mapping[str, DataFrame]]] = {}
 
 
-def stored_runs(spark: SparkSession, sf_dir: str, runs: int = 2) -> SnapshotStore:
-    """The store of run 1, or of both runs: written, checked and committed by ``run_sync``, once a
-    session and input."""
+def stored_runs(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, Mapping[str, DataFrame], Mapping[str, DataFrame]]:
+    """The store of a session and input, and the marts of runs 1 and 2 in it.
+
+    They are written, checked and committed as ``run_sync`` does (plain, not bucketed), each mart once,
+    when a query first asks for it.
+    """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORED:
-        _STORED[key] = SnapshotStore(spark, f"{scratch_dir(spark)}/runs/{uuid.uuid4().hex}")
-    store = _STORED[key]
-    for run in range((store.current_version(MARTS[-1].name) or 0) + 1, runs + 1):
-        run_sync(spark, _inputs(spark, sf_dir, run), store.root, (RUN1_NOW, RUN2_NOW)[run - 1], bucketed=False,
-                 extracted_col=FIXTURE_EXTRACTED_COL, customer_tiebreak=FIXTURE_EXTRACTED_COL)
-    return store
+        store = SnapshotStore(spark, f"{scratch_dir(spark)}/runs/{uuid.uuid4().hex}")
+        r1 = written_marts(store, _inputs(spark, sf_dir, 1), _opts(RUN1_NOW), bucketed=False, current=lambda spec: None)
+        r2 = written_marts(store, _inputs(spark, sf_dir, 2), _on_run1(store), bucketed=False,
+                           current=lambda spec: r1[spec.name])
+        _STORED[key] = store, r1, r2
+    return _STORED[key]
+
+
+def _on_run1(store: SnapshotStore) -> SyncOptions:
+    return replace(_opts(RUN2_NOW), facts=lambda spec: store.facts(spec.name, 1))
 
 
 def two_runs(spark: SparkSession, sf_dir: str) -> tuple[Mapping[str, DataFrame], Mapping[str, DataFrame]]:
     """Run 1 as stored, and the plans of run 2: each mart merges into its stored run 1, from the raw
     inputs and the stored run-2 tables of the marts before it."""
-    store = stored_runs(spark, sf_dir)
-    r1 = LazyTables({s.name: (lambda s=s: store.read(s.name, version=1)) for s in MARTS})
-    opts = replace(_opts(RUN2_NOW), facts=lambda spec: store.facts(spec.name, 1))
-    return r1, build_all(_inputs(spark, sf_dir, 2), lambda spec: r1[spec.name], opts,
-                         upstream=lambda spec: store.read(spec.name, version=2))
+    store, r1, r2 = stored_runs(spark, sf_dir)
+    return r1, build_all(_inputs(spark, sf_dir, 2), lambda spec: r1[spec.name], _on_run1(store),
+                         upstream=lambda spec: r2[spec.name])
 
 
 def _orders_latest(spark, sf_dir):
@@ -149,7 +154,7 @@ def q_json_scalar_events(spark, sf_dir):
 
 def q_high_water_filter(spark, sf_dir):
     """Latest orders newer than the run-1 orders mart's mark (run-2 time window)."""
-    ctx = RunContext(RUN2_NOW, stored_runs(spark, sf_dir, 1).read(ORDERS.name, version=1))
+    ctx = RunContext(RUN2_NOW, stored_runs(spark, sf_dir)[1][ORDERS.name])
     return incremental_filter(_orders_latest(spark, sf_dir), "updated_at", ctx).select(
         "order_id", "updated_at")
 
@@ -232,13 +237,11 @@ def q_mart_checks(spark, sf_dir):
 
 def q_run_sync_summary(spark, sf_dir):
     """Rows of every mart after each of two written runs, counted in the committed files."""
-    store = stored_runs(spark, sf_dir)
     parts = []
-    for run in (1, 2):
-        for s in MARTS:
-            table = store.read(s.name, version=run)
-            parts.append(table.agg(F.count(F.lit(1)).alias("row_count")).select(
-                F.lit(s.name).alias("mart"), F.lit(run).alias("run"), "row_count"))
+    for run, marts in enumerate(stored_runs(spark, sf_dir)[1:], 1):
+        for name in marts:
+            parts.append(marts[name].agg(F.count(F.lit(1)).alias("row_count")).select(
+                F.lit(name).alias("mart"), F.lit(run).alias("run"), "row_count"))
     return reduce(DataFrame.unionByName, parts)
 
 

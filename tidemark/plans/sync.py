@@ -11,6 +11,7 @@ versions; marts committed before it keep the new one, and a rerun completes.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.links import HOT_SALTS
-from tidemark.plans.marts import SyncOptions, build_all
+from tidemark.plans.marts import Current, LazyTables, SyncOptions, build_all
 from tidemark.schemas import MartSpec
 from tidemark.sources.snapshots import SnapshotStore
 
@@ -74,6 +75,28 @@ def snapshot_facts(table: DataFrame, checked: bool, mark: str = "updated_at") ->
     return {"rows": row["n"], "checked": checked, "maxima": maxima}
 
 
+def written_marts(store: SnapshotStore, inputs: Mapping[str, DataFrame], opts: SyncOptions, check: bool = True,
+                  bucketed: bool = True, current: Current | None = None) -> LazyTables:
+    """The marts of one run; a mart is written, checked and committed when it, or one after it, is first asked for.
+
+    ``current(spec)`` gives the snapshot that a mart merges into; the store's own by default.
+    """
+    def keys_of(spec: MartSpec):
+        return list(spec.keys) if bucketed else None
+
+    def materialize(spec: MartSpec, df: DataFrame) -> DataFrame:
+        version = store.write(spec.name, df, bucket_keys=keys_of(spec))
+        written = store.read(spec.name, version=version, bucket_keys=keys_of(spec))
+        if check:
+            problems = validate(spec, written)
+            if problems:
+                raise MartCheckError("; ".join(problems))
+        store.record(spec.name, version, snapshot_facts(written, check))
+        store.commit(spec.name, version)
+        return written
+    return build_all(inputs, current or (lambda spec: store.read(spec.name, bucket_keys=keys_of(spec))), opts, materialize)
+
+
 def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
              now: datetime | str, full_refresh: bool = False, window_hours: int = 24,
              ts_type: T.DataType = T.TimestampNTZType(), extracted_col: str = "_airbyte_extracted_at",
@@ -95,31 +118,11 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
     that the next run takes its mark from there and does not scan the mart for it.
     """
     store = SnapshotStore(spark, warehouse, buckets)
-
-    def keys_of(spec: MartSpec):
-        return list(spec.keys) if bucketed else None
-    versions: dict[str, int] = {}
-
-    def current(spec: MartSpec) -> DataFrame | None:
-        return store.read(spec.name, bucket_keys=keys_of(spec))
-
-    def materialize(spec: MartSpec, df: DataFrame) -> DataFrame:
-        version = store.write(spec.name, df, bucket_keys=keys_of(spec))
-        written = store.read(spec.name, version=version, bucket_keys=keys_of(spec))
-        if check:
-            problems = validate(spec, written)
-            if problems:
-                raise MartCheckError("; ".join(problems))
-        store.record(spec.name, version, snapshot_facts(written, check))
-        store.commit(spec.name, version)
-        versions[spec.name] = version
-        return written
-
     opts = SyncOptions(now=now, window_hours=window_hours, ts_type=ts_type,
                        extracted_col=extracted_col, customer_tiebreak=customer_tiebreak,
                        ignore_blank=ignore_blank, full_refresh=full_refresh,
                        hot_key_salts=hot_key_salts, source_ts=source_ts, facts=lambda spec: store.facts(spec.name))
-    marts = build_all(inputs, current, opts, materialize)
+    marts = written_marts(store, inputs, opts, check, bucketed)
     for name in marts:  # dependency order; each access writes and commits one mart
         marts[name]
-    return versions
+    return {name: store.current_version(name) for name in marts}
