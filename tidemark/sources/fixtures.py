@@ -8,6 +8,8 @@ the ingestion time and is the final tie-breaker of every recency order.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from tidemark.schemas import (
@@ -15,7 +17,6 @@ from tidemark.schemas import (
 )
 
 FIXTURE_EXTRACTED_COL = "extract_seq"
-SHOP_URL = "shop.example.com"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,9 +36,9 @@ CUSTOMER_RULES = {
     "addresses": "CASE WHEN o_orderkey % 6 = 0 THEN NULL "
                  "ELSE concat('[{\"nation\":', CAST(c_nationkey AS STRING), '}]') END",
     "first_name": "CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE c_name END",
-    "last_name": "c_mktsegment",
+    "last_name": "CASE WHEN o_orderkey % 8 = 0 THEN NULL ELSE concat(c_mktsegment, CAST(o_orderkey % 3 AS STRING)) END",
     "tags": "CASE WHEN o_custkey % 17 = 0 THEN NULL ELSE o_orderstatus END",
-    "created_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+    "created_at": "CASE WHEN o_orderkey % 12 = 0 THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP_NTZ) - INTERVAL 3 HOUR END",
     "updated_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
     FIXTURE_EXTRACTED_COL: "o_orderkey",
 }
@@ -46,7 +47,7 @@ ORDER_RULES = {
     "customer": "CASE WHEN o_orderkey % 23 = 0 THEN NULL WHEN o_orderkey % 29 = 0 THEN '{\"id\":{\"x\":1}}' "
                 "WHEN o_orderkey % 31 = 0 THEN '{\"id\":\"12.7\"}' "
                 "ELSE concat('{\"id\":', CAST(o_custkey AS STRING), '}') END",
-    "name": "concat('#', CAST(o_orderkey AS STRING))",
+    "name": "CASE WHEN o_orderkey % 37 = 0 THEN NULL ELSE concat('#', CAST(o_orderkey AS STRING)) END",
     "line_items": "CASE WHEN o_orderkey % 19 = 0 THEN NULL WHEN o_orderkey % 19 = 1 THEN '{}' "
                   "WHEN o_orderkey % 19 = 2 THEN '[]' "
                   "ELSE concat('[{\"sku\":\"S', CAST(o_custkey % 10 AS STRING), '\",\"product_id\":', "
@@ -54,11 +55,62 @@ ORDER_RULES = {
     "shipping_lines": "CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 13 = 1 THEN '[{}]' "
                       "ELSE concat('[{\"discounted_price\":\"', CAST(o_orderkey % 20 AS STRING), "
                       "'.25\"},{\"discounted_price\":\"bad\"},{\"discounted_price\":\"1.50\"}]') END",
-    "total_price": "CAST(o_totalprice AS DECIMAL(38,9))",
-    "created_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+    "total_price": "CASE WHEN o_orderkey % 41 = 0 THEN NULL ELSE CAST(o_totalprice AS DECIMAL(38,9)) END",
+    "created_at": "CASE WHEN o_orderkey % 43 = 0 THEN NULL ELSE CAST(o_orderdate AS TIMESTAMP_NTZ) END",
     "updated_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
     FIXTURE_EXTRACTED_COL: "o_orderkey",
 }
+
+
+def _passed_through() -> dict[str, str]:
+    """Rules of the order columns that no model looks into: no two alike, each NULL in its own rows."""
+    def but(every: int, value: str) -> str:
+        return f"CASE WHEN o_orderkey % {every} = 0 THEN NULL ELSE {value} END"
+
+    def rest(columns):
+        return enumerate(c for c in columns if c not in ORDER_RULES)
+    rules = {"app_id": but(6, "o_orderkey % 17")}
+    for i, c in rest(ORDER_JSON_COLUMNS):
+        rules[c] = but(20 + i, f"concat('{{\"{c}\":', CAST(o_orderkey % 100 AS STRING), '}}')")
+    for i, c in rest(ORDER_TEXT_COLUMNS):
+        rules[c] = but(5 + i, f"concat('{c} ', CAST(o_orderkey % 1000 AS STRING))")
+    for i, c in rest(ORDER_BOOL_COLUMNS):
+        rules[c] = but(7, f"(o_orderkey + {i}) % {2 + i} = 0")
+    for i, c in rest(ORDER_NUMERIC_COLUMNS):
+        rules[c] = but(7 + i, f"o_orderkey % 1000 + {1000 * (i + 1)}")
+    for i, c in rest(ORDER_TS_COLUMNS):
+        rules[c] = but(9 + i, f"CAST(o_orderdate AS TIMESTAMP_NTZ) + INTERVAL {i + 1} HOUR")
+    return rules
+
+
+# The fields of a visit, snake and camel.
+VISIT_FIELDS = (("landing_page", "landingPage"), ("occurred_at", "occurredAt"), ("referral_code", "referralCode"),
+                ("referrer_url", "referrerUrl"), ("source", "source"), ("source_type", "sourceType"),
+                ("utm_parameters", "utmParameters"))
+
+
+def candidate_document(best: int) -> str:
+    """A journey summary whose values lie in places ``best`` to 3 of their four, each place with its own value."""
+    d: dict = {"ready": best % 2 == 0, "moments": [{"m": i} for i in range(best)]}
+    for n, names in enumerate((("order_index", "orderIndex", "customer_order_index", "customerOrderIndex"),
+                               ("day_to_conversion", "dayToConversion", "days_to_conversion", "daysToConversion"))):
+        d |= {name: 10 * (n + 1) + place for place, name in enumerate(names) if place >= best}
+    counts = ({"moments_count": {"count": 31}, "momentsCount": {"count": 32}}, {"moments_count": 33, "momentsCount": {"count": 34}},
+              {"moments_count": 35, "momentsCount": 36}, {"momentsCount": 37})
+    d |= counts[best]
+    for v, visit in enumerate(("first", "last")):
+        nested: tuple[dict, dict] = ({}, {})
+        for f, (snake, camel) in enumerate(VISIT_FIELDS):
+            spots = ((d, f"{visit}_{snake}"), (d, f"{visit}{camel[0].upper()}{camel[1:]}"), (nested[0], snake), (nested[1], camel))
+            for place, (where, name) in enumerate(spots):
+                if place >= best:
+                    text = f"{visit} {snake} {place}"
+                    where[name] = (f"2024-0{v + 1}-0{place + 1}T03:04:05Z" if snake == "occurred_at"
+                                   else {"at": text} if snake == "utm_parameters" else text)
+        d |= {name: part for name, part in ((f"{visit}_visit", nested[0]), (f"{visit}Visit", nested[1])) if part}
+    return json.dumps(d, separators=(",", ":"))
+
+
 # Journey summaries by k % 8 (c9 = o_custkey % 9).
 JOURNEY_SUMMARY = (
     "CASE o_orderkey % 8 "
@@ -69,13 +121,15 @@ JOURNEY_SUMMARY = (
     "WHEN 4 THEN '{\"firstVisit\":{\"landingPage\":\"/b\",\"occurredAt\":\"12:30\",\"utmParameters\":{\"s\":\"y\"}},\"lastVisit\":{\"source\":\"z\"}}' "
     "WHEN 5 THEN '{\"first_landing_page\":\"\",\"firstLandingPage\":\"/c\",\"order_index\":\"x\",\"orderIndex\":5}' "
     "WHEN 6 THEN '{bad' "
-    "ELSE '{\"moments\":null,\"first_source\":{\"k\":1},\"firstSource\":\"s\"}' END"
+    "ELSE CASE o_orderkey % 64 "
+    + " ".join(f"WHEN {8 * best + 7} THEN '{candidate_document(best)}'" for best in range(4))
+    + " ELSE '{\"moments\":null,\"first_source\":{\"k\":1},\"firstSource\":\"s\"}' END END"
 )
 JOURNEY_RULES = {
     "order_id": "CAST(floor(o_orderkey / 2) AS BIGINT)",
-    "shop_url": f"'{SHOP_URL}'",
+    "shop_url": "CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE concat('shop', CAST(o_orderkey % 5 AS STRING), '.example.com') END",
     "customer_journey_summary": JOURNEY_SUMMARY,
-    "created_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
+    "created_at": "CAST(o_orderdate AS TIMESTAMP_NTZ) - INTERVAL 1 HOUR",
     "updated_at": "CAST(o_orderdate AS TIMESTAMP_NTZ)",
     FIXTURE_EXTRACTED_COL: "o_orderkey",
 }
@@ -101,7 +155,7 @@ def fx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
              + [(c, "DECIMAL(38,9)") for c in ORDER_NUMERIC_COLUMNS]
              + [(c, "TIMESTAMP_NTZ") for c in ORDER_TS_COLUMNS]
              + [(FIXTURE_EXTRACTED_COL, "BIGINT")])
-    return _project(_table(spark, sf_dir, "orders"), typed, ORDER_RULES)
+    return _project(_table(spark, sf_dir, "orders"), typed, ORDER_RULES | _passed_through())
 
 
 def fx_journey(spark: SparkSession, sf_dir: str) -> DataFrame:
