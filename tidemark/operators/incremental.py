@@ -22,6 +22,28 @@ from tidemark.functions.timex import epoch, hours_before, ts_literal
 SAFETY_WINDOW_HOURS = 24
 
 
+@dataclass(frozen=True)
+class Landing:
+    """How landing tables are partitioned: by ``column``, the ingest date cut to ``grain``.
+
+    ``slack_hours``: by how much a row's own timestamp may lie ahead of its ingest time (clocks that
+    disagree, sessions in other time zones). A row newer than a mark was then ingested no earlier than
+    the mark less the slack, and its partition is no earlier than that moment's: cutting dates keeps
+    their order, so nothing that the row filter would keep is pruned.
+    """
+
+    column: str = "ingest_date"
+    grain: str = "day"              # day, week, month, quarter or year
+    slack_hours: int = 24
+
+    def date_of(self, moment: Column) -> Column:
+        return F.to_date(moment) if self.grain == "day" else F.trunc(F.to_date(moment), self.grain)
+
+    def since(self, mark: Column) -> Column:
+        """The partitions that can hold rows newer than ``mark``."""
+        return F.col(self.column) >= self.date_of(hours_before(mark, self.slack_hours))
+
+
 @dataclass(frozen=True)
 class RunContext:
     """One build of one mart: the run time and the mart's current snapshot.
@@ -30,7 +52,7 @@ class RunContext:
     incremental and no high-water filter applies. ``marks`` holds the maxima of target columns that
     are known already (recorded when the snapshot was committed), so that the target need not be read
     for them. ``source_ts`` is the column of the raw sources that is compared with the mark; an
-    ingestion time catches rows that arrive late.
+    ingestion time catches rows that arrive late. ``landing`` tells how the raw sources are partitioned.
     """
 
     now: datetime | str
@@ -39,6 +61,7 @@ class RunContext:
     ts_type: T.DataType = T.TimestampNTZType()
     marks: Mapping[str, Column] = field(default_factory=dict)
     source_ts: str = "updated_at"
+    landing: Landing | None = None
 
     @property
     def incremental(self) -> bool:
@@ -64,7 +87,8 @@ def incremental_filter(df: DataFrame, ts_col: str, ctx: RunContext,
     """Rows of ``df`` newer than the target's high-water mark; all rows on a first run.
 
     A mark recorded at commit is a literal (pushed into the scan, and good for partition pruning);
-    else it is a scalar subquery over the target.
+    else it is a scalar subquery over the target. Where ``df`` has the ingest date of ``ctx.landing``,
+    only the partitions that can hold such rows are read.
     """
     if not ctx.incremental:
         return df
@@ -72,7 +96,10 @@ def incremental_filter(df: DataFrame, ts_col: str, ctx: RunContext,
         mark = hours_before(ctx.marks[target_col], ctx.window_hours)
     else:
         mark = high_water_mark(ctx.target, target_col, ctx.window_hours)
-    return df.filter(F.col(ts_col) > mark)
+    kept = df.filter(F.col(ts_col) > mark)
+    if ctx.landing is not None and ctx.landing.column in df.columns:
+        kept = kept.filter(ctx.landing.since(mark))
+    return kept
 
 
 def fresh_versions(df: DataFrame, key: str, ctx: RunContext) -> DataFrame:

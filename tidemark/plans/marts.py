@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators.incremental import SAFETY_WINDOW_HOURS, RunContext
+from tidemark.operators.incremental import SAFETY_WINDOW_HOURS, Landing, RunContext
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.links import HOT_SALTS
 from tidemark.operators.upsert import upsert
@@ -69,6 +69,7 @@ class SyncOptions:
     snapshot_keys_checked: bool = False
     hot_key_salts: int = HOT_SALTS
     source_ts: str = "updated_at"   # column of the raw sources that the mark is compared with
+    landing: Landing | None = None  # how the raw sources are partitioned by ingest date
     facts: Facts | None = None      # what was recorded when a mart's current snapshot was committed
 
 
@@ -117,7 +118,8 @@ def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptio
         known = opts.facts(spec) if opts.facts and snapshot is not None else {}
         target = (dedupe_snapshot(spec, snapshot, opts.snapshot_keys_checked or known.get("checked", False))
                   if snapshot is not None else None)
-        ctx = RunContext(opts.now, target, opts.window_hours, opts.ts_type, recorded_marks(known), opts.source_ts)
+        ctx = RunContext(opts.now, target, opts.window_hours, opts.ts_type, recorded_marks(known), opts.source_ts,
+                         opts.landing)
         return materialize(spec, merge_into(spec, target, make(ctx)))
 
     def t(spec):

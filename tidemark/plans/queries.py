@@ -2,7 +2,7 @@
 
 Inputs are the raw-shaped frames derived from ``orders`` and ``customer``
 (:mod:`tidemark.sources.fixtures`) and the ``events`` table. Incremental
-queries have run 1 (rows before 2001-01-01, run time 2001-01-01) and what they need
+queries read these rows from raw landing tables partitioned by ingest date; they have run 1 (rows before 2001-01-01, run time 2001-01-01) and what they need
 of run 2 (all rows, run time 2002-01-01) written as ``run_sync`` does, once a session,
 and plan their mart's run 2 on the stored tables.
 """
@@ -24,11 +24,11 @@ from tidemark.operators.checks import check_summary, not_null, unique, unique_co
 from tidemark.operators.incremental import RunContext, incremental_filter
 from tidemark.operators.upsert import upsert
 from tidemark.plans import models
-from tidemark.plans.marts import LazyTables, SyncOptions, build_all, dedupe_snapshot
+from tidemark.plans.marts import LazyTables, SyncOptions, build_all, dedupe_snapshot, recorded_marks
 from tidemark.plans.sync import written_marts
-from tidemark.schemas import CUSTOMER, ID_REGISTRY, IDENTITY_MAP, JOURNEY, MARTS, ORDERS, SHOP_MAP
+from tidemark.schemas import CUSTOMER, ID_REGISTRY, IDENTITY_MAP, JOURNEY, MARTS, ORDERS, SHOP_MAP, MartSpec
 from tidemark.session import scratch_dir
-from tidemark.sources.fixtures import FIXTURE_EXTRACTED_COL, fixture_inputs
+from tidemark.sources.fixtures import FIXTURE_EXTRACTED_COL, FIXTURE_LANDING, fixture_inputs, landed_inputs
 from tidemark.sources.snapshots import SnapshotStore
 
 RUN1_NOW = "2001-01-01 00:00:00"
@@ -39,13 +39,29 @@ EVENTS_FIRST_LOAD_BEFORE = "2024-01-20 00:00:00"
 
 def _opts(now: str) -> SyncOptions:
     return SyncOptions(now=now, extracted_col=FIXTURE_EXTRACTED_COL,
-                       customer_tiebreak=FIXTURE_EXTRACTED_COL)
+                       customer_tiebreak=FIXTURE_EXTRACTED_COL, landing=FIXTURE_LANDING)
 
 
-def _inputs(spark: SparkSession, sf_dir: str, run: int = 2):
-    """Raw inputs of a run (lazy): run 1 sees rows before the cut-off, run 2 sees all."""
-    where = F.col("updated_at") < ts_literal(RUN1_CUTOFF) if run == 1 else None
-    return fixture_inputs(spark, sf_dir, where)
+def _inputs(spark: SparkSession, sf_dir: str):
+    """Raw inputs, derived in the plan: all rows."""
+    return fixture_inputs(spark, sf_dir)
+
+
+_LANDED: dict[tuple[str, str], Mapping[str, DataFrame]] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, run: int = 2) -> Mapping[str, DataFrame]:
+    """Scans of the raw landing tables, written once a session: run 1 sees rows before the cut-off, run 2 all."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDED:
+        _LANDED[key] = landed_inputs(spark, sf_dir, f"{scratch_dir(spark)}/landing/{uuid.uuid4().hex}")
+    tables = _LANDED[key]
+    if run == 2:
+        return tables
+
+    def before(name):
+        return lambda: tables[name].filter(F.col("updated_at") < ts_literal(RUN1_CUTOFF))
+    return LazyTables({name: before(name) for name in tables})
 
 
 def full_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
@@ -65,8 +81,8 @@ def stored_runs(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, Mappin
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORED:
         store = SnapshotStore(spark, f"{scratch_dir(spark)}/runs/{uuid.uuid4().hex}")
-        r1 = written_marts(store, _inputs(spark, sf_dir, 1), _opts(RUN1_NOW), bucketed=False, current=lambda spec: None)
-        r2 = written_marts(store, _inputs(spark, sf_dir, 2), _on_run1(store), bucketed=False,
+        r1 = written_marts(store, landed(spark, sf_dir, 1), _opts(RUN1_NOW), bucketed=False, current=lambda spec: None)
+        r2 = written_marts(store, landed(spark, sf_dir), _on_run1(store), bucketed=False,
                            current=lambda spec: r1[spec.name])
         _STORED[key] = store, r1, r2
     return _STORED[key]
@@ -80,7 +96,7 @@ def two_runs(spark: SparkSession, sf_dir: str) -> tuple[Mapping[str, DataFrame],
     """Run 1 as stored, and the plans of run 2: each mart merges into its stored run 1, from the raw
     inputs and the stored run-2 tables of the marts before it."""
     store, r1, r2 = stored_runs(spark, sf_dir)
-    return r1, build_all(_inputs(spark, sf_dir, 2), lambda spec: r1[spec.name], _on_run1(store),
+    return r1, build_all(landed(spark, sf_dir), lambda spec: r1[spec.name], _on_run1(store),
                          upstream=lambda spec: r2[spec.name])
 
 
@@ -92,6 +108,18 @@ def _journey_latest(spark, sf_dir):
     return models.journey_latest(_inputs(spark, sf_dir)["journey"], FIXTURE_EXTRACTED_COL)
 
 
+# ------------------------------------------------------------------ raw scans
+
+def _raw_since(table: str, spec: MartSpec):
+    """The raw rows that an incremental run of ``spec`` reads, all columns: one landing table past the mark
+    that was recorded with the mart's run 1, partitions before it left unopened."""
+    def q(spark, sf_dir):
+        store, r1, _ = stored_runs(spark, sf_dir)
+        ctx = RunContext(RUN2_NOW, r1[spec.name], marks=recorded_marks(store.facts(spec.name, 1)), landing=FIXTURE_LANDING)
+        return incremental_filter(landed(spark, sf_dir)[table], "updated_at", ctx).drop(FIXTURE_LANDING.column)
+    return q
+
+
 # ------------------------------------------------------------------ views and operators
 
 def q_contact_pairs(spark, sf_dir):
@@ -246,6 +274,9 @@ def q_run_sync_summary(spark, sf_dir):
 
 
 QUERIES = {
+    "raw_customers": _raw_since("customers", IDENTITY_MAP),
+    "raw_orders": _raw_since("orders", ORDERS),
+    "raw_journey": _raw_since("journey", JOURNEY),
     "contact_pairs": q_contact_pairs,
     "orders_latest": q_orders_latest,
     "journey_latest": q_journey_latest,

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.incremental import Landing
 from tidemark.operators.links import HOT_SALTS
 from tidemark.plans.marts import Current, LazyTables, SyncOptions, build_all
 from tidemark.schemas import MartSpec
@@ -102,7 +103,8 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
              ts_type: T.DataType = T.TimestampNTZType(), extracted_col: str = "_airbyte_extracted_at",
              customer_tiebreak: str | None = None, ignore_blank: bool = False,
              check: bool = True, bucketed: bool = True, buckets: int | None = None,
-             hot_key_salts: int = HOT_SALTS, source_ts: str = "updated_at") -> dict[str, int]:
+             hot_key_salts: int = HOT_SALTS, source_ts: str = "updated_at",
+             landing: Landing | None = None) -> dict[str, int]:
     """Build all marts into ``warehouse``; returns {mart: committed version}.
 
     ``inputs`` holds the raw ``customers``, ``orders`` and ``journey`` frames.
@@ -112,7 +114,9 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
     ``hot_key_salts``: tasks a blank contact value is spread over in the
     email/phone link joins (raise it with the cluster size). ``source_ts``: the
     column of the raw sources compared with a mart's high-water mark; name an
-    ingestion time there to catch rows that arrive more than ``window_hours`` late.
+    ingestion time there to catch rows that arrive more than ``window_hours`` late. ``landing``:
+    the ingest-date partitioning of raw sources read by ``read_raw(..., landing=...)``; an
+    incremental run then opens only the partitions that can hold rows beyond a mart's mark.
 
     A mart's row count and greatest ``updated_at`` are stored with its commit marker, so
     that the next run takes its mark from there and does not scan the mart for it.
@@ -121,7 +125,8 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
     opts = SyncOptions(now=now, window_hours=window_hours, ts_type=ts_type,
                        extracted_col=extracted_col, customer_tiebreak=customer_tiebreak,
                        ignore_blank=ignore_blank, full_refresh=full_refresh,
-                       hot_key_salts=hot_key_salts, source_ts=source_ts, facts=lambda spec: store.facts(spec.name))
+                       hot_key_salts=hot_key_salts, source_ts=source_ts, landing=landing,
+                       facts=lambda spec: store.facts(spec.name))
     marts = written_marts(store, inputs, opts, check, bucketed)
     for name in marts:  # dependency order; each access writes and commits one mart
         marts[name]

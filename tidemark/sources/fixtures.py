@@ -11,10 +11,15 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidemark.operators.incremental import Landing
 from tidemark.schemas import (
     ORDER_BOOL_COLUMNS, ORDER_JSON_COLUMNS, ORDER_NUMERIC_COLUMNS, ORDER_TEXT_COLUMNS, ORDER_TS_COLUMNS,
+    raw_customers_schema, raw_journey_schema, raw_orders_schema,
 )
+from tidemark.sources.raw import land_raw, read_raw
 
 FIXTURE_EXTRACTED_COL = "extract_seq"
 
@@ -172,3 +177,27 @@ def fixture_inputs(spark: SparkSession, sf_dir: str, where: Column | None = None
         return lambda: fn(spark, sf_dir) if where is None else fn(spark, sf_dir).filter(where)
     return LazyTables({"customers": make(fx_customers), "orders": make(fx_orders),
                        "journey": make(fx_journey)})
+
+
+FIXTURE_LANDING = Landing(grain="month")
+RAW_SCHEMAS = {"customers": raw_customers_schema, "orders": raw_orders_schema, "journey": raw_journey_schema}
+
+
+def landed_inputs(spark: SparkSession, sf_dir: str, root: str):
+    """The same rows as raw landing tables under ``root``, each written when it is first asked for.
+
+    A version arrives nought to two days after its ``updated_at`` (by ``extract_seq % 3``).
+    """
+    from tidemark.plans.marts import LazyTables
+    derived = fixture_inputs(spark, sf_dir)
+
+    def make(name):
+        schema = RAW_SCHEMAS[name](extracted_col=FIXTURE_EXTRACTED_COL, extracted_type=T.LongType())
+
+        def scan():
+            path = f"{root}/{name}"
+            land_raw(derived[name], path, schema, F.expr(f"updated_at + make_dt_interval({FIXTURE_EXTRACTED_COL} % 3)"),
+                     FIXTURE_LANDING)
+            return read_raw(spark, path, schema, landing=FIXTURE_LANDING)
+        return scan
+    return LazyTables({name: make(name) for name in RAW_SCHEMAS})
