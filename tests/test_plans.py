@@ -37,3 +37,13 @@ def test_link_join_is_salted_equi_join(spark):
 def test_scan_reads_only_needed_columns(spark):
     plan = _plan(QUERIES["orders_latest"](spark, SF_SMALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
+
+
+@pytest.mark.parametrize("name", ["journey_mart", "journey_moments"])
+def test_journey_stage_keeps_its_code(spark, name):
+    """Without the fallback, code that doesn't compile (a method beyond 64 KB) raises."""
+    spark.conf.set("spark.sql.codegen.fallback", "false")
+    try:
+        assert QUERIES[name](spark, SF_SMALL).collect()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")

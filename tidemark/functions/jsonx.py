@@ -169,74 +169,89 @@ def _split(path: str) -> tuple[str, str]:
 
 
 class JsonRecord:
-    """A JSON document whose top-level fields are read many times.
+    """A JSON document of which many paths are read, the paths being data.
 
-    The text is parsed once and cast once into a struct holding every
-    top-level field the caller names, each as a VARIANT. A path read is then
-    a struct-field access, plus a short navigation below it for nested paths.
-    Compared with one path navigation from the root per read, this keeps the
-    generated code of wide extractions small enough for whole-stage codegen.
+    The text is parsed once and cast once into a struct of its top-level fields as VARIANTs. The
+    values at all paths are put into one array, and one higher-order function turns them into scalar
+    texts (another one those at ``subtrees`` into JSON text, a third one those at ``arrays`` into
+    lengths). The size of the generated code then doesn't depend on the number of paths: one
+    expression a path would go beyond the limit of a compiled method, and the whole stage would lose
+    its code after a costly attempt.
 
-    Use ``struct()`` in one ``select`` (alias it), then build the field
-    expressions with ``bind(col)`` on the result.
+    Use ``struct()`` in one ``select`` (alias it), then build the field expressions with ``bind(col)``
+    on the result.
     """
 
-    def __init__(self, text, paths: Sequence[str]):
+    def __init__(self, text, paths: Sequence[str], subtrees: Sequence[str] = (), arrays: Sequence[str] = ()):
         self.text, self.paths = _c(text), list(paths)
-        tops = []
-        for p in paths:
-            head, _ = _split(p)
-            if head not in tops:
-                tops.append(head)
-        self.fields = tops
-        self._struct_type = "struct<" + ", ".join(f"`{f}`: variant" for f in tops) + ">"
+        self.subtrees, self.arrays = list(subtrees), list(arrays)
+        self.fields = list(dict.fromkeys(_split(p)[0] for p in self.paths))
+        self._struct_type = "struct<" + ", ".join(f"`{f}`: variant" for f in self.fields) + ">"
         self._bound: Column | None = None
-        self._doc: Column | None = None
+
+    def _value(self, doc: Column, path: str) -> Column:
+        """VARIANT at ``path`` (NULL when absent or the document is malformed)."""
+        head, rest = _split(path)
+        if head not in self.fields:
+            raise KeyError(f"{head} was not declared for this record")
+        v = doc.getField(head)
+        return v if rest == "$" else F.try_variant_get(v, F.lit(rest), "variant")
+
+    def _reads(self, doc: Column) -> Column:
+        def at(paths: Sequence[str]) -> Column:
+            return F.array(*[self._value(doc, p) for p in paths]).cast("array<variant>")
+
+        def subtree(v: Column, path: Column) -> Column:
+            cut = F.call_function("get_json_object", self.text, path)
+            return F.when(is_container(v), cut).when(~F.is_variant_null(v), F.to_json(v))
+        return F.struct(
+            F.transform(at(self.paths), lambda v: F.when(~is_container(v), v.cast("string"))).alias("scalars"),
+            F.zip_with(at(self.subtrees), F.array(*map(F.lit, self.subtrees)).cast("array<string>"), subtree).alias("subtrees"),
+            F.transform(at(self.arrays), lambda v: F.coalesce(F.array_size(F.try_variant_get(v, F.lit("$"), "array<variant>")),
+                                                              F.lit(0))).alias("lengths"))
 
     def struct(self) -> Column:
         # The second argument is worked out only where the first is NULL.
-        return F.coalesce(*[F.try_variant_get(parse_doc(t), F.lit("$"), self._struct_type)
-                            for t in (self.text, rebuilt_object(self.text, self.paths))])
+        doc = F.coalesce(*[F.try_variant_get(parse_doc(t), F.lit("$"), self._struct_type)
+                           for t in (self.text, rebuilt_object(self.text, self.paths))])
+        # An array of one binds the parsed document to a name: it is worked out once for all reads.
+        return F.get(F.transform(F.array(doc), self._reads), 0)
 
-    def bind(self, struct_col, text=None) -> JsonRecord:
+    def bind(self, struct_col) -> JsonRecord:
         self._bound = _c(struct_col)
-        if text is not None:
-            self.text = _c(text)
         return self
 
-    def value(self, path: str) -> Column:
-        """VARIANT at ``path`` (NULL when absent or the document is malformed)."""
-        head, rest = _split(path)
-        if head not in self.fields:
-            raise KeyError(f"{head} was not declared for this record")
-        v = self._bound.getField(head)
-        return v if rest == "$" else F.try_variant_get(v, F.lit(rest), "variant")
+    def _part(self, kind: str, known: Sequence[str], paths: Sequence[str]) -> Column:
+        """The reads of ``paths`` as an array: a slice where they were declared side by side."""
+        reads, spots = self._bound.getField(kind), [known.index(p) for p in paths]
+        if spots == list(range(spots[0], spots[0] + len(spots))):
+            return F.slice(reads, spots[0] + 1, len(spots))
+        return F.array(*[F.get(reads, i) for i in spots])
 
     def scalar(self, path: str) -> Column:
-        v = self.value(path)
-        return F.when(~is_container(v), v.cast("string"))
+        return F.get(self._bound.getField("scalars"), self.paths.index(path))
 
     def subtree(self, path: str) -> Column:
-        v = self.value(path)
-        return (F.when(is_container(v), F.get_json_object(self.text, path))
-                .when(~F.is_variant_null(v), F.to_json(v)))
+        return F.get(self._bound.getField("subtrees"), self.subtrees.index(path))
 
     def first_scalar(self, paths: Sequence[str], convert=None, default=None,
                      convert_each: bool = True) -> Column:
-        texts = [self.scalar(p) for p in paths]
-        if convert is None:
-            picked = F.coalesce(*texts)
-        elif convert_each:
-            picked = F.coalesce(*[convert(t) for t in texts])
-        else:
-            picked = convert(F.coalesce(*texts))
+        texts = self._part("scalars", self.paths, paths)
+        if convert is not None and convert_each:
+            texts = F.transform(texts, convert)
+        picked = _first_present(texts)
+        if convert is not None and not convert_each:
+            picked = convert(picked)
         if default is not None:
             picked = F.coalesce(picked, default if isinstance(default, Column) else F.lit(default))
         return picked
 
     def first_subtree(self, paths: Sequence[str]) -> Column:
-        return F.coalesce(*[self.subtree(p) for p in paths])
+        return _first_present(self._part("subtrees", self.subtrees, paths))
 
     def array_length(self, path: str) -> Column:
-        return F.coalesce(F.array_size(F.try_variant_get(self.value(path), F.lit("$"), "array<variant>")),
-                          F.lit(0))
+        return F.coalesce(F.get(self._bound.getField("lengths"), self.arrays.index(path)), F.lit(0))
+
+
+def _first_present(values: Column) -> Column:
+    return F.get(F.filter(values, lambda v: v.isNotNull()), 0)

@@ -321,7 +321,8 @@ def journey_paths() -> list[str]:
 
 
 def journey_record(text) -> JsonRecord:
-    return JsonRecord(text, journey_paths())
+    subtrees = ["$.moments", *[p for v in ("first", "last") for p in visit_paths(v, "utm_parameters")]]
+    return JsonRecord(text, journey_paths(), subtrees, ["$.moments"])
 
 
 def journey_fields(rec: JsonRecord) -> dict[str, Column]:
@@ -343,8 +344,7 @@ def journey_fields(rec: JsonRecord) -> dict[str, Column]:
             out[f"{prefix}_{f}"] = rec.first_scalar(visit_paths(prefix, f))
         out[f"{prefix}_utm_parameters"] = rec.first_subtree(visit_paths(prefix, "utm_parameters"))
     out["moments"] = rec.subtree("$.moments")
-    out["moments_count"] = F.coalesce(*[safe_bigint(rec.scalar(p)) for p in MOMENTS_COUNT_PATHS],
-                                      rec.array_length("$.moments").cast("bigint"))
+    out["moments_count"] = rec.first_scalar(MOMENTS_COUNT_PATHS, safe_bigint, rec.array_length("$.moments").cast("bigint"))
     return out
 
 
