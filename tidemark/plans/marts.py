@@ -68,6 +68,7 @@ class SyncOptions:
     full_refresh: bool = False
     snapshot_keys_checked: bool = False
     hot_key_salts: int = HOT_SALTS
+    pairs_per_task: int | None = None   # find hot contacts from the data; None: salt '' only
     source_ts: str = "updated_at"   # column of the raw sources that the mark is compared with
     landing: Landing | None = None  # how the raw sources are partitioned by ingest date
     facts: Facts | None = None      # what was recorded when a mart's current snapshot was committed
@@ -133,7 +134,8 @@ def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptio
             ID_REGISTRY, lambda ctx: models.id_registry_updates(idmap(), ctx)),
         SHOP_MAP.name: lambda: run(
             SHOP_MAP, lambda ctx: models.shop_map_updates(inputs["customers"], idmap(), ctx,
-                                                          opts.ignore_blank, opts.hot_key_salts)),
+                                                          opts.ignore_blank, opts.hot_key_salts,
+                                                          opts.pairs_per_task)),
         CUSTOMER.name: lambda: run(
             CUSTOMER, lambda ctx: models.customer_profile_updates(inputs["customers"], idmap(), shop(),
                                                                   ctx, opts.customer_tiebreak)),

@@ -30,7 +30,7 @@ from tidemark.functions.ids import key_uuid
 from tidemark.functions.jsonx import JsonRecord, array_scalars, object_scalar, parse_doc
 from tidemark.operators.incremental import RunContext, changed_keys, fresh_versions, incremental_filter, keep_keys
 from tidemark.operators.latest import latest_per_key, latest_value
-from tidemark.operators.links import HOT_SALTS, link_on_any, salted_equi_join
+from tidemark.operators.links import HOT_SALTS, find_hot_values, grid_equi_join, link_on_any, salted_equi_join
 from tidemark.schemas import (
     JOURNEY_MART_COLUMNS, NUMERIC, ORDERS_LATEST_COLUMNS, ORDERS_LATEST_RENAMES, ORDERS_MART_COLUMNS,
 )
@@ -87,12 +87,13 @@ def _hot(ignore_blank: bool) -> tuple[str, ...]:
 
 
 def shop_links(customers: DataFrame, identity_map: DataFrame, ignore_blank: bool = False,
-               salts: int = HOT_SALTS) -> DataFrame:
+               salts: int = HOT_SALTS, pairs_per_task: int | None = None) -> DataFrame:
     """Distinct (customer_id, shopify_id, updated_at) where email OR phone matches.
 
     Written as two salted equi-joins instead of the OR join. A blank ('')
     contact matches every identity whose value is blank (H2); ``ignore_blank``
-    drops those matches instead.
+    drops those matches instead. ``pairs_per_task``: hot contacts are found from the
+    data (see :func:`tidemark.operators.links.find_hot_values`) instead of '' being salted.
     """
     src = customers.filter(F.col("id").isNotNull()).select(
         "email", "phone", F.col("id").alias("shopify_id"), "updated_at")
@@ -102,7 +103,7 @@ def shop_links(customers: DataFrame, identity_map: DataFrame, ignore_blank: bool
     # the identity side holds every NULL-normalised blank: spread it, copy the raw side
     return link_on_any(src, _identity_keys(identity_map), [("email", "email"), ("phone", "phone")],
                        ["shopify_id", "updated_at"], ["customer_id"], _hot(ignore_blank), salts,
-                       replicate="left").select("customer_id", "shopify_id", "updated_at")
+                       replicate="left", pairs_per_task=pairs_per_task).select("customer_id", "shopify_id", "updated_at")
 
 
 # ------------------------------------------------------------------ D5-D7
@@ -126,11 +127,13 @@ def id_registry_updates(identity_map: DataFrame, ctx: RunContext) -> DataFrame:
 
 
 def shop_map_updates(customers: DataFrame, identity_map: DataFrame, ctx: RunContext,
-                     ignore_blank: bool = False, salts: int = HOT_SALTS) -> DataFrame:
+                     ignore_blank: bool = False, salts: int = HOT_SALTS,
+                     pairs_per_task: int | None = None) -> DataFrame:
     """One row per (customer_id, shopify_id) linked since the high-water mark.
 
     Same result as grouping :func:`shop_links` by the pair with max(updated_at),
-    but each contact arm is first reduced to one row per (shop id, value).
+    but each contact arm is first reduced to one row per (shop id, value). With
+    ``pairs_per_task`` hot contacts are found from the data, as in :func:`shop_links`.
     """
     now = ctx.now_col()
     src = incremental_filter(customers.filter(F.col("id").isNotNull()), ctx.source_ts, ctx)
@@ -140,12 +143,16 @@ def shop_map_updates(customers: DataFrame, identity_map: DataFrame, ctx: RunCont
         left = src.filter(F.col(c).isNotNull())
         if ignore_blank:
             left = left.filter(F.col(c) != "")
+        contacts = left.select(F.col(c).alias("_k"))
         left = (left.groupBy(F.col(c).alias("_k"), F.col("id").alias("shopify_id"))
                 .agg(F.max("updated_at").alias("updated_at")))
         right = ids.select(F.col(c).alias("_k"), "customer_id").distinct()
-        # the identity side holds every NULL-normalised blank: spread it, copy the raw side
-        arms.append(salted_equi_join(right, left, "_k", _hot(ignore_blank), salts)
-                    .select("customer_id", "shopify_id", "updated_at"))
+        if pairs_per_task is None:
+            # the identity side holds every NULL-normalised blank: spread it, copy the raw side
+            arm = salted_equi_join(right, left, "_k", _hot(ignore_blank), salts)
+        else:
+            arm = grid_equi_join(left, right, "_k", find_hot_values(contacts, right, "_k", pairs_per_task))
+        arms.append(arm.select("customer_id", "shopify_id", "updated_at"))
     links = (arms[0].unionByName(arms[1]).groupBy("customer_id", "shopify_id")
              .agg(F.max("updated_at").alias("_max_ts")))
     return links.select(now.alias("created_at"), now.alias("updated_at"), "customer_id", "shopify_id")

@@ -34,6 +34,7 @@ from tidemark.sources.snapshots import SnapshotStore
 RUN1_NOW = "2001-01-01 00:00:00"
 RUN2_NOW = "2002-01-01 00:00:00"
 RUN1_CUTOFF = "2001-01-01 00:00:00"
+STORED_PAIRS_PER_TASK = 1_000      # small, so that the given tables have hot contacts at every size
 EVENTS_FIRST_LOAD_BEFORE = "2024-01-20 00:00:00"
 
 
@@ -81,7 +82,7 @@ def stored_runs(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, Mappin
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _STORED:
         store = SnapshotStore(spark, f"{scratch_dir(spark)}/runs/{uuid.uuid4().hex}")
-        r1 = written_marts(store, landed(spark, sf_dir, 1), _opts(RUN1_NOW), bucketed=False, current=lambda spec: None)
+        r1 = written_marts(store, landed(spark, sf_dir, 1), replace(_opts(RUN1_NOW), pairs_per_task=STORED_PAIRS_PER_TASK), bucketed=False, current=lambda spec: None)
         r2 = written_marts(store, landed(spark, sf_dir), _on_run1(store), bucketed=False,
                            current=lambda spec: r1[spec.name])
         _STORED[key] = store, r1, r2
@@ -89,7 +90,7 @@ def stored_runs(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, Mappin
 
 
 def _on_run1(store: SnapshotStore) -> SyncOptions:
-    return replace(_opts(RUN2_NOW), facts=lambda spec: store.facts(spec.name, 1))
+    return replace(_opts(RUN2_NOW), pairs_per_task=STORED_PAIRS_PER_TASK, facts=lambda spec: store.facts(spec.name, 1))
 
 
 def two_runs(spark: SparkSession, sf_dir: str) -> tuple[Mapping[str, DataFrame], Mapping[str, DataFrame]]:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.incremental import Landing
-from tidemark.operators.links import HOT_SALTS
+from tidemark.operators.links import HOT_SALTS, PAIRS_PER_TASK
 from tidemark.plans.marts import Current, LazyTables, SyncOptions, build_all
 from tidemark.schemas import MartSpec
 from tidemark.sources.snapshots import SnapshotStore
@@ -104,15 +104,16 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
              customer_tiebreak: str | None = None, ignore_blank: bool = False,
              check: bool = True, bucketed: bool = True, buckets: int | None = None,
              hot_key_salts: int = HOT_SALTS, source_ts: str = "updated_at",
-             landing: Landing | None = None) -> dict[str, int]:
+             landing: Landing | None = None, pairs_per_task: int | None = PAIRS_PER_TASK) -> dict[str, int]:
     """Build all marts into ``warehouse``; returns {mart: committed version}.
 
     ``inputs`` holds the raw ``customers``, ``orders`` and ``journey`` frames.
     ``now`` is the run time stamped on every row this run touches.
     ``bucketed`` writes every mart bucketed on its merge key (``buckets``
     defaults to ``spark.sql.shuffle.partitions`` at a table's first write).
-    ``hot_key_salts``: tasks a blank contact value is spread over in the
-    email/phone link joins (raise it with the cluster size). ``source_ts``: the
+    ``pairs_per_task``: contacts with more pairs of raw and identity rows than this are
+    found before the link join is planned and spread over a grid of tasks; None spreads
+    only blank contacts, over ``hot_key_salts`` tasks. ``source_ts``: the
     column of the raw sources compared with a mart's high-water mark; name an
     ingestion time there to catch rows that arrive more than ``window_hours`` late. ``landing``:
     the ingest-date partitioning of raw sources read by ``read_raw(..., landing=...)``; an
@@ -125,7 +126,7 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
     opts = SyncOptions(now=now, window_hours=window_hours, ts_type=ts_type,
                        extracted_col=extracted_col, customer_tiebreak=customer_tiebreak,
                        ignore_blank=ignore_blank, full_refresh=full_refresh,
-                       hot_key_salts=hot_key_salts, source_ts=source_ts, landing=landing,
+                       hot_key_salts=hot_key_salts, pairs_per_task=pairs_per_task, source_ts=source_ts, landing=landing,
                        facts=lambda spec: store.facts(spec.name))
     marts = written_marts(store, inputs, opts, check, bucketed)
     for name in marts:  # dependency order; each access writes and commits one mart
