@@ -70,6 +70,7 @@ class SyncOptions:
     hot_key_salts: int = HOT_SALTS
     pairs_per_task: int | None = None   # find hot contacts from the data; None: salt '' only
     source_ts: str = "updated_at"   # column of the raw sources that the mark is compared with
+    resolve_late: bool = False      # stored orders without a customer are looked up again when their shop id is linked
     landing: Landing | None = None  # how the raw sources are partitioned by ingest date
     facts: Facts | None = None      # what was recorded when a mart's current snapshot was committed
 
@@ -141,7 +142,7 @@ def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptio
                                                                   ctx, opts.customer_tiebreak)),
         ORDERS.name: lambda: run(
             ORDERS, lambda ctx: models.orders_mart_updates(inputs["orders"], shop(), ctx,
-                                                           opts.extracted_col)),
+                                                           opts.extracted_col, opts.resolve_late)),
         JOURNEY.name: lambda: run(
             JOURNEY, lambda ctx: models.journey_mart_updates(inputs["journey"], orders_mart(), ctx,
                                                              opts.extracted_col)),

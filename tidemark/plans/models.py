@@ -259,19 +259,35 @@ def shipping_total(shipping_lines: Column, doc: Column) -> Column:
     return _sum_decimals(F.transform(array_scalars(shipping_lines, doc, "$.discounted_price"), lambda p: safe_decimal(p)))
 
 
+def late_resolved_orders(stored: DataFrame, fresh_ids: DataFrame, shop_map: DataFrame, ctx: RunContext) -> DataFrame:
+    """Stored orders without a customer whose shop id was linked since the orders mart's mark, now resolved.
+
+    A delta join: the links since the mark name the shop ids, only these ids' links are reduced to the
+    latest customer, and only stored 'unknown' rows (a filter in the scan) meet them. Orders that the run
+    rewrites anyway (``fresh_ids``) are left to it. ``created_at`` is kept by the merge.
+    """
+    linked = incremental_filter(shop_map, "updated_at", ctx).select("shopify_id").distinct()
+    customer = shop_latest_customer(keep_keys(shop_map, linked, "shopify_id")).withColumnRenamed("customer_id", "_found")
+    waiting = (stored.filter(F.col("customer_id") == UNKNOWN_CUSTOMER).join(customer, "shopify_id", "inner")
+               .join(fresh_ids, "order_id", "left_anti"))
+    new = {"customer_id": F.col("_found"), "updated_at": ctx.now_col()}
+    return waiting.select(*[new.get(c, F.col(c)).alias(c) for c in ORDERS_MART_COLUMNS])
+
+
 def orders_mart_updates(orders: DataFrame, shop_map: DataFrame, ctx: RunContext,
-                        extracted_col: str = "_airbyte_extracted_at") -> DataFrame:
+                        extracted_col: str = "_airbyte_extracted_at", resolve_late: bool = False) -> DataFrame:
     """Latest orders with a shop customer id, resolved to a customer id ('unknown' if none).
 
     The high-water filter is applied to the raw versions *before* the
     latest-per-id window (:func:`fresh_versions`), so the window only sees rows
     newer than the mark, and the filter reaches the scan. No look at the target
-    is needed: the merge keeps ``created_at``.
+    is needed: the merge keeps ``created_at``. ``resolve_late`` adds
+    :func:`late_resolved_orders` in an incremental run.
     """
     now = ctx.now_col()
     latest = orders_latest(fresh_versions(orders, "id", ctx), extracted_col)
-    src = latest.filter(F.col("shopify_id").isNotNull())
-    src = src.join(shop_latest_customer(shop_map).withColumnRenamed("customer_id", "_map_customer"),
+    fresh = latest.filter(F.col("shopify_id").isNotNull())
+    src = fresh.join(shop_latest_customer(shop_map).withColumnRenamed("customer_id", "_map_customer"),
                    "shopify_id", "left")
     src = src.select("*", parse_doc("line_items").alias("_li"), parse_doc("shipping_lines").alias("_sl"))
     derived = {
@@ -287,7 +303,10 @@ def orders_mart_updates(orders: DataFrame, shop_map: DataFrame, ctx: RunContext,
         "shipping_price": shipping_total(F.col("shipping_lines"), F.col("_sl")),
     }
     src = src.select("*", *[v.alias(f"_d_{k}") for k, v in derived.items()])
-    return src.selectExpr(*[f"`_d_{c}` AS `{c}`" if c in derived else f"`{c}`" for c in ORDERS_MART_COLUMNS])
+    updates = src.selectExpr(*[f"`_d_{c}` AS `{c}`" if c in derived else f"`{c}`" for c in ORDERS_MART_COLUMNS])
+    if resolve_late and ctx.incremental:
+        updates = updates.unionByName(late_resolved_orders(ctx.target, fresh.select("order_id"), shop_map, ctx))
+    return updates
 
 
 # ------------------------------------------------------------------ D10

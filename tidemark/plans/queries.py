@@ -70,19 +70,22 @@ def full_run(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return build_all(_inputs(spark, sf_dir), lambda spec: None, _opts(RUN2_NOW))
 
 
-_STORED: dict[tuple[str, str], tuple[SnapshotStore, Mapping[str, DataFrame], Mapping[str, DataFrame]]] = {}
+_STORED: dict[tuple[str, str, bool], tuple[SnapshotStore, Mapping[str, DataFrame], Mapping[str, DataFrame]]] = {}
 
 
-def stored_runs(spark: SparkSession, sf_dir: str) -> tuple[SnapshotStore, Mapping[str, DataFrame], Mapping[str, DataFrame]]:
+def stored_runs(spark: SparkSession, sf_dir: str, late: bool = False) -> tuple[SnapshotStore, Mapping[str, DataFrame], Mapping[str, DataFrame]]:
     """The store of a session and input, and the marts of runs 1 and 2 in it.
 
     They are written, checked and committed as ``run_sync`` does (plain, not bucketed), each mart once,
-    when a query first asks for it.
+    when a query first asks for it. ``late``: in run 1 every fourth shop customer is yet to arrive.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, late)
     if key not in _STORED:
         store = SnapshotStore(spark, f"{scratch_dir(spark)}/runs/{uuid.uuid4().hex}")
-        r1 = written_marts(store, landed(spark, sf_dir, 1), replace(_opts(RUN1_NOW), pairs_per_task=STORED_PAIRS_PER_TASK), bucketed=False, current=lambda spec: None)
+        first = landed(spark, sf_dir, 1)
+        if late:
+            first = {**first, "customers": first["customers"].filter(F.col("id") % 4 != 0)}
+        r1 = written_marts(store, first, replace(_opts(RUN1_NOW), pairs_per_task=STORED_PAIRS_PER_TASK), bucketed=False, current=lambda spec: None)
         r2 = written_marts(store, landed(spark, sf_dir), _on_run1(store), bucketed=False,
                            current=lambda spec: r1[spec.name])
         _STORED[key] = store, r1, r2
@@ -93,6 +96,13 @@ def _on_run1(store: SnapshotStore) -> SyncOptions:
     return replace(_opts(RUN2_NOW), pairs_per_task=STORED_PAIRS_PER_TASK, facts=lambda spec: store.facts(spec.name, 1))
 
 
+def q_orders_late_resolution(spark, sf_dir):
+    """H10, opted in: orders of run 1 whose customer was yet to arrive get it when run 2 links the shop id."""
+    store, r1, r2 = stored_runs(spark, sf_dir, late=True)
+    return build_all(landed(spark, sf_dir), lambda spec: r1[spec.name], replace(_on_run1(store), resolve_late=True),
+                     upstream=lambda spec: r2[spec.name])[ORDERS.name]
+
+
 def two_runs(spark: SparkSession, sf_dir: str) -> tuple[Mapping[str, DataFrame], Mapping[str, DataFrame]]:
     """Run 1 as stored, and the plans of run 2: each mart merges into its stored run 1, from the raw
     inputs and the stored run-2 tables of the marts before it."""
@@ -293,6 +303,7 @@ QUERIES = {
     "customer_profile_incremental": _mart(CUSTOMER.name, "incremental"),
     "shop_latest_customer": q_shop_latest_customer,
     "orders_mart": _mart(ORDERS.name, "full"),
+    "orders_late_resolution": q_orders_late_resolution,
     "upsert_orders": _mart(ORDERS.name, "incremental"),
     "line_item_skus": q_line_item_skus,
     "line_item_products": q_line_item_products,

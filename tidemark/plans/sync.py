@@ -104,7 +104,8 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
              customer_tiebreak: str | None = None, ignore_blank: bool = False,
              check: bool = True, bucketed: bool = True, buckets: int | None = None,
              hot_key_salts: int = HOT_SALTS, source_ts: str = "updated_at",
-             landing: Landing | None = None, pairs_per_task: int | None = PAIRS_PER_TASK) -> dict[str, int]:
+             landing: Landing | None = None, pairs_per_task: int | None = PAIRS_PER_TASK,
+             resolve_late: bool = False) -> dict[str, int]:
     """Build all marts into ``warehouse``; returns {mart: committed version}.
 
     ``inputs`` holds the raw ``customers``, ``orders`` and ``journey`` frames.
@@ -118,6 +119,8 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
     ingestion time there to catch rows that arrive more than ``window_hours`` late. ``landing``:
     the ingest-date partitioning of raw sources read by ``read_raw(..., landing=...)``; an
     incremental run then opens only the partitions that can hold rows beyond a mart's mark.
+    ``resolve_late``: stored orders without a customer are resolved when their shop id is linked
+    later on (off: they wait for a new version of the order). Their journeys still wait for one.
 
     A mart's row count and greatest ``updated_at`` are stored with its commit marker, so
     that the next run takes its mark from there and does not scan the mart for it.
@@ -126,7 +129,8 @@ def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,
     opts = SyncOptions(now=now, window_hours=window_hours, ts_type=ts_type,
                        extracted_col=extracted_col, customer_tiebreak=customer_tiebreak,
                        ignore_blank=ignore_blank, full_refresh=full_refresh,
-                       hot_key_salts=hot_key_salts, pairs_per_task=pairs_per_task, source_ts=source_ts, landing=landing,
+                       hot_key_salts=hot_key_salts, pairs_per_task=pairs_per_task,
+                       resolve_late=resolve_late, source_ts=source_ts, landing=landing,
                        facts=lambda spec: store.facts(spec.name))
     marts = written_marts(store, inputs, opts, check, bucketed)
     for name in marts:  # dependency order; each access writes and commits one mart
