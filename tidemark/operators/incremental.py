@@ -9,7 +9,7 @@ a row older than the window is skipped once a run has happened (H1).
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from datetime import datetime
 
@@ -53,6 +53,7 @@ class RunContext:
     are known already (recorded when the snapshot was committed), so that the target need not be read
     for them. ``source_ts`` is the column of the raw sources that is compared with the mark; an
     ingestion time catches rows that arrive late. ``landing`` tells how the raw sources are partitioned.
+    ``stage(name, df)`` writes a table that a model reads several times, and reads it back.
     """
 
     now: datetime | str
@@ -62,6 +63,11 @@ class RunContext:
     marks: Mapping[str, Column] = field(default_factory=dict)
     source_ts: str = "updated_at"
     landing: Landing | None = None
+    stage: Callable[[str, DataFrame], DataFrame] | None = None
+
+    def staged(self, name: str, df: DataFrame) -> DataFrame:
+        """``df``, written once where the run has a place for it; else its plan."""
+        return df if self.stage is None else self.stage(name, df)
 
     @property
     def incremental(self) -> bool:

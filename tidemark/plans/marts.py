@@ -76,6 +76,7 @@ class SyncOptions:
 
 
 Current = Callable[[MartSpec], DataFrame | None]
+Stage = Callable[[str, DataFrame], DataFrame]
 Materialize = Callable[[MartSpec, DataFrame], DataFrame]
 
 
@@ -107,13 +108,15 @@ class LazyTables(Mapping):
 
 
 def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptions,
-              materialize: Materialize = _lazy, upstream: Current | None = None) -> LazyTables:
+              materialize: Materialize = _lazy, upstream: Current | None = None,
+              stage: Stage | None = None) -> LazyTables:
     """The six marts in dependency order, as a lazy {mart name: table} mapping.
 
     ``inputs``: raw ``customers``, ``orders``, ``journey``. ``current(spec)``
     gives the mart's current snapshot or None. Iterating the result in order
     (as :func:`tidemark.plans.sync.run_sync` does) builds every mart. With ``upstream``, a mart
     is planned on the tables that this gives for the marts before it, instead of on their plans.
+    ``stage(name, df)`` stores an intermediate table that a model reads several times.
     """
     def run(spec: MartSpec, make: Callable[[RunContext], DataFrame]) -> DataFrame:
         snapshot = None if opts.full_refresh else current(spec)
@@ -121,7 +124,7 @@ def build_all(inputs: Mapping[str, DataFrame], current: Current, opts: SyncOptio
         target = (dedupe_snapshot(spec, snapshot, opts.snapshot_keys_checked or known.get("checked", False))
                   if snapshot is not None else None)
         ctx = RunContext(opts.now, target, opts.window_hours, opts.ts_type, recorded_marks(known), opts.source_ts,
-                         opts.landing)
+                         opts.landing, stage)
         return materialize(spec, merge_into(spec, target, make(ctx)))
 
     def t(spec):

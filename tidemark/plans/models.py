@@ -200,7 +200,8 @@ def customer_profile_updates(customers: DataFrame, identity_map: DataFrame, shop
     idmap = identity_map.select("customer_id", "email", "phone", F.col("created_at").alias("_map_created"))
     links = shop_map.select("customer_id", "shopify_id")
     if ctx.incremental:
-        changed = changed_customer_ids(customers, identity_map, shop_map, ctx)
+        # the key set feeds identities, links and raw rows: worked out once where the run can store it
+        changed = ctx.staged("changed_customers", changed_customer_ids(customers, identity_map, shop_map, ctx))
         idmap = keep_keys(idmap, changed, "customer_id")
         links = keep_keys(links, changed, "customer_id")
         # only the raw versions of shops linked to a changed customer are aggregated

@@ -108,7 +108,7 @@ def two_runs(spark: SparkSession, sf_dir: str) -> tuple[Mapping[str, DataFrame],
     inputs and the stored run-2 tables of the marts before it."""
     store, r1, r2 = stored_runs(spark, sf_dir)
     return r1, build_all(landed(spark, sf_dir), lambda spec: r1[spec.name], _on_run1(store),
-                         upstream=lambda spec: r2[spec.name])
+                         upstream=lambda spec: r2[spec.name], stage=SnapshotStore(spark, store.root).stage)
 
 
 def _orders_latest(spark, sf_dir):

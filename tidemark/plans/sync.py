@@ -94,8 +94,10 @@ def written_marts(store: SnapshotStore, inputs: Mapping[str, DataFrame], opts: S
                 raise MartCheckError("; ".join(problems))
         store.record(spec.name, version, snapshot_facts(written, check))
         store.commit(spec.name, version)
+        store.drop_staged()
         return written
-    return build_all(inputs, current or (lambda spec: store.read(spec.name, bucket_keys=keys_of(spec))), opts, materialize)
+    return build_all(inputs, current or (lambda spec: store.read(spec.name, bucket_keys=keys_of(spec))), opts, materialize,
+                     stage=store.stage)
 
 
 def run_sync(spark: SparkSession, inputs: dict[str, DataFrame], warehouse: str,

@@ -30,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,7 @@ class SnapshotStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self.buckets = buckets
+        self._run, self._staged = uuid.uuid4().hex, []
         self._tag = hashlib.md5(self.root.encode()).hexdigest()[:10]
         jvm = spark.sparkContext._jvm
         self._Path = jvm.org.apache.hadoop.fs.Path
@@ -144,6 +146,21 @@ class SnapshotStore:
         fs, p = self._fs(f"{self._commit_dir(name)}/{version:06d}")
         fs.mkdirs(p)
 
+    # -- intermediate tables of a run
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` written under ``<root>/_staged`` and read back; gone with :meth:`drop_staged`."""
+        path = f"{self.root}/_staged/{self._run}/{name}-{len(self._staged):06d}"
+        df.write.mode("errorifexists").parquet(path)
+        self._staged.append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop_staged(self) -> None:
+        """Delete what this store staged; call it when nothing planned on it will run any more."""
+        for path in self._staged:
+            fs, p = self._fs(path)
+            fs.delete(p, True)
+        self._staged.clear()
+
     def _facts_file(self, name: str, version: int) -> str:
         return f"{self.table_dir(name)}/_facts/{version:06d}.json"
 
