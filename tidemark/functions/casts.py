@@ -31,14 +31,20 @@ def safe_decimal(text: Column, dtype: T.DecimalType = NUMERIC) -> Column:
     return text.try_cast(dtype)
 
 
-def safe_timestamp(text: Column) -> Column:
-    """Date-time text -> ``timestamp_ntz`` in UTC wall-clock time.
+def safe_timestamp(text: Column, ts_type: T.DataType = T.TimestampNTZType()) -> Column:
+    """Date-time text -> ``ts_type``: UTC wall-clock time (``timestamp_ntz``) or the instant (``timestamp``).
 
-    Text with a zone (``Z`` or an offset) is read as an instant and rendered
-    in UTC; text without one is taken as UTC already. Time-only text such as
-    ``'12:30'`` is rejected. Independent of the session time zone.
+    Text with a zone (``Z`` or an offset) is read as an instant; text without one is taken as UTC.
+    Time-only text such as ``'12:30'`` is rejected. Independent of the session time zone.
     """
-    instant_utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"),
-                                     text.try_cast(T.TimestampType()).cast(T.TimestampNTZType()))
-    parsed = F.when(text.rlike(ZONE_SUFFIX), instant_utc).otherwise(text.try_cast(T.TimestampNTZType()))
+    wall = text.try_cast(T.TimestampNTZType())
+    instant = text.try_cast(T.TimestampType())
+    if isinstance(ts_type, T.TimestampType):
+        parsed = F.when(text.rlike(ZONE_SUFFIX), instant).otherwise(
+            F.concat(wall.cast("string"), F.lit("Z")).try_cast(T.TimestampType()))
+    else:
+        # counted from the epoch: a way through local time would lose the hour that a zone repeats
+        seconds = (F.unix_micros(instant).cast("decimal(18,0)") / F.lit(1_000_000)).cast("decimal(18,6)")
+        instant_utc = F.lit("1970-01-01").cast(T.TimestampNTZType()) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+        parsed = F.when(text.rlike(ZONE_SUFFIX), instant_utc).otherwise(wall)
     return F.when(text.rlike(TIMESTAMP_PREFIX), parsed)

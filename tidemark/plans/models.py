@@ -24,6 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.casts import safe_bigint, safe_bool, safe_decimal, safe_timestamp
 from tidemark.functions.ids import key_uuid
@@ -32,7 +33,7 @@ from tidemark.operators.incremental import RunContext, changed_keys, fresh_versi
 from tidemark.operators.latest import latest_per_key, latest_value
 from tidemark.operators.links import HOT_SALTS, find_hot_values, grid_equi_join, link_on_any, salted_equi_join
 from tidemark.schemas import (
-    JOURNEY_MART_COLUMNS, NUMERIC, ORDERS_LATEST_COLUMNS, ORDERS_LATEST_RENAMES, ORDERS_MART_COLUMNS,
+    JOURNEY_MART_COLUMNS, NUMERIC, ORDERS_LATEST_COLUMNS, ORDERS_LATEST_RENAMES, ORDERS_MART_COLUMNS, TS_NTZ,
 )
 
 UNKNOWN_CUSTOMER = "unknown"
@@ -352,10 +353,10 @@ def journey_record(text) -> JsonRecord:
     return JsonRecord(text, journey_paths(), subtrees, ["$.moments"])
 
 
-def journey_fields(rec: JsonRecord) -> dict[str, Column]:
+def journey_fields(rec: JsonRecord, ts_type: T.DataType = TS_NTZ) -> dict[str, Column]:
     """The journey summary fields, by ordered fallback over candidate paths.
 
-    ``rec`` must be bound to the parsed summary (see :class:`JsonRecord`).
+    ``rec`` must be bound to the parsed summary (see :class:`JsonRecord`); times come out as ``ts_type``.
     """
     out = {
         "order_index": rec.first_scalar(snake_camel_paths(*ORDER_INDEX_NAMES), safe_bigint, 0),
@@ -366,7 +367,7 @@ def journey_fields(rec: JsonRecord) -> dict[str, Column]:
         out[f"{prefix}_landing_page"] = rec.first_scalar(
             visit_paths(prefix, "landing_page"), lambda t: F.nullif(t, F.lit("")), "")
         out[f"{prefix}_occurred_at"] = rec.first_scalar(
-            visit_paths(prefix, "occurred_at"), safe_timestamp, convert_each=False)
+            visit_paths(prefix, "occurred_at"), lambda t: safe_timestamp(t, ts_type), convert_each=False)
         for f in VISIT_TEXT_FIELDS:
             out[f"{prefix}_{f}"] = rec.first_scalar(visit_paths(prefix, f))
         out[f"{prefix}_utm_parameters"] = rec.first_subtree(visit_paths(prefix, "utm_parameters"))
@@ -391,7 +392,7 @@ def journey_mart_updates(journey: DataFrame, orders_mart: DataFrame, ctx: RunCon
     src = latest.join(resolved, "shopify_order_id", "inner")
     rec = journey_record("customer_journey_summary")
     src = src.select("*", rec.struct().alias("_rec"))
-    derived = journey_fields(rec.bind("_rec"))
+    derived = journey_fields(rec.bind("_rec"), ctx.ts_type)
     derived.update({
         "created_at": now, "updated_at": now,
         "shop_url": _blank(F.col("shop_url")),
