@@ -5,6 +5,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -67,6 +68,29 @@ def test_json_tokenizer_by_pieces(encoder):
         assert [np.frombuffer(e, "<u4").tolist() for e in got] == want
 
 
+def test_a_worker_encodes_small_slices_and_gives_memory_back(monkeypatch):
+    class Rows:
+        def mapInArrow(self, run, schema):
+            return run
+
+    class Whole:
+        path, load = "whole", staticmethod(lambda: ("", []))
+
+    class Encoder:
+        def encode(self, texts):
+            sizes.append(sum(map(len, texts)))
+            return [b""] * len(texts)
+    sizes, given_back = [], []
+    monkeypatch.setattr(bpe, "per_worker", lambda key, make: Encoder())
+    monkeypatch.setattr(bpe, "give_back", lambda: given_back.append(1))
+    run = bpe.map_encoded(Rows(), Whole(), ["doc_id"], "", lambda texts, encoded, table: {"n": pa.array([len(t) for t in texts])})
+    texts = ["x" * 2_000] * 1_000 + ["y" * 3_000_000, "z"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    out = list(run(iter([batch])))
+    assert [n for b in out for n in b["n"].to_pylist()] == list(map(len, texts))
+    assert max(n for n in sizes if n < 3_000_000) <= bpe.SLICE <= 1 << 19 and len(given_back) == len(out) > 4
+
+
 def test_word_store_is_bounded_and_harmless(reference, monkeypatch):
     monkeypatch.setattr(bpe, "KNOWN_WORDS", 50)
     own = bpe.PieceEncoder(bpe.tokenizer_from_ranks(RANKS, public_tokenizers.PATTERN))

@@ -22,6 +22,7 @@ equal results. Only doc_id and text are read.
 from __future__ import annotations
 
 import base64
+import ctypes
 import hashlib
 import os
 import re
@@ -91,6 +92,7 @@ def tokenizer_from_ranks(path: str, pattern: str) -> str:
 
 NOTHING = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 KNOWN_WORDS = 200_000
+SLICE = 1 << 19   # characters encoded at once: what a worker holds beside its tokenizer grows with them
 
 
 def gather(values: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -251,6 +253,14 @@ def small_batches(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> It
         yield batch.slice(at)
 
 
+def give_back() -> None:
+    """Freed memory goes back to the system: Python workers stay for later stages, and keep what they had at most."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)   # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def offsets(text: str, ids: np.ndarray, byte_lengths: np.ndarray) -> np.ndarray:
     """(start, end) of the characters of ``text`` that each token touches."""
     data = np.frombuffer(text.encode(), np.uint8)
@@ -293,10 +303,13 @@ def map_encoded(rows: DataFrame, codec: Codec, keep: list[str], schema: str, mak
         definition, table = load()
         encoder = per_worker(key, lambda: PieceEncoder(definition))
         for whole in batches:
-            for b in small_batches(whole, "text"):
+            for b in small_batches(whole, "text", SLICE):
                 texts = b["text"].to_pylist()
                 columns = make(texts, encoder.encode(texts), table)
+                del texts
                 yield pa.RecordBatch.from_arrays([*(b[c] for c in keep), *columns.values()], [*keep, *columns])
+                del columns
+                give_back()
     return rows.mapInArrow(run, schema)
 
 
