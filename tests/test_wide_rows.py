@@ -58,6 +58,18 @@ def test_latest_version_is_one_row_a_key(spark, hot):
     assert newest_versions(df, "k", ["ts", "i"], hot).count() == 10
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_older_versions_are_not_sorted(spark, no_broadcast):
+    df = spark.range(100).selectExpr("id % 7 AS k", "id AS ts", "repeat('x', 100) AS wide")
+    newest = newest_versions(df, "k", ["ts"])
+    # The only sorts are those of the narrow side's window.
+    assert "ShuffledHashJoin" in _plan(newest) and "SortMergeJoin" not in _plan(newest).split("ShuffledHashJoin")[0]
+    assert sorted(r["ts"] for r in newest.collect()) == list(range(93, 100))
+
+
 def test_orders_are_dealt_out_once(spark, no_broadcast):
     assert _exchanges_with(QUERIES["orders_mart"](spark, SF_SMALL), "line_items") == 1
 
