@@ -2,15 +2,17 @@
 
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 from compare import compare, duck
 from conftest import SF_MEDIUM, SF_SMALL
 from helpers import WS, documents, lower_ascii, odd_documents, words
 from pyspark.sql import functions as F
 
-from tidemark.llm import cotrain, langid, toxicity
+from tidemark.llm import bpe, cotrain, langid, toxicity
 from tidemark.llm.line_runs import LineRuns, dedup_lines, drop_lines
 from tidemark.llm.oracle import ORACLE_SQL
 from tidemark.llm.quality_rules import Rules, quality, reject_low_quality
@@ -293,3 +295,28 @@ def test_held_out_rows_are_never_learned_from(spark):
     ids = spark.range(50).select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("x")).collect()
     assert all(r["x"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in ids)
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit(""), 256)).first()[0]
+
+
+def test_toxicity_workers_let_go_of_what_other_operators_keep(monkeypatch):
+    class Rows:
+        sparkSession, schema = None, ""
+
+        def mapInArrow(self, run, schema):
+            return run
+
+    class Model(toxicity.KneserNeyRatio):
+        def evidence(self, texts, cache):
+            sizes.append(sum(map(len, texts)))
+            assert "_tidemark_worker" not in sys.modules
+            return super().evidence(texts, cache)
+    sizes = []
+    model = Model(*[np.zeros(0, np.int64)] * 3, toxicity.ToxicityParams())
+    monkeypatch.setattr(toxicity, "ship", lambda spark, m: lambda: m)
+    texts = ["x" * 2_000] * 1_000 + ["y", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts), pa.array([1] * len(texts))],
+                                       ["doc_id", "text", "toxic"])
+    for run in (toxicity.reject_toxic(Rows(), model), toxicity.evidence(Rows(), model, "toxic int")):
+        bpe.per_worker("tokenizer", lambda: bytearray(1000))
+        assert "_tidemark_worker" in sys.modules
+        assert sum(b.num_rows for b in run(iter([batch]))) == len(texts)
+    assert max(sizes) <= bpe.SLICE

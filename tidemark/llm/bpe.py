@@ -261,6 +261,12 @@ def give_back() -> None:
         trim(0)
 
 
+def let_go() -> None:
+    """Drops what the worker keeps from task to task: another operator runs in it now, which needs the memory."""
+    sys.modules.pop("_tidemark_worker", None)
+    give_back()
+
+
 def offsets(text: str, ids: np.ndarray, byte_lengths: np.ndarray) -> np.ndarray:
     """(start, end) of the characters of ``text`` that each token touches."""
     data = np.frombuffer(text.encode(), np.uint8)

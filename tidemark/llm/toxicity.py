@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import small_batches
+from tidemark.llm.bpe import SLICE, give_back, let_go, small_batches
 from tidemark.llm.shared import fold_of, held_out, n_partitions, ship, stage
 
 BITS = 12                      # a character code; larger code points are folded
@@ -360,10 +360,12 @@ def evidence(rows: DataFrame, model: KneserNeyRatio | RatioTables, carry: str) -
     load, carried = ship(rows.sparkSession, model), carry.split()[0]
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         m, cache = load(), {}
         for b in batches:
-            for part in small_batches(b, "text", 1 << 20):
+            for part in small_batches(b, "text", SLICE):
                 e = m.evidence(part["text"].to_pylist(), cache)
+                give_back()
                 yield pa.RecordBatch.from_arrays(
                     [part["doc_id"], part[carried], pa.array(e[:, 0]), pa.array(e[:, 1]), pa.array(m.scores(e))],
                     ["doc_id", carried, "mean_ratio", "peak_ratio", "score"])
@@ -388,9 +390,11 @@ def reject_toxic(docs: DataFrame, model: KneserNeyRatio | RatioTables) -> DataFr
     load = ship(docs.sparkSession, model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         m, cache = load(), {}
         for b in batches:
-            for part in small_batches(b, "text", 1 << 20):
+            for part in small_batches(b, "text", SLICE):
                 scores = m.scores(m.evidence(part["text"].to_pylist(), cache))
+                give_back()
                 yield part.filter(pa.array(scores < m.params.threshold))
     return docs.mapInArrow(keep, docs.schema)
