@@ -91,6 +91,30 @@ def test_a_worker_encodes_small_slices_and_gives_memory_back(monkeypatch):
     assert max(n for n in sizes if n < 3_000_000) <= bpe.SLICE <= 1 << 19 and len(given_back) == len(out) > 4
 
 
+def test_words_are_listed_at_once_and_looked_up_once(encoder, monkeypatch):
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *args):
+            Counting.asked += 1
+            return super().get(*args)
+
+        def __getitem__(self, key):
+            Counting.asked += 1
+            return super().__getitem__(key)
+    for kind in (pa.string(), pa.large_string()):
+        words = pa.array(["a", "é", "the", "Zebra"], kind)
+        assert bpe.plain_words(words) == words.to_pylist() and bpe.plain_words(words[1:3]) == ["é", "the"]
+        assert bpe.plain_words(words[:0]) == []
+    monkeypatch.setattr(encoder, "known", {" ": Counting(), "": Counting()})
+    monkeypatch.setattr(encoder, "stored", {" ": bpe.NOTHING, "": bpe.NOTHING})
+    first, ends = encoder._words(pa.array(["the", "zebra", "é"]), " ")
+    again, cuts = encoder._words(pa.array(["new", "é", "the", "other"]), " ")
+    assert Counting.asked == 7
+    assert again[cuts[1]:cuts[2]].tolist() == first[ends[2]:ends[3]].tolist() == ids_of(encoder, "a é")[1:]
+    assert again[cuts[3]:cuts[4]].tolist() == ids_of(encoder, "a other")[1:]
+
+
 def test_word_store_is_bounded_and_harmless(reference, monkeypatch):
     monkeypatch.setattr(bpe, "KNOWN_WORDS", 50)
     own = bpe.PieceEncoder(bpe.tokenizer_from_ranks(RANKS, public_tokenizers.PATTERN))

@@ -29,6 +29,7 @@ import re
 import sys
 import types
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -103,6 +104,13 @@ def gather(values: np.ndarray, offsets: np.ndarray, index: np.ndarray) -> tuple[
     return values[np.repeat(offsets[index] - ends + lengths, lengths) + np.arange(total)], np.concatenate([[0], ends])
 
 
+def plain_words(words: pa.Array) -> list[str]:
+    """The strings of an array of words without blanks; ``to_pylist`` makes a scalar of each, which takes ten times as long."""
+    if not len(words):
+        return []
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), pa.scalar(" ", words.type))[0].as_py().split(" ")
+
+
 class PieceEncoder:
     """Texts to ids (as bytes of little-endian unsigned 32-bit integers), by the distinct pieces of a batch.
 
@@ -125,15 +133,16 @@ class PieceEncoder:
 
     def _words(self, words: pa.Array, prefix: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of plain words: one match of the pattern as they stand, so only the merges remain to be run."""
-        words = words.to_pylist()
+        words = plain_words(words)
         known = self.known[prefix]
-        place = list(map(known.get, words))
-        new = [w for w, at in zip(words, place) if at is None] if None in place else []
-        if len(known) + len(new) > KNOWN_WORDS:
+        place = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(place < 0)
+        if len(known) + len(missing) > KNOWN_WORDS:
             known.clear()
             self.stored[prefix] = NOTHING
-            new = words
-        if new:
+            missing = np.arange(len(words))
+        if len(missing):
+            new = [words[i] for i in missing.tolist()]
             # Bytes as shown; raw blanks part the words, the character for a blank stands before them.
             shown = " ".join(new).encode().decode("latin-1").translate(TO_SHOWN)
             blank, values, offsets = TO_SHOWN[32], *self.stored[prefix]
@@ -144,9 +153,9 @@ class PieceEncoder:
             # A word's tokens end where their characters have come to the word's.
             ends = np.searchsorted(np.cumsum(self.characters[ids]), np.cumsum(np.fromiter(map(len, given), np.int64)), "left") + 1
             self.stored[prefix] = np.concatenate([values, ids]), np.concatenate([offsets, offsets[-1] + ends])
-            known.update(zip(new, range(len(offsets) - 1, len(offsets) - 1 + len(new))))
-            place = list(map(known.__getitem__, words))
-        return gather(*self.stored[prefix], np.array(place, np.int64))
+            place[missing] = np.arange(len(offsets) - 1, len(offsets) - 1 + len(new))
+            known.update(zip(new, place[missing].tolist()))
+        return gather(*self.stored[prefix], place)
 
     @staticmethod
     def _run(tokenizer, given: list[str]) -> tuple[np.ndarray, np.ndarray]:
