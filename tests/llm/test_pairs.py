@@ -92,6 +92,48 @@ def test_jaccard_join_of_long_texts(spark, params):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {d: (n[d], c[d]) for d in n}
 
 
+def near_copies(n, seed=8):
+    """One text of 160 words with one to three words changed in each copy, and another passage with different ends."""
+    rng = random.Random(seed)
+    base, passage = ([f"{c}{rng.randrange(10_000)}" for _ in range(160)] for c in "bp")
+    rows = []
+    for i in range(n):
+        text = list(base)
+        for at in rng.sample(range(160), rng.randint(1, 3)):
+            text[at] = f"new{rng.randrange(10_000)}"
+        rows += [(2 * i, " ".join(text)), (2 * i + 1, " ".join(passage[:90] + [f"end{i}_{j}" for j in range(i % 60)]))]
+    return rows
+
+
+def test_heavy_sets_become_rows_by_prefix_only(spark, monkeypatch):
+    """Of sets that share crowded keys, no step makes a row for each element."""
+    frames, real = [], type(spark.range(1)).mapInArrow
+
+    def spied(self, *args, **kwargs):
+        frames.append(real(self, *args, **kwargs))
+        return frames[-1]
+    rows = near_copies(60)
+    params = JaccardParams(5, 80, 100, bucket=8)
+    n, c = brute_jaccard(rows, params.words, params.num, params.den)
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", spied)
+    got = jaccard_components(documents(spark, rows).coalesce(2), params).collect()
+    monkeypatch.undo()
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == {d: (n[d], c[d]) for d in n}
+    made = {tuple(f.columns): f.count() for f in frames if "e" in f.columns}
+    assert made[("doc_id", "n", "e")] <= sum(x - -(-x * 80 // 100) + 1 for x in n.values())
+    assert sum(made.values()) < 0.7 * sum(n.values())
+
+
+@pytest.mark.parametrize("counters", [2, 1 << 10])
+def test_shared_counters_lose_no_link(spark, counters):
+    """Elements that share a counter are put in a worse order, still one order of all."""
+    rows = near_copies(20) + [(1000 + d, t) for d, t in planted(4)]
+    params = JaccardParams(5, 80, 100, bucket=3, counters=counters)
+    _, c = brute_jaccard(rows, params.words, params.num, params.den)
+    got = jaccard_components(documents(spark, rows), params).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == c
+
+
 def test_allocation_leaves_a_match_for_every_link():
     """Sets that differ by as much as a link allows share a usable key, unless one is out of capacity."""
     rng = np.random.default_rng(1)

@@ -19,8 +19,10 @@ A document's set is its distinct word k-grams, as 64-bit hashes. Exact copies
   unusable, as is an empty segment; a set whose unusable capacity exceeds e is
   *heavy*. Any link with a set that is not heavy was found by the keys.
 * **Heavy sets** (common passages, large groups of near copies) are joined among
-  themselves by prefix filtering: the rarest (1-t)n + 1 elements of two linked
-  sets meet. Sets that meet, directly or through others, are compared in blocks of
+  themselves by prefix filtering: the first (1-t)n + 1 elements of two linked sets
+  meet, in any one order of all elements. Here rare ones come first, by counters
+  that elements share by hash: tasks sum up what their sets hold, and only prefixes
+  become rows. Sets that meet, directly or through others, are compared in blocks of
   a bounded number of elements; a task returns only the links that join its sets.
 * Every candidate pair is **verified exactly** on whole texts.
 
@@ -42,7 +44,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import small_batches
-from tidemark.llm.shared import connected_components, n_partitions, stage, unused_name
+from tidemark.llm.shared import connected_components, n_partitions, ship, stage, unused_name
 
 U64 = np.uint64
 RADIX = 0x9E3779B97F4A7C15
@@ -59,6 +61,7 @@ class JaccardParams:
     chance: float = 0.005         # assumed chance that an element is shared by unrelated sets
     block_elements: int = 1 << 20   # of the heavy sets that a block holds, on average
     broadcast_ids: int = 2_000_000  # more ids than this are joined by shuffle
+    counters: int = 1 << 22       # at most so many (a power of two) tell rare elements of heavy sets
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -359,6 +362,62 @@ def verify(pairs: DataFrame, docs: DataFrame, params: JaccardParams) -> DataFram
             .sortWithinPartitions("group", F.col("b").asc_nulls_first(), "a").mapInArrow(run, "a long, b long"))
 
 
+def element_counts(docs: DataFrame, params: JaccardParams) -> DataFrame:
+    """(e, c): how many sets hold an element, summed up in each task over parts of about a million elements."""
+    k = params.words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, held, size = Shingler(k), [], 0
+
+        def counted() -> pa.RecordBatch:
+            e, c = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(e.view(np.int64)), pa.array(c)], ["e", "c"])
+        for whole in batches:
+            for b in small_batches(whole, "text", 1 << 20):
+                for text in b["text"].to_pylist():
+                    held.append(shingler.shingles(text))
+                    size += len(held[-1])
+                    if size >= CHUNK:
+                        yield counted()
+                        held, size = [], 0
+        if held:
+            yield counted()
+    return docs.mapInArrow(run, "e long, c long")
+
+
+def counter_table(counts: DataFrame, params: JaccardParams) -> np.ndarray:
+    """Sums of :func:`element_counts` by the leading bits of the elements, at least 1: a table of bounded size."""
+    total = counts.agg(F.sum("c")).first()[0] or 0
+    bits = max(1, min(int(total).bit_length(), params.counters.bit_length() - 1))
+    slot = F.shiftrightunsigned("e", 64 - bits).cast("int")
+    found = counts.groupBy(slot.alias("slot")).agg(F.sum("c").alias("c")).filter("c > 1").toArrow()
+    table = np.ones(1 << bits, np.int32)
+    table[found["slot"].to_numpy()] = np.minimum(found["c"].to_numpy(), np.iinfo(np.int32).max)
+    return table
+
+
+def prefix_rows(docs: DataFrame, table: np.ndarray, params: JaccardParams) -> DataFrame:
+    """(doc_id, n, e) of each set's first (1-t)n + 1 elements by (counter, e), without those that no other set holds."""
+    k, num, den = params.words, params.num, params.den
+    shift, often = 65 - len(table).bit_length(), ship(docs.sparkSession, table)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, table = Shingler(k), often()
+        for whole in batches:
+            for b in small_batches(whole, "text", 1 << 20):
+                rows = []
+                for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
+                    s = shingler.shingles(text)
+                    n = len(s)
+                    c = table[(s >> U64(shift)).astype(np.int64)]
+                    front = np.argsort(c, kind="stable")[:n - -(-n * num // den) + 1]  # s is sorted
+                    e = s[front[c[front] > 1]]
+                    rows.append((np.full(len(e), doc, np.int64), np.full(len(e), n, np.int64), e.view(np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(x)) for x in zip(*rows)], ["doc_id", "n", "e"])
+    return docs.mapInArrow(run, "doc_id long, n long, e long")
+
+
 def heavy_links(docs: DataFrame, heavy: DataFrame, params: JaccardParams) -> DataFrame:
     """Links (a, b) that leave the heavy sets' components as all their links would.
 
@@ -367,26 +426,12 @@ def heavy_links(docs: DataFrame, heavy: DataFrame, params: JaccardParams) -> Dat
     """
     k, num, den = params.words, params.num, params.den
     mine = stage(_by_ids(docs, heavy, params, "inner"), "jaccard-heavy")
-
-    def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(k)
-        for whole in batches:
-            for b in small_batches(whole, "text", 1 << 20):
-                sets = [shingler.shingles(t) for t in b["text"].to_pylist()]
-                n = np.array([len(s) for s in sets], np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(b["doc_id"].to_numpy(), n)), pa.array(np.repeat(n, n)),
-                     pa.array(np.concatenate(sets).view(np.int64))], ["doc_id", "n", "e"])
-    elements = mine.mapInArrow(tokens, "doc_id long, n long, e long")
-    df = elements.groupBy("e").agg(F.count("*").alias("df"), F.min("doc_id").alias("center"))
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy("df", "e"))
-    size = F.col("n")
-    prefix = size - F.ceil(size * num / den) + 1
-    front = (elements.join(df.filter("df > 1"), "e", "left")
-             .withColumn("df", F.coalesce("df", F.lit(1))).withColumn("r", rank)
-             .filter((F.col("r") <= prefix) & (F.col("df") > 1)).select("doc_id", "n", "e", "center"))
-    front = stage(front, "jaccard-front")
-    edges = front.filter("doc_id <> center").select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct()
+    counts = stage(element_counts(mine, params), "jaccard-counts")
+    front = stage(prefix_rows(mine, counter_table(counts, params), params), "jaccard-front")
+    shared = (front.groupBy("e").agg(F.count("*").alias("df"), F.min("doc_id").alias("center"))
+              .filter("df > 1").drop("df"))
+    edges = (front.join(shared, "e").filter("doc_id <> center")
+             .select(F.col("center").alias("a"), F.col("doc_id").alias("b")).distinct())
     parts = connected_components(edges)
     sized = front.select("doc_id", "n").distinct().join(parts, F.col("doc_id") == F.col("node"))
     blocks = sized.groupBy("component").agg(F.ceil(F.sum("n") / params.block_elements).cast("int").alias("s"))
