@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.bpe import small_batches
+from tidemark.llm.bpe import give_back, small_batches
 from tidemark.llm.shared import connected_components, n_partitions, ship, stage, unused_name
 
 U64 = np.uint64
@@ -238,6 +238,7 @@ def fingerprints(docs: DataFrame, params: JaccardParams) -> DataFrame:
                     [b["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64())],
                     ["doc_id", "n", "f1", "f2"])
+        give_back()
     return docs.mapInArrow(run, "doc_id long, n long, f1 long, f2 long")
 
 
@@ -264,6 +265,7 @@ def key_rows(docs: DataFrame, params: JaccardParams, bands: list[Band]) -> DataF
                 if rows:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(c)) for c in zip(*rows)], ["key", "doc_id", "flag", "spare"])
+        give_back()
     return docs.mapInArrow(run, "key long, doc_id long, flag byte, spare long")
 
 
@@ -326,6 +328,7 @@ def bucket_rows(keys: DataFrame, params: JaccardParams) -> DataFrame:
                 p = pairs(held[1][~marked], held[2][~marked])
                 if len(p):
                     yield emit(p[:, 0], p[:, 1], p[:, 2])
+        give_back()
     return (keys.repartition(n_partitions(keys.sparkSession), "key").sortWithinPartitions("key")
             .mapInArrow(run, "home long, a long, b long"))
 
@@ -358,6 +361,7 @@ def verify(pairs: DataFrame, docs: DataFrame, params: JaccardParams) -> DataFram
                 if out:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([x[i] for x in out], pa.int64()) for i in (0, 1)], ["a", "b"])
+        give_back()
     return (rows.repartition(n_partitions(docs.sparkSession), "group")
             .sortWithinPartitions("group", F.col("b").asc_nulls_first(), "a").mapInArrow(run, "a long, b long"))
 
@@ -382,6 +386,7 @@ def element_counts(docs: DataFrame, params: JaccardParams) -> DataFrame:
                         held, size = [], 0
         if held:
             yield counted()
+        give_back()
     return docs.mapInArrow(run, "e long, c long")
 
 
@@ -415,6 +420,7 @@ def prefix_rows(docs: DataFrame, table: np.ndarray, params: JaccardParams) -> Da
                     rows.append((np.full(len(e), doc, np.int64), np.full(len(e), n, np.int64), e.view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(x)) for x in zip(*rows)], ["doc_id", "n", "e"])
+        give_back()
     return docs.mapInArrow(run, "doc_id long, n long, e long")
 
 
@@ -457,6 +463,7 @@ def heavy_links(docs: DataFrame, heavy: DataFrame, params: JaccardParams) -> Dat
                     held.append((doc, i, shingler.shingles(text)))
         if held:
             yield links()
+        give_back()
     return (rows.repartition(n_partitions(docs.sparkSession), "pair").sortWithinPartitions("pair", "doc_id")
             .mapInArrow(compare, "a long, b long"))
 
