@@ -74,6 +74,18 @@ def test_no_task_gets_a_whole_hot_value(spark):
     assert sum(sizes) == 2000 * 375 and max(sizes) < sum(sizes) / 3
 
 
+def test_copies_of_a_grid_are_not_broadcast(spark, scratch):
+    """A table of a few KB is 200,000 rows once it is copied, and the estimate of the plan stays at the few KB."""
+    raw, ids = _tables(spark)
+    for name, df in (("raw", raw.select("phone", "shopify_id")), ("ids", ids.select("phone", "customer_id"))):
+        df.write.parquet(f"{scratch}/{name}")
+    left, right = spark.read.parquet(f"{scratch}/raw"), spark.read.parquet(f"{scratch}/ids")
+    joined = grid_equi_join(left, right, "phone", {"+100": (500, 1)})
+    assert joined.count() == left.join(right, "phone").count()
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("ignore_blank", [False, True])
 def test_links_with_detection_are_those_of_the_or_join(spark, ignore_blank):
     raw, ids = _tables(spark)
