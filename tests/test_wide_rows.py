@@ -8,8 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
-from tidemark.operators import latest_per_key, link_on_any
+from tidemark.operators import RunContext, latest_per_key, link_on_any
 from tidemark.operators.latest import latest_version, newest_versions
+from tidemark.plans import models
 from tidemark.plans.queries import QUERIES
 from tidemark.sources.fixtures import FIXTURE_LANDING, RAW_SOURCES, fixture_inputs, landed_inputs
 from tidemark.sources.raw import deal_by_date
@@ -84,3 +85,35 @@ def test_landing_deals_narrow_rows(spark, scratch, name, column):
     assert table.filter(~F.col("ingest_date").eqNullSafe(late)).isEmpty()
     table = table.select(*plain.columns)
     assert table.exceptAll(plain).isEmpty() and plain.exceptAll(table).isEmpty()
+
+
+def _broadcasts_with(df, column: str) -> bool:
+    return bool(re.search(rf"BroadcastExchange(?:(?!Exchange|Join).)*\b{column}#", _plan(df), re.S))
+
+
+def _stored(spark, scratch, name, df):
+    """A small file of many rows: dictionaries and runs make its size say little of its rows in memory."""
+    df.write.parquet(f"{scratch}/{name}")
+    return spark.read.parquet(f"{scratch}/{name}")
+
+
+UPDATED = "TIMESTAMP_NTZ '2024-01-01' AS updated_at"
+
+
+def test_stored_links_are_not_broadcast(spark, scratch):
+    links = _stored(spark, scratch, "links", spark.range(5000).selectExpr(
+        "concat('c', id % 3) AS customer_id", "id AS shopify_id", UPDATED))
+    ids = _stored(spark, scratch, "ids", spark.range(4).selectExpr(
+        "concat('c', id) AS customer_id", "concat('e', id) AS email", "'' AS phone", "TIMESTAMP_NTZ '2024-01-01' AS created_at"))
+    customers = spark.range(2000).selectExpr(
+        "id", "'x' AS currency", "'[]' AS addresses", "concat('f', id) AS first_name", "'l' AS last_name", "concat('t', id % 2) AS tags",
+        "TIMESTAMP_NTZ '2023-01-01' AS created_at", UPDATED, "id AS seq")
+    profile = models.customer_profile_updates(customers, ids, links, RunContext("2024-02-01 00:00:00"), "seq")
+    assert not _broadcasts_with(profile, "shopify_id")
+    got = {r["customer_id"]: (r["firstname"], r["shopify_tags"]) for r in profile.collect()}
+    assert got == {"c0": ("f1998", '["t0","t1"]'), "c1": ("f1999", '["t0","t1"]'), "c2": ("f1997", '["t0","t1"]'), "c3": (None, None)}
+
+    since = RunContext("2024-02-01 00:00:00", spark.sql("SELECT TIMESTAMP_NTZ '2023-06-01' AS updated_at"))
+    changed = models.changed_customer_ids(customers, ids.withColumnRenamed("created_at", "updated_at"), links, since)
+    assert not _broadcasts_with(changed, "shopify_id")
+    assert sorted(r["customer_id"] for r in changed.collect()) == ["c0", "c1", "c2", "c3"]
