@@ -117,3 +117,13 @@ def test_stored_links_are_not_broadcast(spark, scratch):
     changed = models.changed_customer_ids(customers, ids.withColumnRenamed("created_at", "updated_at"), links, since)
     assert not _broadcasts_with(changed, "shopify_id")
     assert sorted(r["customer_id"] for r in changed.collect()) == ["c0", "c1", "c2", "c3"]
+
+
+def test_stored_orders_are_not_broadcast(spark, scratch):
+    orders = _stored(spark, scratch, "orders", spark.range(5000).selectExpr(
+        "id AS order_id", "if(id % 5 = 0, 'unknown', concat('c', id % 3)) AS customer_id", "id % 7 AS shopify_id"))
+    journey = spark.range(2000).selectExpr("id AS order_id", "'s' AS shop_url", "'{}' AS customer_journey_summary",
+                                           "TIMESTAMP_NTZ '2023-01-01' AS created_at", UPDATED, "id AS seq")
+    mart = models.journey_mart_updates(journey, orders, RunContext("2024-02-01 00:00:00"), "seq")
+    assert not _broadcasts_with(mart, "shopify_id")
+    assert sorted(r["shopify_order_id"] for r in mart.collect()) == [i for i in range(2000) if i % 5]
