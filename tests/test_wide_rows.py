@@ -127,3 +127,8 @@ def test_stored_orders_are_not_broadcast(spark, scratch):
     mart = models.journey_mart_updates(journey, orders, RunContext("2024-02-01 00:00:00"), "seq")
     assert not _broadcasts_with(mart, "shopify_id")
     assert sorted(r["shopify_order_id"] for r in mart.collect()) == [i for i in range(2000) if i % 5]
+
+
+def test_source_customers_are_not_broadcast(spark):
+    """Customers grow with the input; their file of some KB would be broadcast by its size."""
+    assert "Broadcast" not in _plan(fixture_inputs(spark, SF_SMALL)["customers"])
